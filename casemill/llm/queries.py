@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casemill.llm import repeated_lines, target_sample, tokens
+from casemill.llm import alignment, language, leaks, repeated_lines, sentences, target_sample, tokens
 from casemill.llm.records import distinct_records, site_of
 from casemill.sources.tables import table
 
@@ -80,11 +80,48 @@ def p4_report(spark: SparkSession, sf: str) -> DataFrame:
     return _target_sample(spark, sf).report.select("target_id", "available", "needed", "gap")
 
 
+def p5_found(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines of English and French versions of a decision that translate each other."""
+    return alignment.aligned_lines(distinct_records(table(spark, sf, "case_records"), "id", "content", "tribunal", "citation"))
+
+
+def _languages(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    records = distinct_records(table(spark, sf, "case_records"), "id", "language", "content")
+    labelled = (
+        table(spark, sf, "case_records")
+        .select(F.col("content").alias("text"), F.col("language").alias("label"))
+        .unionByName(table(spark, sf, "documents").select("text", F.col("lang").alias("label")))
+    )
+    net = language.train(language.training_sample(labelled))
+    return records, language.record_languages(records, net)
+
+
+def p7_found(spark: SparkSession, sf: str) -> DataFrame:
+    """Records whose label is missing or wrong, and the stretches of mixed records."""
+    records, found = _languages(spark, sf)
+    return language.mislabelled(found, records)
+
+
+def p7_languages(spark: SparkSession, sf: str) -> DataFrame:
+    """Every record's language, or stretches, with a confidence."""
+    return _languages(spark, sf)[1]
+
+
 def p8_ids(spark: SparkSession, sf: str) -> DataFrame:
     """Ids of every document by byte_bpe_50k."""
     return tokens.encode_corpus(table(spark, sf, "documents"))
 
 
+def p9_found(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents that hold at least half of an evaluation item."""
+    return leaks.leaked_items(table(spark, sf, "documents"), table(spark, sf, "eval_items")).distinct()
+
+
+def p10_found(spark: SparkSession, sf: str) -> DataFrame:
+    """Sentence units of every document."""
+    return sentences.split_corpus(table(spark, sf, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p2_budget": p2_budget,
     "p2_tokens": p2_tokens,
@@ -94,7 +131,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p4_found": p4_found,
     "p4_sample": p4_sample,
     "p4_report": p4_report,
+    "p5_found": p5_found,
+    "p7_found": p7_found,
+    "p7_languages": p7_languages,
     "p8_ids": p8_ids,
+    "p9_found": p9_found,
+    "p10_found": p10_found,
 }
 
 _LINES = r"""
