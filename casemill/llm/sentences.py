@@ -83,7 +83,7 @@ def phrase_type(phrase: str) -> str:
 
 def count_batch(texts: list[str | None]) -> Counter:
     """(lang, kind, a, b) counts. Kinds: w word, p word with a period and the word after it, f and e
-    the first and the last word of a paragraph, s a phrase between spaces (b: 1 if it ends a paragraph)."""
+    the first and the last word of a paragraph, m the mark that it ends with, s a phrase between spaces (b: 1 if it ends a paragraph)."""
     words: dict[str, Counter] = {}
     pairs: dict[str, Counter] = {}
     out: Counter = Counter()
@@ -107,6 +107,9 @@ def count_batch(texts: list[str | None]) -> Counter:
             pairs.setdefault(lang, Counter()).update(_PERIOD_PAIR.findall(_QUOTES.sub(" ", body)))
             opening = body.split(None, 1)[:1]
             out[lang, "f", word_type(opening[0]) if opening else "", ""] += 1
+            mark = _MARK.search(tokens[-1][-6:])
+            if mark:
+                out[lang, "m", mark.group(1)[-1], ""] += 1
             out[lang, "e", tokens[-1].strip(_EDGE).lower() if len(tokens[-1]) < 40 else "", ""] += 1
     for lang, found in words.items():
         for token, n in found.items():
@@ -133,6 +136,7 @@ class Statistics(NamedTuple):
     starters: set
     collocations: set
     endings: set
+    periods: set  # (lang, mark) where a period ends paragraphs
 
 
 def log_likelihood(k1: Column, n1: Column, k2: Column, n2: Column) -> Column:
@@ -270,18 +274,23 @@ def learn(counts: DataFrame, significance: float = 7.88) -> Statistics:
     endings = phrases.join(phrase_totals, "lang").where(
         (ratio > 0) | (ratio > -significance) & (F.col("final") >= 1) & (F.col("final") >= 0.1 * F.col("seen"))
     )
+    # in a language whose paragraphs hardly ever end with a period, a period is part of an abbreviation
+    marks = counts.where("kind = 'm'").groupBy("lang").agg(
+        F.sum("n").alias("all_marks"), F.sum(F.when(F.col("a") == ".", n).otherwise(0)).alias("periods")
+    ).where("periods >= 0.02 * all_marks")
     tables = (
         judged.where("abbr").select(F.lit("abbr").alias("t"), "lang", "a", F.lit("").alias("b"))
         .unionByName(judged.where("title").select(F.lit("title").alias("t"), "lang", "a", F.lit("").alias("b")))
         .unionByName(starters.select(F.lit("start").alias("t"), "lang", "a", F.lit("").alias("b")))
         .unionByName(collocations.select(F.lit("pair").alias("t"), "lang", "a", F.col("next").alias("b")))
         .unionByName(endings.select(F.lit("end").alias("t"), "lang", "a", F.lit("").alias("b")))
+        .unionByName(marks.select(F.lit("period").alias("t"), "lang", F.lit(".").alias("a"), F.lit("").alias("b")))
     )
     rows = tables.limit(MAX_LEARNT + 1).collect()
     if len(rows) > MAX_LEARNT:
         raise ValueError(f"more than {MAX_LEARNT} learnt words: raise the significance")
-    of = {t: {(r["lang"], r["a"]) for r in rows if r["t"] == t} for t in ("abbr", "title", "start", "end")}
-    return Statistics(of["abbr"], of["title"], of["start"], {(r["lang"], r["a"], r["b"]) for r in rows if r["t"] == "pair"}, of["end"])
+    of = {t: {(r["lang"], r["a"]) for r in rows if r["t"] == t} for t in ("abbr", "title", "start", "end", "period")}
+    return Statistics(of["abbr"], of["title"], of["start"], {(r["lang"], r["a"], r["b"]) for r in rows if r["t"] == "pair"}, of["end"], of["period"])
 
 
 _LETTER_PERIOD = re.compile(r"(?:^|[^\w])([^\W\d_])\.$")
@@ -305,8 +314,11 @@ def _ends_at(part: str, mark: re.Match, lang: str, st: Statistics, inside: list[
     cjk = dots[-1] in "。！？｡"
     if cjk:
         return None if end_inside is not None else end
-    if rest[0] not in " \n\t\r\xa0　   \x0b\x0c\x85 " and not rest[0].isspace():
-        return None
+    if not rest[0].isspace():
+        # a space left out after a sentence: a whole word before, and an opening after
+        before = part[max(0, at - 3) : at]
+        whole = len(before) == 3 and "." not in before and (before[-1].islower() or before[-1].isdigit() or before[-1] in ")]")
+        return end if end_inside is None and whole and not close and (rest[0].isupper() or rest[0] in "«“„¿¡(") else None
     if end_inside is not None and lang in _CASELESS:
         return None
     opening = following.lstrip("\"'“”„«»‘’([{¿¡*_-–— \xa0")
@@ -315,6 +327,8 @@ def _ends_at(part: str, mark: re.Match, lang: str, st: Statistics, inside: list[
         return None
     if dots[-1] in "!?…؟।॥۔" or len(dots) > 1 and dots.endswith(".."):
         return end
+    if lang in _CASELESS and dots == "." and (lang, ".") not in st.periods:
+        return None
     token = _LAST_TOKEN.search(part[max(0, at - 40) : at])
     if not token:
         return end
@@ -333,9 +347,8 @@ def _ends_at(part: str, mark: re.Match, lang: str, st: Statistics, inside: list[
     if single and single.group(1).isupper():
         return end if starts else None
     if (lang, word) in st.abbreviations:
-        if first.isdigit():
-            return None
-        return end
+        # after an abbreviation a figure goes on; so does a word, where all are in upper case
+        return None if first.isdigit() or not starts and part.isupper() else end
     return end
 
 
