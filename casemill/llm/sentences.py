@@ -10,7 +10,9 @@ each place where a sentence could end by these tables.
 
 from __future__ import annotations
 
+import functools
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -43,21 +45,25 @@ _SCRIPTS = [
 ]
 #: Places to decide: a run of final marks with the closing marks after it.
 _MARK = re.compile(r"([.!?…。！？｡।॥؟۔]+)([\"'”’“»)\]」』）】]*)")
-_PERIOD_PAIR = re.compile(r"(\S*[^\s.]\.)\s+(\S+)")
+_OTHER_SCRIPT = re.compile("[\u0600-\u06ff\u0900-\u097f\u0e00-\u0e7f\u3040-\u30ff\u3400-\u9fff]")
+_NEXT = re.compile(r"\s*(\S{1,60})")
+_OPENING = re.compile("[\"«“„「『(\\[（]")
+_CLOSERS = {'"': '"', "«": "»", "“": "”", "„": "“”", "「": "」", "『": "』", "(": ")", "[": "]", "（": "）"}
 _LABEL = re.compile(r"\s*(?:\[\w{1,5}\]|\(\w{1,5}\)|[¶§№]\s*\d+[.)]?|(?:\d{1,4}|[ivxlcIVXLC]{1,6}|[A-Za-z])[.)](?:\d+[.)]?)*)(?=\s)")
 _QUOTES = re.compile(r"«[^«»]*»|“[^“”]*”|„[^„“”]*[“”]|「[^「」]*」|『[^『』]*』|\"[^\"]*\"")
-_BRACKETS = re.compile(r"\([^()]*\)|\[[^\[\]]*\]|（[^（）]*）")
 _EDGE = "\"'“”„«»‘’()[]{}¿¡,;:?!…"
 
 
 def language_of(text: str) -> str:
     """A rough language for the choice of statistics: by script, else by function words."""
-    if not text.isascii():
+    if not text.isascii() and _OTHER_SCRIPT.search(text):
+        total = len(_WORD.findall(text))
         for name, letters in _SCRIPTS:
             n = len(letters.findall(text))
-            if n * 3 >= len(_WORD.findall(text)) and n:
+            if n and n * 3 >= total:
                 return name
-    found = Counter(_LANGUAGE_OF[w] for w in _WORD.findall(text.lower()) if w in _LANGUAGE_OF)
+    found = Counter(map(_LANGUAGE_OF.get, text.lower().split()))
+    del found[None]
     return max(found, key=lambda k: (found[k], k)) if found else "xx"
 
 
@@ -70,6 +76,7 @@ def paragraphs(text: str) -> Iterator[tuple[int, int]]:
     yield start, len(text)
 
 
+@functools.lru_cache(maxsize=200_000)
 def word_type(token: str) -> str:
     """A token in lower case without what encloses it and without its last period; figures as 0."""
     t = token.strip(_EDGE).lower()
@@ -104,7 +111,9 @@ def count_batch(texts: list[str | None]) -> Counter:
             body = part[label.end() :] if label else part
             words.setdefault(lang, Counter()).update(tokens)
             # what is said inside quotations would pass for the sentence around them
-            pairs.setdefault(lang, Counter()).update(_PERIOD_PAIR.findall(_QUOTES.sub(" ", body)))
+            said = any(q in body for q in "\"«“„「")
+            outside = _QUOTES.sub(" ", body).split() if said else tokens[len(label.group().split()) if label else 0 :]
+            pairs.setdefault(lang, Counter()).update([(x, y) for x, y in zip(outside, outside[1:], strict=False) if x[-1] == "." and len(x) > 1])
             opening = body.split(None, 1)[:1]
             out[lang, "f", word_type(opening[0]) if opening else "", ""] += 1
             mark = _MARK.search(tokens[-1][-6:])
@@ -293,57 +302,80 @@ def learn(counts: DataFrame, significance: float = 7.88) -> Statistics:
     return Statistics(of["abbr"], of["title"], of["start"], {(r["lang"], r["a"], r["b"]) for r in rows if r["t"] == "pair"}, of["end"], of["period"])
 
 
-_LETTER_PERIOD = re.compile(r"(?:^|[^\w])([^\W\d_])\.$")
+_LETTER_PERIOD = re.compile(r"(?:^|[^\w])([^\W\d_])$")
 _LAST_TOKEN = re.compile(r"\S+$")
+_BRACKET_OF = {"(": re.compile(r"[()]"), "[": re.compile(r"[\[\]]"), "（": re.compile("[（）]")}
 _CASELESS = {"zh", "ja", "th", "hi", "ar"}
 
 
-def _ends_at(part: str, mark: re.Match, lang: str, st: Statistics, inside: list[tuple[int, int]]) -> int | None:
-    """Where the unit ends if this mark ends a sentence."""
+def enclosed(part: str) -> tuple[list[int], list[int]]:
+    """Starts and ends of the quotations and brackets that aren't inside another; one that isn't closed is none."""
+    starts: list[int] = []
+    ends: list[int] = []
+    until = 0
+    for m in _OPENING.finditer(part):
+        at = m.start()
+        if at < until:
+            continue
+        opener, closers = m.group(), _CLOSERS[m.group()]
+        if opener in "([（":
+            depth, end = 0, -1
+            for x in _BRACKET_OF[opener].finditer(part, at):
+                depth += 1 if x.group() == opener else -1
+                if not depth:
+                    end = x.end()
+                    break
+        else:
+            found = [k for k in (part.find(c, at + 1) for c in closers) if k >= 0]
+            end = min(found) + 1 if found else -1
+        if end > 0:
+            starts.append(at)
+            ends.append(end)
+            until = end
+    return starts, ends
+
+
+def _ends_at(part: str, mark: re.Match, lang: str, st: Statistics, inside: tuple[list[int], list[int]]) -> int | None:
+    """Where the unit ends if this mark ends a sentence; ``part`` doesn't end with white space."""
     at, end = mark.start(), mark.end()
     dots, close = mark.group(1), mark.group(2)
+    if end == len(part):
+        return end
     # a mark inside a quotation or brackets ends nothing, unless their end follows at once
-    end_inside = next((b for a, b in inside if a < at < b), None)
-    if end_inside is not None:
-        if end_inside > end or not close:
-            return None
-    rest = part[end:]
-    following = rest.lstrip()
-    if not following:
-        return len(part)
-    cjk = dots[-1] in "。！？｡"
-    if cjk:
-        return None if end_inside is not None else end
-    if not rest[0].isspace():
+    k = bisect_right(inside[0], at) - 1
+    shut = k >= 0 and at < inside[1][k]
+    if shut and (inside[1][k] > end or not close):
+        return None
+    if dots[-1] in "。！？｡":
+        return None if shut else end
+    first_after = part[end]
+    if not first_after.isspace():
         # a space left out after a sentence: a whole word before, and an opening after
         before = part[max(0, at - 3) : at]
         whole = len(before) == 3 and "." not in before and (before[-1].islower() or before[-1].isdigit() or before[-1] in ")]")
-        return end if end_inside is None and whole and not close and (rest[0].isupper() or rest[0] in "«“„¿¡(") else None
-    if end_inside is not None and lang in _CASELESS:
+        return end if not shut and whole and not close and (first_after.isupper() or first_after in "«“„¿¡(") else None
+    if shut and lang in _CASELESS:
         return None
-    opening = following.lstrip("\"'“”„«»‘’([{¿¡*_-–— \xa0")
-    first = opening[:1]
+    following = _NEXT.match(part, end).group(1)
+    first = following.lstrip("\"'“”„«»‘’([{¿¡*_-–—")[:1]
+    if not first and following[0] in "«„“\"¿¡([":
+        first = (part[end + 1 :  end + 60].lstrip("\"'“”„«»‘’([{¿¡*_-–— \xa0\u202f\n\r\t"))[:1]
     if first.islower() or following[0] in ",;:)]»”":
         return None
-    if dots[-1] in "!?…؟।॥۔" or len(dots) > 1 and dots.endswith(".."):
+    if dots[-1] in "!?…؟।॥۔" or dots.endswith(".."):
         return end
-    if lang in _CASELESS and dots == "." and (lang, ".") not in st.periods:
-        return None
-    token = _LAST_TOKEN.search(part[max(0, at - 40) : at])
+    token = _LAST_TOKEN.search(part, max(0, at - 40), at)
     if not token:
         return end
     raw = token.group()
     word = word_type(raw + ".")
-    after_token = following.split(None, 1)[0]
-    after = word_type(after_token)
-    if end_inside is None and close and raw.count("(") < 1 and close[0] in ")]":
-        word = ""
-    if (lang, word, after) in st.collocations:
+    after = word_type(following)
+    if lang in _CASELESS and dots == "." and (lang, ".") not in st.periods:
         return None
-    starts = (lang, after) in st.starters
-    if (lang, word) in st.titles:
+    if (lang, word, after) in st.collocations or (lang, word) in st.titles:
         return None
-    single = _LETTER_PERIOD.search(raw + ".")
+    starts = (lang, after) in st.starters
+    single = _LETTER_PERIOD.search(raw)
     if single and single.group(1).isupper():
         return end if starts else None
     if (lang, word) in st.abbreviations:
@@ -371,8 +403,7 @@ def units(text: str, st: Statistics) -> list[tuple[int, int]]:
         else:
             label = _LABEL.match(part)
             skip = label.end() if label else 0
-            quoted = [m.span() for m in _QUOTES.finditer(part)]
-            inside = sorted(quoted + [m.span() for m in _BRACKETS.finditer(part)])
+            inside = enclosed(part)
             for m in _MARK.finditer(part, skip):
                 end = _ends_at(part, m, lang, st, inside)
                 if end is not None and end < len(part):
