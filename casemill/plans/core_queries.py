@@ -5,10 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from casemill.operators import snapshots
+from casemill.functions import quality
+from casemill.functions import text as T
+from casemill.operators import cases, chunks, keywords, retrieval, sampling, snapshots
 from casemill.sources.tables import table
 
+SEED = "casemill"
+
 
 def p1_found(spark: SparkSession, sf: str) -> DataFrame:
     """Keys added, removed or changed by each delivery."""
@@ -20,28 +25,344 @@ def p1_totals(spark: SparkSession, sf: str) -> DataFrame:
     return snapshots.change_totals(p1_found(spark, sf))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p1_found": p1_found, "p1_totals": p1_totals}
-
-_CHANGES = r"""
-WITH h AS (SELECT snapshot_id, min(scope_id) AS scope_id, min(CAST(CASE
-             WHEN regexp_matches(timestamp, '(Z|[+-]\d\d:\d\d)$') THEN timestamp ELSE timestamp || 'Z' END AS TIMESTAMPTZ)) AS ts
-           FROM snapshots WHERE snapshot_id IN (SELECT snapshot_id FROM case_inventory) GROUP BY snapshot_id),
-o AS (SELECT *, row_number() OVER (PARTITION BY scope_id ORDER BY ts, snapshot_id) AS seq FROM h),
-k AS (SELECT snapshot_id, lower(regexp_replace(case_id, '^\s+|\s+$', '', 'g')) AS case_id, discovered_at,
-             nullif(lower(regexp_replace(content_hash, '^\s+|\s+$', '', 'g')), '') AS hash FROM case_inventory),
-v AS (SELECT snapshot_id, case_id, hash FROM k QUALIFY row_number() OVER (
-        PARTITION BY snapshot_id, case_id ORDER BY discovered_at DESC, hash DESC NULLS LAST) = 1),
-p AS (SELECT scope_id, seq, case_id, hash FROM v JOIN o USING (snapshot_id)),
-c AS (SELECT coalesce(n.scope_id, b.scope_id) AS scope_id, coalesce(n.seq, b.seq + 1) AS seq,
-             coalesce(n.case_id, b.case_id) AS case_id,
-             CASE WHEN b.case_id IS NULL THEN 'added' WHEN n.case_id IS NULL THEN 'removed'
-                  WHEN n.hash IS DISTINCT FROM b.hash THEN 'changed' END AS change_type
-      FROM p n FULL JOIN p b ON n.scope_id = b.scope_id AND n.case_id = b.case_id AND n.seq = b.seq + 1),
-f AS (SELECT o.snapshot_id, c.case_id, c.change_type FROM c JOIN o USING (scope_id, seq)
-      WHERE change_type IS NOT NULL AND seq > 1)
-"""
-
-SQL: dict[str, str] = {
-    "p1_found": _CHANGES + "SELECT * FROM f",
-    "p1_totals": _CHANGES + "SELECT snapshot_id, change_type, count(*) AS n FROM f GROUP BY ALL",
-}
+def _records(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "case_records")
+
+
+def _classified(spark: SparkSession, sf: str) -> DataFrame:
+    c = F.col
+    tribunal = T.tribunal_of(c("citation"), c("metadata_relpath"), c("pdf_link"))
+    return _records(spark, sf).withColumn("body", tribunal)
+
+
+def _year(c: str = "publication_date"):
+    return F.substring(c, 1, 4)
+
+
+def page_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows with enough content and a citation, of one year's prefix."""
+    rows = _records(spark, sf).where("content IS NOT NULL AND length(content) >= 100 AND citation IS NOT NULL")
+    return rows.where(F.col("publication_date").startswith("201")).select("id", "citation", "publication_date")
+
+
+def page_blob_join(spark: SparkSession, sf: str) -> DataFrame:
+    """Records with the size of their blob."""
+    rows = _records(spark, sf).where("content IS NOT NULL AND length(content) >= 100 AND citation IS NOT NULL")
+    blobs = table(spark, sf, "blobs").select(F.col("name").alias("blob_name"), F.col("length").alias("blob_length"))
+    return rows.join(blobs, "blob_name").select("id", "blob_name", "blob_length")
+
+
+def missing_blobs(spark: SparkSession, sf: str) -> DataFrame:
+    """Blob names of records that blobs doesn't have."""
+    known = table(spark, sf, "blobs").select(F.col("name").alias("blob_name"))
+    return cases.not_yet_known(_records(spark, sf).select("blob_name"), known, ["blob_name"])
+
+
+def extracted_records(spark: SparkSession, sf: str) -> DataFrame:
+    """Records that have an extraction."""
+    done = table(spark, sf, "extractions").select(F.col("case_id").alias("id"))
+    return _records(spark, sf).join(done, "id", "left_semi").select("id").distinct()
+
+
+def case_assembly(spark: SparkSession, sf: str) -> DataFrame:
+    """Paragraphs of documents as pages, put together to cases again; cases of at least 1000 characters."""
+    docs = table(spark, sf, "documents").where("text IS NOT NULL")
+    pages = docs.select("doc_id", F.posexplode(F.split("text", "\n\n")).alias("n", "content"))
+    pages = pages.select(F.format_string("%d_pages_%d", "doc_id", F.col("n") + 1).alias("page_id"), "content")
+    made = cases.assemble_cases(pages)
+    return made.where("content_length >= 1000").select("case_id", "page_count", "content_length", "hash")
+
+
+def stratified_tribunal(spark: SparkSession, sf: str) -> DataFrame:
+    """Five records of each issuing body, in seeded order."""
+    rows = _classified(spark, sf).select("id", "body").distinct()
+    picked = sampling.stratified(rows, ["body"], "id", 5, SEED)
+    return picked.select("id", "body", T.tribunal_rank(F.col("body")).alias("rank"), "rn")
+
+
+def stratified_year(spark: SparkSession, sf: str) -> DataFrame:
+    """Three records of each year."""
+    rows = _records(spark, sf).select("id", F.coalesce(_year(), F.lit("unknown")).alias("year")).distinct()
+    return sampling.stratified(rows, ["year"], "id", 3, SEED).select("id", "year", "rn")
+
+
+def stratified_tribunal_year(spark: SparkSession, sf: str) -> DataFrame:
+    """Two records of each issuing body and year."""
+    rows = _classified(spark, sf).select("id", "body", F.coalesce(_year(), F.lit("unknown")).alias("year")).distinct()
+    return sampling.stratified(rows, ["body", "year"], "id", 2, SEED).select("id", "body", "year", "rn")
+
+
+def proportional_sample(spark: SparkSession, sf: str) -> DataFrame:
+    """A hundred records, as many of each issuing body as there are."""
+    rows = _classified(spark, sf).select("metadata_relpath", "body").distinct()
+    return sampling.proportional(rows, "body", "metadata_relpath", 100, SEED).select("metadata_relpath", "body", "rn")
+
+
+def yearly_inventory(spark: SparkSession, sf: str) -> DataFrame:
+    """Cases and rows by year, the thirty latest years."""
+    rows = _records(spark, sf).where("publication_date IS NOT NULL AND publication_date <> ''")
+    counted = rows.groupBy(_year().alias("year")).agg(F.countDistinct("id").alias("cases"), F.count(F.lit(1)).alias("n_rows"))
+    return counted.orderBy(F.desc("year")).limit(30)
+
+
+def source_inventory(spark: SparkSession, sf: str) -> DataFrame:
+    """Cases and rows by source, the thirty largest."""
+    rows = _records(spark, sf).groupBy("source_name").agg(F.countDistinct("id").alias("cases"), F.count(F.lit(1)).alias("n_rows"))
+    return rows.orderBy(F.desc("cases"), F.asc_nulls_first("source_name")).limit(30)
+
+
+def content_presence(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows, rows with content and with long content, by source, in one pass."""
+    n = F.length("content")
+    return table(spark, sf, "case_records").groupBy("source_name").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(F.col("content").isNotNull()).alias("with_content"),
+        F.count_if(n > 1000).alias("long_content"),
+    )
+
+
+def corpus_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    """Least, greatest and floored mean length of texts by label; 0 where there is none."""
+    n = F.length("text")
+    return table(spark, sf, "documents").groupBy("lang").agg(
+        F.count(F.lit(1)).alias("n_docs"),
+        F.coalesce(F.min(n), F.lit(0)).alias("min_length"),
+        F.coalesce(F.max(n), F.lit(0)).alias("max_length"),
+        F.coalesce(F.expr("sum(length(text)) div count(text)"), F.lit(0)).alias("avg_length"),
+    )
+
+
+def tribunal_distribution(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows by issuing body."""
+    return _classified(spark, sf).groupBy("body").agg(F.count(F.lit(1)).alias("n"))
+
+
+def group_distribution(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows by issuing body and year as one key."""
+    key = F.concat_ws("_", "body", F.coalesce(_year(), F.lit("unknown")))
+    return _classified(spark, sf).groupBy(key.alias("group_key")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def date_range(spark: SparkSession, sf: str) -> DataFrame:
+    """First and last date as text, by tribunal."""
+    rows = _records(spark, sf).where("publication_date IS NOT NULL AND publication_date <> ''")
+    return rows.groupBy(F.lower("tribunal").alias("court")).agg(F.min("publication_date").alias("first"), F.max("publication_date").alias("last"))
+
+
+def recent_years(spark: SparkSession, sf: str) -> DataFrame:
+    """The ten latest years of the inventory."""
+    rows = table(spark, sf, "case_inventory").where(_year("decision_date").rlike("^[0-9]{4}$"))
+    return rows.groupBy(_year("decision_date").alias("year")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("year")).limit(10)
+
+
+def content_duplicates(spark: SparkSession, sf: str) -> DataFrame:
+    """Hashes that more than one document has."""
+    rows = table(spark, sf, "documents").where("text IS NOT NULL").select("doc_id", T.content_hash(F.col("text")).alias("hash"))
+    return rows.groupBy("hash").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first_id")).where("n > 1")
+
+
+def latest_extraction(spark: SparkSession, sf: str) -> DataFrame:
+    """The newest extraction of each case."""
+    rows = table(spark, sf, "extractions").select("case_id", "artifact_id", "extraction_method", "extraction_timestamp")
+    order = [F.desc("extraction_timestamp"), F.desc("artifact_id"), F.asc("extraction_method")]
+    return cases.latest(rows, ["case_id"], *order)
+
+
+def previous_snapshot(spark: SparkSession, sf: str) -> DataFrame:
+    """For each snapshot the latest other one of its scope, by the text of its time."""
+    from pyspark.sql import Window
+
+    heads = table(spark, sf, "snapshots").select("snapshot_id", "scope_id", "timestamp").distinct()
+    w = Window.partitionBy("scope_id").orderBy(F.desc("timestamp"), F.desc("snapshot_id"))
+    ranked = heads.withColumn("r", F.row_number().over(w))
+    best = ranked.where("r <= 2").groupBy("scope_id").agg(
+        F.max(F.when(F.col("r") == 1, F.col("snapshot_id"))).alias("one"), F.max(F.when(F.col("r") == 2, F.col("snapshot_id"))).alias("two")
+    )
+    return ranked.join(best, "scope_id").select("snapshot_id", F.when(F.col("r") == 1, F.col("two")).otherwise(F.col("one")).alias("previous_id"))
+
+
+def last_delivery_status(spark: SparkSession, sf: str) -> DataFrame:
+    """Of the last two deliveries of each scope, how many keys are new, changed, unchanged and deleted."""
+    inventory = table(spark, sf, "case_inventory")
+    order = snapshots.delivery_order(table(spark, sf, "snapshots"), inventory)
+    rows = snapshots.latest_per_key(inventory).join(order, "snapshot_id")
+    keys = ["scope_id", "case_id"]
+    found = cases.compare(rows.where("seq = last_seq - 1"), rows.where("seq = last_seq"), keys, "content_hash")
+    return found.groupBy("scope_id", "status").agg(F.count(F.lit(1)).alias("n"))
+
+
+def extraction_rollup(spark: SparkSession, sf: str) -> DataFrame:
+    """Runs, characters and cases by method, and of all."""
+    rows = table(spark, sf, "extractions").rollup("extraction_method").agg(
+        F.count(F.lit(1)).alias("runs"), F.sum("char_count").alias("chars"), F.countDistinct("case_id").alias("cases"), F.grouping("extraction_method").alias("g")
+    )
+    return rows.select(F.when(F.col("g") == 1, "all").otherwise(F.col("extraction_method")).alias("method"), "runs", "chars", "cases")
+
+
+def quality_sets(spark: SparkSession, sf: str) -> DataFrame:
+    """Mean quality by method, by language, and of all, in one pass."""
+    rows = table(spark, sf, "extractions")
+    rows.createOrReplaceTempView("_extraction_runs")
+    return spark.sql(
+        """SELECT CAST(grouping_id(extraction_method, language) AS BIGINT) AS level, extraction_method, language,
+                  count(*) AS runs, round(avg(quality_score), 6) AS mean_quality
+           FROM _extraction_runs GROUP BY GROUPING SETS ((extraction_method), (language), ())"""
+    )
+
+
+def flag_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """How many extractions pass each flag of their map."""
+    rows = table(spark, sf, "extractions").select(F.explode("quality_flags").alias("flag", "passed"))
+    return rows.groupBy("flag").agg(F.count_if("passed").alias("passed"), F.count_if(~F.col("passed")).alias("failed"))
+
+
+def coverage(spark: SparkSession, sf: str) -> DataFrame:
+    """Share of records with an extraction, by tribunal."""
+    done = table(spark, sf, "extractions").select(F.col("case_id").alias("id")).distinct().withColumn("has", F.lit(1))
+    rows = _records(spark, sf).select("id", F.lower("tribunal").alias("court")).distinct().join(done, "id", "left")
+    return rows.groupBy("court").agg(F.count(F.lit(1)).alias("n_cases"), F.round(F.count("has") / F.count(F.lit(1)), 6).alias("covered"))
+
+
+def freshness(spark: SparkSession, sf: str) -> DataFrame:
+    """Days from decision to ingestion, by source: least and greatest."""
+    days = F.date_diff(F.to_date("ingested_at"), F.try_to_timestamp("decision_date", F.lit("yyyy-MM-dd")).cast("date"))
+    rows = table(spark, sf, "documents").where(F.col("decision_date").rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}$")).select("source", days.alias("days"))
+    return rows.groupBy("source").agg(F.min("days").alias("least"), F.max("days").alias("most"), F.count("days").alias("n"))
+
+
+def record_search(spark: SparkSession, sf: str) -> DataFrame:
+    """The twenty first records of a search by court, language and period, by rank and date."""
+    rows = _records(spark, sf).where("lower(tribunal) IN ('scc', 'fca') AND lower(language) = 'en' AND publication_date BETWEEN '2005' AND '2020'")
+    return rows.select("id", "tribunal_rank", "publication_date").distinct().orderBy(F.asc("tribunal_rank"), F.desc("publication_date"), "id").limit(20)
+
+
+def record_names(spark: SparkSession, sf: str) -> DataFrame:
+    """Names derived from paths, citations and dates."""
+    c = F.col
+    return _records(spark, sf).distinct().select(
+        "id",
+        T.file_stem(c("metadata_relpath")).alias("stem"),
+        T.path_language(c("metadata_relpath")).alias("path_lang"),
+        T.case_key(c("citation"), c("file_stem"), c("id")).alias("case_key"),
+        T.compact_date(c("publication_date")).alias("day"),
+        T.slug(c("source_name")).alias("source_slug"),
+    )
+
+
+def file_names(spark: SparkSession, sf: str) -> DataFrame:
+    """Export names by source and year; a name that occurs again gets _v2, _v3 and so on."""
+    from pyspark.sql import Window
+
+    base = F.concat_ws("_", T.slug(F.col("source_name")), F.coalesce(_year(), F.lit("unknown")))
+    rows = _records(spark, sf).select("id", base.alias("base")).distinct()
+    n = F.row_number().over(Window.partitionBy("base").orderBy("id"))
+    return rows.select("id", F.concat("base", F.when(n > 1, F.concat(F.lit("_v"), n)).otherwise(""), F.lit(".txt")).alias("file_name"))
+
+
+def inventory_slugs(spark: SparkSession, sf: str) -> DataFrame:
+    """Slugs of titles and how many rows have them."""
+    rows = table(spark, sf, "case_inventory").select(T.slug(F.col("title"), 30).alias("slug"))
+    return rows.groupBy("slug").agg(F.count(F.lit(1)).alias("n"))
+
+
+def sentence_truncation(spark: SparkSession, sf: str) -> DataFrame:
+    """Texts cut at a sentence within 900 characters."""
+    docs = table(spark, sf, "documents").where("text IS NOT NULL").select("doc_id", T.truncate_on_sentence(F.col("text"), 900).alias("t"))
+    return docs.select("doc_id", F.length("t").alias("n"), F.md5("t").alias("digest"))
+
+
+def discovery_anchor(spark: SparkSession, sf: str) -> DataFrame:
+    """A clean opening of each document."""
+    return table(spark, sf, "documents").where("text IS NOT NULL").select("doc_id", T.anchor(F.col("text")).alias("anchor"))
+
+
+def top_terms(spark: SparkSession, sf: str) -> DataFrame:
+    """The seven most frequent words of each document, ties in order of their first place."""
+    from pyspark.sql import Window
+
+    counted = keywords.term_counts(table(spark, sf, "documents"), "doc_id", "text").where("n >= 2")
+    w = Window.partitionBy("doc_id").orderBy(F.desc("n"), "first")
+    return counted.withColumn("place", F.row_number().over(w)).where("place <= 7").select("doc_id", "word", "n", "place")
+
+
+def document_keywords(spark: SparkSession, sf: str) -> DataFrame:
+    """Weighted keywords of each document."""
+    return keywords.keywords(table(spark, sf, "documents").where("text IS NOT NULL"))
+
+
+def phrase_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """How often phrases of the lexicon stand in each document."""
+    t = F.lower("text")
+    terms = {"regular_benefits": "regular benefits", "medical_note": "medical note", "avis_ecrit": "avis écrit"}
+    return table(spark, sf, "documents").where("text IS NOT NULL").select("doc_id", *(T.count_of(t, p).alias(n) for n, p in terms.items()))
+
+
+def statute_references(spark: SparkSession, sf: str) -> DataFrame:
+    """Distinct statute references by document."""
+    from casemill.functions.wordlists import STATUTE_PATTERNS
+
+    docs = table(spark, sf, "documents").where("text IS NOT NULL").select("doc_id", T.matches(F.col("text"), STATUTE_PATTERNS).alias("refs"))
+    return docs.select("doc_id", F.size("refs").alias("n_refs"), F.array_join(F.array_sort("refs"), "|").alias("refs"))
+
+
+def document_chunks(spark: SparkSession, sf: str) -> DataFrame:
+    """Chunks of about 1500 characters."""
+    made = chunks.chunk_table(table(spark, sf, "documents"), "doc_id", "text")
+    return made.select("doc_id", "counter", "start", "end", F.md5("chunk").alias("digest"))
+
+
+def marked_records(spark: SparkSession, sf: str) -> DataFrame:
+    """Records with their markers."""
+    return chunks.marked_documents(_records(spark, sf).distinct())
+
+
+def quality_gates(spark: SparkSession, sf: str) -> DataFrame:
+    """Gates and score of each record's content."""
+    made = quality.gates(F.col("content"), F.col("page_count"))
+    return _records(spark, sf).distinct().select("id", *(v.alias(k) for k, v in made.items()))
+
+
+def language_by_signs(spark: SparkSession, sf: str) -> DataFrame:
+    """en, fr or bi by counts of small words."""
+    return table(spark, sf, "documents").select("doc_id", quality.two_languages(F.col("text")).alias("found"))
+
+
+def record_checks(spark: SparkSession, sf: str) -> DataFrame:
+    """The checks that each record fails."""
+    rows = _records(spark, sf).distinct().select("id", quality.record_failures().alias("f"))
+    return rows.select("id", F.size("f").alias("n_failed"), F.array_join("f", "|").alias("failed"))
+
+
+def manifest(spark: SparkSession, sf: str) -> DataFrame:
+    """One manifest row for each record."""
+    c = F.col
+    return _records(spark, sf).distinct().select(
+        "id", "citation", F.lower("tribunal").alias("court"), "tribunal_rank", "page_count",
+        F.coalesce(F.length("content"), F.lit(0)).alias("content_length"),
+        T.content_hash(F.coalesce(c("content"), F.lit(""))).alias("content_hash"),
+        quality.manifest_exceptions().alias("exceptions"),
+    )
+
+
+def vector_neighbours(spark: SparkSession, sf: str) -> DataFrame:
+    """The ten nearest vectors of every vector whose id is divisible by 100, against all."""
+    vectors = table(spark, sf, "embeddings")
+    return retrieval.nearest(vectors, vectors.where("vec_id % 100 = 0")).select("query_id", "vec_id", "rank")
+
+
+def vector_precision(spark: SparkSession, sf: str) -> DataFrame:
+    """How many of the ten nearest have the query's label."""
+    vectors = table(spark, sf, "embeddings")
+    return retrieval.precision_at_k(retrieval.nearest(vectors, vectors.where("vec_id % 100 = 0")), vectors)
+
+
+_ALL = [
+    p1_found, p1_totals, page_scan, page_blob_join, missing_blobs, extracted_records, case_assembly, stratified_tribunal,
+    stratified_year, stratified_tribunal_year, proportional_sample, yearly_inventory, source_inventory, content_presence,
+    corpus_metrics, tribunal_distribution, group_distribution, date_range, recent_years, content_duplicates,
+    latest_extraction, previous_snapshot, last_delivery_status, extraction_rollup, quality_sets, flag_counts, coverage,
+    freshness, record_search, record_names, file_names, inventory_slugs, sentence_truncation, discovery_anchor, top_terms,
+    document_keywords, phrase_counts, statute_references, document_chunks, marked_records, quality_gates,
+    language_by_signs, record_checks, manifest, vector_neighbours, vector_precision,
+]
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}
