@@ -7,14 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casemill.llm import alignment, language, leaks, repeated_lines, sentences, target_sample, tokens
+from casemill.llm import alignment, language, leaks, repeated_lines, scans, sentences, target_sample, tokens
 from casemill.llm.records import distinct_records, site_of
+from casemill.session import materialise
 from casemill.sources.tables import table
 
 
-def _sites(spark: SparkSession, sf: str, *more: str) -> DataFrame:
-    records = distinct_records(table(spark, sf, "case_records"))
-    return records.select("id", site_of(F.col("source_name"), F.col("tribunal")).alias("site"), "content", *more)
+def _keyed(rows: DataFrame) -> DataFrame:
+    return materialise(repeated_lines.keyed_records(rows, site_of(F.col("source_name"), F.col("tribunal"))))
 
 
 def _counted(spark: SparkSession, sf: str) -> DataFrame:
@@ -35,29 +35,33 @@ def p2_tokens(spark: SparkSession, sf: str) -> DataFrame:
 
 def p3_found(spark: SparkSession, sf: str) -> DataFrame:
     """Lines repeated excessively on their site: the state of the table, then where its lines stand."""
-    records = _sites(spark, sf)
-    lines = repeated_lines.excessive(repeated_lines.line_state(records))
-    return repeated_lines.lines_in(records, lines).select("id", "line_no")
+    keyed = _keyed(table(spark, sf, "case_records"))
+    lines = repeated_lines.excessive(repeated_lines.line_state(keyed))
+    return repeated_lines.lines_in(keyed, lines).select("id", "line_no")
 
 
 def p3_clean(spark: SparkSession, sf: str) -> DataFrame:
     """Each record without its site's repeated lines."""
-    records = _sites(spark, sf)
-    lines = repeated_lines.excessive(repeated_lines.line_state(records))
-    return repeated_lines.without_lines(records, lines)
+    rows = table(spark, sf, "case_records")
+    keyed = _keyed(rows)
+    lines = repeated_lines.excessive(repeated_lines.line_state(keyed))
+    clean = repeated_lines.without_lines(rows, repeated_lines.lines_in(keyed, lines))
+    return clean.select("id", site_of(F.col("source_name"), F.col("tribunal")).alias("site"), "content")
 
 
 def p3_delta(spark: SparkSession, sf: str) -> DataFrame:
     """Records dated 2015 or later come in as a delta: the older ones to rebuild for it, and their new text."""
-    records = _sites(spark, sf, "publication_date")
+    rows = table(spark, sf, "case_records")
     late = F.coalesce(F.substring("publication_date", 1, 4) >= "2015", F.lit(False))
-    old, new = records.where(~late), records.where(late)
+    old, new = _keyed(rows.where(~late)), _keyed(rows.where(late))
     before = repeated_lines.line_state(old)
     after = repeated_lines.merge_state(before, repeated_lines.line_state(new))
     now = repeated_lines.excessive(after)
     changed = repeated_lines.crossings(repeated_lines.excessive(before), now)
     stale = repeated_lines.lines_in(old, changed).select("id").distinct()
-    return repeated_lines.without_lines(old.join(stale, "id", "left_semi"), now).select("id", "site", "content")
+    found = repeated_lines.lines_in(old.join(stale, "id", "left_semi"), now)
+    rebuilt = repeated_lines.without_lines(rows.where(~late).join(stale, "id", "left_semi").select(*rows.columns), found)
+    return rebuilt.select("id", site_of(F.col("source_name"), F.col("tribunal")).alias("site"), "content")
 
 
 def _target_sample(spark: SparkSession, sf: str) -> target_sample.TargetSample:
@@ -85,6 +89,16 @@ def p5_found(spark: SparkSession, sf: str) -> DataFrame:
     return alignment.aligned_lines(distinct_records(table(spark, sf, "case_records"), "id", "content", "tribunal", "citation"))
 
 
+def p6_found(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines of scans that are furniture, cut a word or are misread."""
+    return scans.flawed_lines(scans.repair(distinct_records(table(spark, sf, "case_records"), "id", "content")))
+
+
+def p6_text(spark: SparkSession, sf: str) -> DataFrame:
+    """The scans' text as continuous paragraphs."""
+    return scans.repaired_text(scans.repair(distinct_records(table(spark, sf, "case_records"), "id", "content")))
+
+
 def _languages(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     records = distinct_records(table(spark, sf, "case_records"), "id", "language", "content")
     labelled = (
@@ -132,6 +146,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p4_sample": p4_sample,
     "p4_report": p4_report,
     "p5_found": p5_found,
+    "p6_found": p6_found,
+    "p6_text": p6_text,
     "p7_found": p7_found,
     "p7_languages": p7_languages,
     "p8_ids": p8_ids,

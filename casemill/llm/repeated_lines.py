@@ -35,34 +35,29 @@ def line_key(line: Column, min_letters: int = MIN_LETTERS) -> Column:
     )
 
 
-def keyed_lines(records: DataFrame, min_letters: int = MIN_LETTERS) -> DataFrame:
-    """(id, record, site, line_no, a, b) of each line that is long enough; numbers count from 1.
+def keyed_records(rows: DataFrame, site: Column, min_letters: int = MIN_LETTERS) -> DataFrame:
+    """(id, record, site, keys): the distinct rows with the key of each line, NULL for a line too short.
 
-    ``record`` tells apart records that share an id.
+    ``record`` is a 128-bit digest of the whole row. Rows are told apart by it, so that
+    the keys, a tenth of the text, are shuffled in the place of the text.
     """
-    return (
-        records.where("content IS NOT NULL")
-        .select("id", F.xxhash64("id", "content").alias("record"), "site", F.posexplode(F.split("content", "\n")))
-        .select("id", "record", "site", (F.col("pos") + 1).alias("line_no"), line_key(F.col("col"), min_letters).alias("k"))
-        .where("k IS NOT NULL")
-        .select("id", "record", "site", "line_no", "k.a", "k.b")
-    )
+    digest = F.struct(F.xxhash64(*rows.columns).alias("a"), F.xxhash64(F.lit(1), *rows.columns).alias("b"))
+    keys = F.transform(F.split("content", "\n"), lambda x: line_key(x, min_letters))
+    return rows.select("id", digest.alias("record"), site.alias("site"), keys.alias("keys")).distinct()
 
 
-def line_state(records: DataFrame, min_letters: int = MIN_LETTERS) -> LineState:
-    """The state of ``records`` (id, site, content) alone, which is also a delta's.
+def line_state(keyed: DataFrame) -> LineState:
+    """The state of these records alone, which is also a delta's.
 
     A record counts once for a line however often it holds it; records without
     content count for their site.
     """
-    keys = F.array_distinct(F.transform(F.split("content", "\n"), lambda x: line_key(x, min_letters)))
     counts = (
-        records.select("site", F.explode(keys).alias("k"))
-        .where("k IS NOT NULL")
+        keyed.select("site", F.explode(F.array_distinct(F.array_compact("keys"))).alias("k"))
         .groupBy("site", "k.a", "k.b")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    return LineState(counts, records.groupBy("site").agg(F.count(F.lit(1)).alias("n_site")))
+    return LineState(counts, keyed.groupBy("site").agg(F.count(F.lit(1)).alias("n_site")))
 
 
 def merge_state(old: LineState, delta: LineState) -> LineState:
@@ -96,26 +91,30 @@ def crossings(before: DataFrame, after: DataFrame) -> DataFrame:
     )
 
 
-def lines_in(records: DataFrame, lines: DataFrame, min_letters: int = MIN_LETTERS) -> DataFrame:
-    """(id, record, line_no): where the ``lines`` (site, a, b) stand in the records."""
-    return keyed_lines(records, min_letters).join(lines, ["site", "a", "b"], "left_semi").select("id", "record", "line_no")
+def lines_in(keyed: DataFrame, lines: DataFrame) -> DataFrame:
+    """(id, record, line_no): where the ``lines`` (site, a, b) stand in the records; numbers count from 1."""
+    placed = keyed.select("id", "record", "site", F.posexplode("keys").alias("pos", "k")).where("k IS NOT NULL")
+    placed = placed.select("id", "record", "site", (F.col("pos") + 1).alias("line_no"), "k.a", "k.b")
+    return placed.join(lines, ["site", "a", "b"], "left_semi").select("id", "record", "line_no")
 
 
-def without_lines(records: DataFrame, lines: DataFrame, min_letters: int = MIN_LETTERS) -> DataFrame:
-    """``records`` (id, site, content, ...) with content free of the ``lines``.
+def without_lines(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """The distinct ``rows`` with content free of the lines ``found`` in them (record, line_no).
 
-    Records without such a line, without content or of another site stay as they are;
-    of a record of such lines only, the empty text is left.
+    Rows without such a line and without content stay as they are; of a row of such
+    lines only, the empty text is left.
     """
-    drop = lines_in(records, lines, min_letters).groupBy("id", "record").agg(F.collect_set("line_no").alias("drop"))
+    digest = F.struct(F.xxhash64(*rows.columns).alias("a"), F.xxhash64(F.lit(1), *rows.columns).alias("b"))
+    drop = found.groupBy("record").agg(F.collect_set("line_no").alias("drop"))
     kept = F.filter(
         F.transform(F.split("content", "\n"), lambda x, i: F.struct(x.alias("x"), (i + 1).alias("i"))),
         lambda p: ~F.array_contains("drop", p["i"]),
     )
     cleaned = F.array_join(F.transform(kept, lambda p: p["x"]), "\n")
     return (
-        records.withColumn("record", F.xxhash64("id", "content"))
-        .join(drop, ["id", "record"], "left")
+        rows.distinct()
+        .withColumn("record", digest)
+        .join(drop, "record", "left")
         .withColumn("content", F.when(F.col("drop").isNull(), F.col("content")).otherwise(cleaned))
-        .select(*records.columns)
+        .select(*rows.columns)
     )

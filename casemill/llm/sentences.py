@@ -30,7 +30,9 @@ FUNCTION_WORDS = {
     "es": "el los las del y en una que por con para se su al lo es fue como más sin hasta".split(),
     "de": "der die das und ist nicht ein eine den dem von zu mit auf für im wird bis keine hat an".split(),
 }
+#: Words that only one of the languages has.
 _LANGUAGE_OF = {w: l for l, ws in FUNCTION_WORDS.items() for w in ws if sum(w in o for o in FUNCTION_WORDS.values()) == 1}
+_KNOWN = frozenset(_LANGUAGE_OF)
 #: The most rows of learnt tables that are sent to the workers; a corpus with more is refused.
 MAX_LEARNT = 3_000_000
 
@@ -62,9 +64,11 @@ def language_of(text: str) -> str:
             n = len(letters.findall(text))
             if n and n * 3 >= total:
                 return name
-    found = Counter(map(_LANGUAGE_OF.get, text.lower().split()))
-    del found[None]
-    return max(found, key=lambda k: (found[k], k)) if found else "xx"
+    hits = _KNOWN.intersection(text.split()) or _KNOWN.intersection(text.lower().split())
+    if not hits:
+        return "xx"
+    found = [_LANGUAGE_OF[w] for w in hits]
+    return max(found, key=lambda k: (found.count(k), k))
 
 
 def paragraphs(text: str) -> Iterator[tuple[int, int]]:
@@ -113,7 +117,10 @@ def count_batch(texts: list[str | None]) -> Counter:
             # what is said inside quotations would pass for the sentence around them
             said = any(q in body for q in "\"«“„「")
             outside = _QUOTES.sub(" ", body).split() if said else tokens[len(label.group().split()) if label else 0 :]
-            pairs.setdefault(lang, Counter()).update([(x, y) for x, y in zip(outside, outside[1:], strict=False) if x[-1] == "." and len(x) > 1])
+            stops = " ".join(outside).split(". ")
+            pairs.setdefault(lang, Counter()).update(
+                [(x[x.rfind(" ") + 1 :] + ".", y.split(" ", 1)[0]) for x, y in zip(stops, stops[1:], strict=False) if x and y and x[-1] != " "]
+            )
             opening = body.split(None, 1)[:1]
             out[lang, "f", word_type(opening[0]) if opening else "", ""] += 1
             mark = _MARK.search(tokens[-1][-6:])
