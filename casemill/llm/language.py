@@ -36,7 +36,7 @@ WINDOW_BYTES = 512
 TEXTS_PER_LANGUAGE, LINES_PER_TEXT = 400, 6
 SWITCH = 3.5
 _QUOTED = re.compile(r"«[^«»]*»|“[^“”]*”|„[^„“”]*[“”]|\"[^\"]*\"|「[^「」]*」")
-_LETTERS = re.compile(r"[^\W\d_]")
+_WORDS = re.compile(r"[^\W\d_]+")
 
 
 def label_language(label: Column) -> Column:
@@ -259,11 +259,23 @@ def readable(line: str) -> str:
     return bare.strip()
 
 
+def telling(line: str) -> int:
+    """Letters of a line that tell its language: those of words that don't begin in upper case, as names do.
+
+    In scripts without spaces a letter says as much as two.
+    """
+    n = sum(len(w) for w in _WORDS.findall(line) if not w[0].isupper())
+    return 2 * n if any(x > "\u2fff" for x in line) else n
+
+
 def stretches(p: np.ndarray, letters: np.ndarray, switch: float = SWITCH) -> np.ndarray:
     """The language of each line: the best path, where a change costs ``switch``.
 
-    A line speaks for itself by its letters, of which those beyond 60 add nothing.
+    A line speaks for itself by its telling letters, of which those beyond 60 add
+    nothing; where no line has any, by all alike.
     """
+    if not letters.any():
+        letters = np.ones(len(letters))
     evidence = np.log(np.maximum(p, 1e-4)) * (np.minimum(letters, 60) / 15)[:, None]
     n = evidence.shape[1]
     score, back = evidence[0].copy(), np.zeros((len(p), n), np.int8)
@@ -325,9 +337,7 @@ def _judge(batch: pa.RecordBatch, net: Network, key: str) -> pa.RecordBatch:
         docs.append(own)
     lines = list(index)
     p = line_probabilities(net, lines)
-    letters = np.array([len(_LETTERS.findall(x)) for x in lines] or [0])
-    # scripts without spaces say as much with fewer letters
-    letters = np.where([bool(x) and x[0] > "⿿" for x in lines] or [False], letters * 2, letters)
+    letters = np.array([telling(x) for x in lines] or [0])
     top = p.argmax(axis=1) if len(lines) else np.zeros(0, int)
     at, froms, tos, langs, sure, many = [], [], [], [], [], []
     for k, own in enumerate(docs):
