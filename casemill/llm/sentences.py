@@ -25,10 +25,10 @@ from casemill.session import materialise
 
 #: Frequent function words that tell the languages in Latin script apart.
 FUNCTION_WORDS = {
-    "en": "the of and to in that was for is on with by at from which not are this had has as an be or".split(),
-    "fr": "le la les des du et en une dans pour que qui sur par au aux est été avec ce cette ne pas sans".split(),
-    "es": "el los las del y en una que por con para se su al lo es fue como más sin hasta".split(),
-    "de": "der die das und ist nicht ein eine den dem von zu mit auf für im wird bis keine hat an".split(),
+    "en": "the of and to that for is with by at from which not are this had has be were their who".split(),
+    "fr": "le les du et une dans pour sur par au aux est été avec ce cette ne pas sans ont sont qui leur".split(),
+    "es": "el los las del una por con su fue más sin hasta según como pero son ha".split(),
+    "de": "der die das und ist nicht ein eine den dem von zu mit auf für im wird bis keine hat sie".split(),
 }
 #: Words that only one of the languages has.
 _LANGUAGE_OF = {w: l for l, ws in FUNCTION_WORDS.items() for w in ws if sum(w in o for o in FUNCTION_WORDS.values()) == 1}
