@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from casemill.functions import quality
 from casemill.functions import text as T
-from casemill.operators import cases, chunks, keywords, retrieval, sampling, snapshots
+from casemill.operators import cases, chunks, documents, keywords, retrieval, sampling, snapshots
 from casemill.sources.tables import table
 
 SEED = "casemill"
@@ -344,6 +344,42 @@ def manifest(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _pages(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").where("text IS NOT NULL")
+    pages = docs.select("doc_id", F.posexplode(F.split("text", "\n\n")).alias("n", "content"))
+    return pages.select(F.format_string("%d_pages_%d", "doc_id", "n").alias("page_id"), "content")
+
+
+def canonical_cases(spark: SparkSession, sf: str) -> DataFrame:
+    """Paragraphs of documents as numbered pages of canonical texts; page 0 comes last, without a number."""
+    made = documents.canonical_texts(_pages(spark, sf))
+    c = F.col
+    return made.select("case_id", "pages", F.md5("content").alias("digest"), documents.canonical_id(c("case_id"), F.lit("en"), c("content")).alias("canonical_id"))
+
+
+def content_warnings(spark: SparkSession, sf: str) -> DataFrame:
+    """Warnings on each record's content."""
+    made = documents.quality_warnings(F.col("content"), F.col("page_count"))
+    return _records(spark, sf).distinct().select("id", F.array_join(made, "|").alias("warnings"))
+
+
+def document_topics(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents by topic of their text."""
+    rows = table(spark, sf, "documents").where("text IS NOT NULL").select("doc_id", documents.topic_of(F.col("text")).alias("topic"))
+    return rows.groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
+
+
+def record_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """Records as documents with header and markers, and what a check finds wrong with them."""
+    made = documents.text_documents(_records(spark, sf).distinct(), "2025-01-01T00:00:00")
+    return made.select("id", F.length("document").alias("n_chars"), F.array_join(documents.format_errors(F.col("document")), "|").alias("errors"))
+
+
+def compact_markers(spark: SparkSession, sf: str) -> DataFrame:
+    """The first compact marker of each record."""
+    return _records(spark, sf).distinct().select("id", documents.compact_marker("DOC", F.lit(0)).alias("marker"))
+
+
 def vector_neighbours(spark: SparkSession, sf: str) -> DataFrame:
     """The ten nearest vectors of every vector whose id is divisible by 100, against all."""
     vectors = table(spark, sf, "embeddings")
@@ -363,6 +399,7 @@ _ALL = [
     latest_extraction, previous_snapshot, last_delivery_status, extraction_rollup, quality_sets, flag_counts, coverage,
     freshness, record_search, record_names, file_names, inventory_slugs, sentence_truncation, discovery_anchor, top_terms,
     document_keywords, phrase_counts, statute_references, document_chunks, marked_records, quality_gates,
-    language_by_signs, record_checks, manifest, vector_neighbours, vector_precision,
+    language_by_signs, record_checks, manifest, canonical_cases, content_warnings, document_topics, record_documents, compact_markers,
+    vector_neighbours, vector_precision,
 ]
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}

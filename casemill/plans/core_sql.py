@@ -209,6 +209,17 @@ SQL: dict[str, str] = {
     "manifest": f"""SELECT id, citation, lower(tribunal) AS court, tribunal_rank, page_count, coalesce(length(content), 0) AS content_length,
         substr(sha256(coalesce(content, '')), 1, 16) AS content_hash, array_to_string({_failing(_EXCEPTIONS)}, '|') AS exceptions
         FROM (SELECT DISTINCT * FROM case_records)""",
+    "canonical_cases": f"""WITH p AS (SELECT doc_id, {_strip("x")} AS x, n FROM (SELECT doc_id, unnest(string_split(text, chr(10) || chr(10))) AS x,
+          unnest(range(len(string_split(text, chr(10) || chr(10))))) AS n FROM documents WHERE text IS NOT NULL)),
+        c AS (SELECT CAST(doc_id AS VARCHAR) AS case_id, count(*) AS pages, coalesce(string_agg(CASE WHEN n = 0 THEN '' ELSE '[p.' || n || '] ' END || x,
+          chr(10) || chr(10) ORDER BY CASE WHEN n = 0 THEN 999999 ELSE n END) FILTER (x <> ''), '') AS content FROM p GROUP BY doc_id)
+        SELECT case_id, pages, md5(content) AS digest, case_id || '_en_' || substr(sha256(content), 1, 8) AS canonical_id FROM c""",
+    "compact_markers": f"""WITH r AS (SELECT id, length(tribunal) AS nt, upper(language) AS l, upper(tribunal) AS t, tribunal_rank AS k,
+          CASE WHEN regexp_full_match(trim(replace(replace(publication_date, '-', ''), '/', '')), '[0-9]{{8}}')
+               THEN trim(replace(replace(publication_date, '-', ''), '/', '')) ELSE '99999999' END AS d,
+          trim(coalesce(citation, '')) AS c, file_stem AS s FROM (SELECT DISTINCT * FROM case_records)),
+        w AS (SELECT *, '[DOC|MH00000|' || coalesce(l, '') || '|' || t || '|R' || k || '|' || d || '|' || c || '|' || s || ']' AS m FROM r)
+        SELECT id, CASE WHEN length(m) <= 160 THEN m END AS marker FROM w""",
     "vector_neighbours": _NEAREST + "SELECT query_id, vec_id, rank FROM r",
     "vector_precision": _NEAREST + "SELECT query_id, count(*) FILTER (label = want) AS hits, count(*) FILTER (label = want) / 10.0::DOUBLE AS precision FROM r GROUP BY 1",
 }
