@@ -15,7 +15,9 @@ def distinct_records(case_records: DataFrame, *columns: str) -> DataFrame:
     """
     if columns and "content" not in columns:
         case_records = case_records.withColumn("content", F.md5(F.coalesce("content", F.lit("\0"))))
-    rows = case_records.distinct()
+    # maps can't be compared; their JSON can
+    maps = {c: F.to_json(c) for c, kind in case_records.dtypes if kind.startswith("map")}
+    rows = case_records.withColumns(maps).distinct() if maps else case_records.distinct()
     return rows.select(*columns) if columns else rows
 
 

@@ -106,15 +106,12 @@ def without_lines(rows: DataFrame, found: DataFrame) -> DataFrame:
     """
     digest = F.struct(F.xxhash64(*rows.columns).alias("a"), F.xxhash64(F.lit(1), *rows.columns).alias("b"))
     drop = found.groupBy("record").agg(F.collect_set("line_no").alias("drop"))
+    # the row is carried as one column, so that none of its names can clash
+    whole = rows.distinct().select(F.struct(*rows.columns).alias("_row"), digest.alias("record")).join(drop, "record", "left")
     kept = F.filter(
-        F.transform(F.split("content", "\n"), lambda x, i: F.struct(x.alias("x"), (i + 1).alias("i"))),
+        F.transform(F.split("_row.content", "\n"), lambda x, i: F.struct(x.alias("x"), (i + 1).alias("i"))),
         lambda p: ~F.array_contains("drop", p["i"]),
     )
     cleaned = F.array_join(F.transform(kept, lambda p: p["x"]), "\n")
-    return (
-        rows.distinct()
-        .withColumn("record", digest)
-        .join(drop, "record", "left")
-        .withColumn("content", F.when(F.col("drop").isNull(), F.col("content")).otherwise(cleaned))
-        .select(*rows.columns)
-    )
+    content = F.when(F.col("drop").isNull(), F.col("_row.content")).otherwise(cleaned)
+    return whole.select(*((content if c == "content" else F.col("_row")[c]).alias(c) for c in rows.columns))

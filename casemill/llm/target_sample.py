@@ -30,18 +30,17 @@ class TargetSample(NamedTuple):
 
 
 def in_cells(records: DataFrame, targets: DataFrame) -> DataFrame:
-    """``records`` with the target_id of the cell that each is in; those in none are left out."""
-    year = F.when(F.substring("publication_date", 1, 4).rlike(r"^\d{4}$"), F.substring("publication_date", 1, 4)).cast("int")
-    own = records.withColumns(
-        {
-            "_tribunal": F.lower("tribunal"),
-            "_language": F.substring(F.lower(F.regexp_replace("language", r"(?U)^\s+|\s+\z", "")), 1, 2),
-            "_year": year,
-        }
+    """(target_id, row): the records in a cell, each as one column, so that no names can clash."""
+    rows = records.select(F.struct(*records.columns).alias("row"))
+    date = F.substring("row.publication_date", 1, 4)
+    own = rows.select(
+        "row",
+        F.lower("row.tribunal").alias("tribunal"),
+        F.substring(F.lower(F.regexp_replace("row.language", r"(?U)^\s+|\s+\z", "")), 1, 2).alias("language"),
+        F.when(date.rlike(r"^\d{4}$"), date).cast("int").alias("year"),
     )
-    cells = F.broadcast(targets.select("target_id", F.col("tribunal").alias("t"), F.col("language").alias("l"), "year_from", "year_to"))
-    fits = (F.col("_tribunal") == F.col("t")) & (F.col("_language") == F.col("l")) & F.col("_year").between(F.col("year_from"), F.col("year_to"))
-    return own.join(cells, fits).select("target_id", *records.columns)
+    cells = F.broadcast(targets.select("target_id", "tribunal", "language", "year_from", "year_to"))
+    return own.join(cells, ["tribunal", "language"]).where("year BETWEEN year_from AND year_to").select("target_id", "row")
 
 
 def rake(have: np.ndarray, want: np.ndarray, margins: list[np.ndarray], rounds: int = 200) -> np.ndarray:
@@ -91,7 +90,8 @@ def target_sample(records: DataFrame, targets: DataFrame, size: int, seed: int =
     is the greater of min_rows and target_share * size, rounded to six decimals and
     then up. A record whose tribunal, language or date fits no cell is never drawn;
     repeated rows are each drawn on their own; empty records give an empty sample and
-    a report of gaps. NULL in target_share or min_rows counts as 0.
+    a report of gaps. NULL in target_share or min_rows counts as 0. A column target_id of
+    ``records`` itself is left out of the sample.
     """
     spark = records.sparkSession
     cells = targets.limit(MAX_CELLS + 1).collect()
@@ -99,8 +99,10 @@ def target_sample(records: DataFrame, targets: DataFrame, size: int, seed: int =
         raise ValueError(f"more than {MAX_CELLS} target cells")
     cells.sort(key=lambda c: c["target_id"])
     inside = in_cells(records, targets)
-    twin = F.row_number().over(Window.partitionBy(key).orderBy(F.xxhash64(*records.columns)))
-    h = F.xxhash64(F.lit(seed), F.col(key), F.col("_twin"))
+    own = F.col("row")[key]
+    # rows that share a key draw apart: the second of two equal rows has another number
+    twin = F.row_number().over(Window.partitionBy(own).orderBy(F.xxhash64("row")))
+    h = F.xxhash64(F.lit(seed), own, F.col("_twin"))
     unit = (F.shiftrightunsigned(h, 11) + F.lit(0.5)) / F.lit(float(2**53))
     draws = inside.withColumn("_twin", twin).withColumn("_e", -F.log(unit))
 
@@ -149,14 +151,13 @@ def target_sample(records: DataFrame, targets: DataFrame, size: int, seed: int =
         [(c["target_id"], full[k], rest[k]) for k, c in enumerate(cells)], "target_id bigint, _bin int, _rest int"
     )
     marked = draws.withColumn("_b", F.greatest(F.least(bin_of, F.lit(8 * PER_HALVING - 1)), F.lit(8 * PER_HALVING - span))).join(F.broadcast(plan), "target_id")
-    rank = F.row_number().over(Window.partitionBy("target_id").orderBy("_e", key, "_twin"))
-    sample = (
+    rank = F.row_number().over(Window.partitionBy("target_id").orderBy("_e", own, "_twin"))
+    chosen = (
         marked.where("_b < _bin")
-        .select("target_id", *records.columns)
-        .unionByName(
-            marked.where("_b = _bin AND _rest > 0").withColumn("_r", rank).where("_r <= _rest").select("target_id", *records.columns)
-        )
+        .select("target_id", "row")
+        .unionByName(marked.where("_b = _bin AND _rest > 0").withColumn("_r", rank).where("_r <= _rest").select("target_id", "row"))
     )
+    sample = chosen.select("target_id", *(F.col("row")[c].alias(c) for c in records.columns if c != "target_id"))
     rows = [
         (c["target_id"], int(have[k]), int(needed[k]), int(take[k]), float(raked[k]), max(0, int(needed[k] - have[k])))
         for k, c in enumerate(cells)

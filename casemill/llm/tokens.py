@@ -92,10 +92,10 @@ def token_counts(
     Rows up to ``chunk_chars`` are counted where they are. Longer ones are cut at
     independent places, the pieces are spread over all workers by row and piece
     number, counted, and summed per row. NULL and empty texts have 0 tokens; rows
-    that are repeated stay repeated; an empty table gives an empty one. ``records``
-    must not have a column n_tokens, piece_no or row_no of its own.
+    that are repeated stay repeated; an empty table gives an empty one. A column
+    n_tokens of ``records`` itself gives way to the count.
     """
-    others = [c for c in records.columns if c != text]
+    others = [c for c in records.columns if c not in (text, "n_tokens")]
     kinds = dict(records.dtypes)
     schema = ", ".join(f"`{c}` {kinds[c]}" for c in others) + ", n_tokens bigint"
     is_long = F.coalesce(F.length(text) > chunk_chars, F.lit(False))
@@ -106,25 +106,25 @@ def token_counts(
         for batch in batches:
             for k in range(batch.num_rows):
                 pieces = independent_pieces(batch.column(text)[k].as_py(), chunk_chars)
-                same = batch.slice(k, 1).select([*others, "row_no"]).take(pa.array([0] * len(pieces)))
+                same = batch.slice(k, 1).select([*others, "_row_no"]).take(pa.array([0] * len(pieces)))
                 yield pa.RecordBatch.from_arrays(
                     [*same.columns, pa.array(range(len(pieces)), pa.int32()), pa.array(pieces, pa.string())],
-                    names=[*others, "row_no", "piece_no", text],
+                    names=[*others, "_row_no", "_piece_no", text],
                 )
 
-    with_row = ", ".join(f"`{c}` {kinds[c]}" for c in others) + ", row_no bigint"
+    with_row = ", ".join(f"`{c}` {kinds[c]}" for c in others) + ", _row_no bigint"
     pieces = (
         records.where(is_long)
-        .select(*others, F.xxhash64(*records.columns).alias("row_no"), text)
-        .mapInArrow(cut, f"{with_row}, piece_no int, `{text}` string")
-        .repartition(task_slots(records.sparkSession), "row_no", "piece_no")
+        .select(*others, F.xxhash64(*others, text).alias("_row_no"), text)
+        .mapInArrow(cut, f"{with_row}, _piece_no int, `{text}` string")
+        .repartition(task_slots(records.sparkSession), "_row_no", "_piece_no")
     )
     summed = (
-        pieces.mapInArrow(lambda b: _with_counts(b, text, folder), f"{with_row}, piece_no int, n_tokens bigint")
-        .groupBy(*others, "row_no", "piece_no")
+        pieces.mapInArrow(lambda b: _with_counts(b, text, folder), f"{with_row}, _piece_no int, n_tokens bigint")
+        .groupBy(*others, "_row_no", "_piece_no")
         # a row that is there k times has k equal pieces for each place
         .agg(F.sum("n_tokens").alias("n"), F.count(F.lit(1)).alias("copies"))
-        .groupBy(*others, "row_no")
+        .groupBy(*others, "_row_no")
         .agg(F.sum("n").alias("n"), F.max("copies").alias("copies"))
         .select(*others, F.explode(F.array_repeat((F.col("n") / F.col("copies")).cast("bigint"), F.col("copies").cast("int"))).alias("n_tokens"))
     )
@@ -265,20 +265,20 @@ def long_text_ids(
                         pa.array(range(len(parts)), pa.int32()),
                         pa.array(parts, pa.string()),
                     ],
-                    names=[key, "piece_no", "piece"],
+                    names=[key, "_piece_no", "piece"],
                 )
 
     encoded = (
         documents.join(seams, key, "left")
         .select(key, text, "cuts")
-        .mapInArrow(pieces, f"`{key}` {kind}, piece_no int, piece string")
-        .repartition(slots, key, "piece_no")
+        .mapInArrow(pieces, f"`{key}` {kind}, _piece_no int, piece string")
+        .repartition(slots, key, "_piece_no")
         .mapInArrow(
-            lambda b: _id_batches(b, [key, "piece_no"], "piece", folder), f"`{key}` {kind}, piece_no int, ids array<int>"
+            lambda b: _id_batches(b, [key, "_piece_no"], "piece", folder), f"`{key}` {kind}, _piece_no int, ids array<int>"
         )
     )
     return encoded.groupBy(key).agg(
-        F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("piece_no", "ids"))), lambda p: p["ids"])).alias("ids")
+        F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("_piece_no", "ids"))), lambda p: p["ids"])).alias("ids")
     )
 
 
