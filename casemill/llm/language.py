@@ -34,7 +34,7 @@ STRIDE, HIDDEN = 4, 16
 WINDOW_BYTES = 512
 #: Bounds of the training sample: labelled texts for each language, and lines of each.
 TEXTS_PER_LANGUAGE, LINES_PER_TEXT = 400, 6
-SWITCH = 3.5
+SWITCH = 4.5
 _QUOTED = re.compile(r"«[^«»]*»|“[^“”]*”|„[^„“”]*[“”]|\"[^\"]*\"|「[^「」]*」")
 _WORDS = re.compile(r"[^\W\d_]+")
 
@@ -171,7 +171,7 @@ def train(lines: list[tuple[str, str]], seed: int = 5, rounds: int = 1_000, batc
     return net
 
 
-def line_probabilities(net: Network, lines: list[str]) -> np.ndarray:
+def line_probabilities(net: Network, lines: list[str], pair: list[list[np.ndarray]] | None = None) -> np.ndarray:
     """(lines, languages): the mean over all positions of each line; even for an empty line.
 
     Lines go through the network sorted by length, so that a step works on those that
@@ -187,7 +187,7 @@ def line_probabilities(net: Network, lines: list[str]) -> np.ndarray:
             pieces.append(raw[a : a + WINDOW_BYTES])
     if not pieces:
         return out
-    pair = [_pair_tables(net, d) for d in range(2)]
+    pair = pair or pair_tables(net)
     n_steps = np.array([-(-len(x) // STRIDE) for x in pieces])
     order = np.argsort(-n_steps, kind="stable")
     total, weight = np.zeros((len(lines), n)), np.zeros(len(lines))
@@ -232,23 +232,18 @@ def line_probabilities(net: Network, lines: list[str]) -> np.ndarray:
     return out
 
 
-_TABLES: dict[int, list] = {}
-
-
-def _pair_tables(net: Network, d: int) -> list[np.ndarray]:
-    """The inputs of direction d by two bytes at once, with the bias; the gates' part halved."""
-    key = id(net) * 2 + d
-    if key not in _TABLES:
-        if len(_TABLES) > 3:
-            _TABLES.clear()
-        scale = np.concatenate([np.full(2 * HIDDEN, 0.5), np.ones(HIDDEN)]).astype(np.float32)
+def pair_tables(net: Network) -> list[list[np.ndarray]]:
+    """For either direction the inputs by two bytes at once, with the bias; the gates' part halved."""
+    scale = np.concatenate([np.full(2 * HIDDEN, 0.5), np.ones(HIDDEN)]).astype(np.float32)
+    out = []
+    for d in range(2):
         tables = []
         for k in range(0, STRIDE, 2):
             low, high = net.inputs[d, k], net.inputs[d, k + 1]
             both = (high[:, None, :] + low[None, :, :]).reshape(65_536, -1)  # little-endian: the second byte is the high one
             tables.append(((both + (net.bias[d] if k == 0 else 0)) * scale).astype(np.float32))
-        _TABLES[key] = tables
-    return _TABLES[key]
+        out.append(tables)
+    return out
 
 
 def readable(line: str) -> str:
@@ -319,9 +314,10 @@ def record_languages(records: DataFrame, net: Network, key: str = "id", text: st
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net = shared.value
+        pair = pair_tables(net)
         for whole in batches:
             for start in range(0, whole.num_rows, 2_000):
-                yield _judge(whole.slice(start, 2_000), net, key)
+                yield _judge(whole.slice(start, 2_000), net, pair, key)
 
     return records.select(key, text).mapInArrow(
         judge,
@@ -329,14 +325,14 @@ def record_languages(records: DataFrame, net: Network, key: str = "id", text: st
     )
 
 
-def _judge(batch: pa.RecordBatch, net: Network, key: str) -> pa.RecordBatch:
+def _judge(batch: pa.RecordBatch, net: Network, pair: list[list[np.ndarray]], key: str) -> pa.RecordBatch:
     index: dict[str, int] = {}
     docs = []
     for content in batch.column(1).to_pylist():
         own = [(no, index.setdefault(readable(x), len(index))) for no, x in enumerate((content or "").split("\n"), 1) if x and not x.isspace()]
         docs.append(own)
     lines = list(index)
-    p = line_probabilities(net, lines)
+    p = line_probabilities(net, lines, pair)
     letters = np.array([telling(x) for x in lines] or [0])
     top = p.argmax(axis=1) if len(lines) else np.zeros(0, int)
     at, froms, tos, langs, sure, many = [], [], [], [], [], []

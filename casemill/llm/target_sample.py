@@ -91,20 +91,20 @@ def target_sample(records: DataFrame, targets: DataFrame, size: int, seed: int =
     then up. A record whose tribunal, language or date fits no cell is never drawn;
     repeated rows are each drawn on their own; empty records give an empty sample and
     a report of gaps. NULL in target_share or min_rows counts as 0. A column target_id of
-    ``records`` itself is left out of the sample.
+    ``records`` itself is left out of the sample; a map column can't be compared and
+    is an error.
     """
     spark = records.sparkSession
     cells = targets.limit(MAX_CELLS + 1).collect()
     if len(cells) > MAX_CELLS:
         raise ValueError(f"more than {MAX_CELLS} target cells")
     cells.sort(key=lambda c: c["target_id"])
-    inside = in_cells(records, targets)
+    # equal rows are counted, then told apart by number, so that a row which is there often is never sorted
+    inside = in_cells(records, targets).groupBy("target_id", "row").agg(F.count(F.lit(1)).alias("n"))
     own = F.col("row")[key]
-    # rows that share a key draw apart: the second of two equal rows has another number
-    twin = F.row_number().over(Window.partitionBy(own).orderBy(F.xxhash64("row")))
-    h = F.xxhash64(F.lit(seed), own, F.col("_twin"))
+    h = F.xxhash64(F.lit(seed), "row", "_twin")
     unit = (F.shiftrightunsigned(h, 11) + F.lit(0.5)) / F.lit(float(2**53))
-    draws = inside.withColumn("_twin", twin).withColumn("_e", -F.log(unit))
+    draws = inside.select("target_id", "row", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("_twin")).withColumn("_e", -F.log(unit))
 
     at = {c["target_id"]: k for k, c in enumerate(cells)}
     bin_of = F.floor(F.log2("_e") * PER_HALVING).cast("int")

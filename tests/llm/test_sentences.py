@@ -47,8 +47,11 @@ def test_units_end_with_paragraphs():
 
 
 def test_learning_and_empty_texts(spark):
-    line = "The firm Torbex Inc. asked for the benefits of {n} weeks. In the end Mr. {n} left. The clerk of Linvane Inc. wrote to Mr. Galmesk. {n} said so to the clerk."
-    rows = [(k, "\n\n".join(line.format(n=n) for n in ("Ostdale", "Quernour", "Vellier")), "en", 0) for k in range(60)]
+    lines = [
+        "The firm Torbex Inc. asked in the end for the benefits of {n} weeks. In the end Mr. {n} left. The clerk of Linvane Inc. wrote to Mr. {n}. {n} said so in the office.",
+        "{n} was in the office for weeks. The clerk of Torbex Inc. asked for it. In that week Mr. {n} saw that Linvane Inc. left the office. In the end the firm wrote to {n}.",
+    ]
+    rows = [(k, "\n\n".join(lines[k % 2].format(n=n) for n in ("Ostdale", "Quernour", "Vellier")), "en", 0) for k in range(60)]
     rows += [(100, None, None, 0), (101, "", None, 0), (102, " \n\xa0", None, 0), (103, "x" * 50_000, None, 0)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, start_char int")
     st = S.learn(S.corpus_counts(df))
