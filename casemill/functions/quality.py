@@ -29,15 +29,11 @@ def gates(text: Column, pages: Column) -> dict[str, Column]:
     return flags | {"score": reduce(add, (f.cast("int") for f in flags.values())) / 4.0}
 
 
-def sign_counts(text: Column) -> tuple[Column, Column]:
-    t = F.lower(F.coalesce(text, F.lit("")))
-    return tuple(reduce(add, (count_of(t, s) for s in signs)) for signs in (FRENCH_SIGNS, ENGLISH_SIGNS))
-
-
-def two_languages(text: Column) -> Column:
-    """en, fr or bi by counts of small words; en for an empty text."""
-    french, english = sign_counts(text)
-    return F.when(F.coalesce(text, F.lit("")) == "", "en").when(french > 2 * english, "fr").when(english > 2 * french, "en").otherwise("bi")
+def two_languages(lower: Column) -> Column:
+    """en, fr or bi by counts of small words of a text in lower case; en for an empty text."""
+    t = F.coalesce(lower, F.lit(""))
+    french, english = (reduce(add, (count_of(t, s) for s in signs)) for signs in (FRENCH_SIGNS, ENGLISH_SIGNS))
+    return F.when(t == "", "en").when(french > 2 * english, "fr").when(english > 2 * french, "en").otherwise("bi")
 
 
 def record_failures(min_content: int = 1000) -> Column:

@@ -111,9 +111,9 @@ def quality_warnings(text: Column, pages: Column) -> Column:
     )
 
 
-def topic_of(text: Column) -> Column:
-    """The topic whose patterns match most often; the first of equals, and the default where none matches."""
-    scores = [(t, reduce(add, (F.regexp_count(text, F.lit("(?iU)" + p)) for p in patterns))) for t, patterns in TOPIC_PATTERNS.items()]
+def topic_of(lower: Column) -> Column:
+    """The topic whose patterns match a text in lower case most often; the first of equals, and the default where none matches."""
+    scores = [(t, reduce(add, (F.regexp_count(lower, F.lit("(?U)" + p)) for p in patterns))) for t, patterns in TOPIC_PATTERNS.items()]
     ranked = F.array(*(F.struct(n.alias("n"), F.lit(-k).alias("k"), F.lit(t).alias("topic")) for k, (t, n) in enumerate(scores)))
     best = F.array_max(ranked)
     return F.when(best["n"] > 0, best["topic"]).otherwise(DEFAULT_TOPIC)

@@ -12,7 +12,9 @@ _WORD = r"\A[a-zàâäæçèéêëïîôœùûüÿ][a-zàâäæçèéêëïîô
 
 
 def without_links(text: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(F.regexp_replace(text, r"https?://\S+", ""), r"www\.\S+", ""), r"\S+@\S+", "")
+    """A text without addresses of pages and mail; each pattern reads a run of characters once, however long."""
+    pages = F.regexp_replace(F.regexp_replace(text, r"https?://\S+", ""), r"www\.\S+", "")
+    return F.regexp_replace(pages, r"(?<!\S)\S[^\s@]*+@\S+", "")
 
 
 def words(text: Column) -> Column:

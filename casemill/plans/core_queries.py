@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from casemill.functions import quality
 from casemill.functions import text as T
 from casemill.operators import cases, chunks, documents, keywords, retrieval, sampling, snapshots
-from casemill.sources.tables import table
+from casemill.sources.tables import spread, table
 
 SEED = "casemill"
 
@@ -39,6 +39,10 @@ def _year(c: str = "publication_date"):
     return F.substring(c, 1, 4)
 
 
+def _documents(spark: SparkSession, sf: str) -> DataFrame:
+    return spread(table(spark, sf, "documents").select("doc_id", "text"))
+
+
 def page_scan(spark: SparkSession, sf: str) -> DataFrame:
     """Rows with enough content and a citation, of one year's prefix."""
     rows = _records(spark, sf).where("content IS NOT NULL AND length(content) >= 100 AND citation IS NOT NULL")
@@ -267,47 +271,47 @@ def inventory_slugs(spark: SparkSession, sf: str) -> DataFrame:
 
 def sentence_truncation(spark: SparkSession, sf: str) -> DataFrame:
     """Texts cut at a sentence within 900 characters."""
-    docs = table(spark, sf, "documents").where("text IS NOT NULL").select("doc_id", T.truncate_on_sentence(F.col("text"), 900).alias("t"))
+    docs = _documents(spark, sf).where("text IS NOT NULL").select("doc_id", T.truncate_on_sentence(F.col("text"), 900).alias("t"))
     return docs.select("doc_id", F.length("t").alias("n"), F.md5("t").alias("digest"))
 
 
 def discovery_anchor(spark: SparkSession, sf: str) -> DataFrame:
     """A clean opening of each document."""
-    return table(spark, sf, "documents").where("text IS NOT NULL").select("doc_id", T.anchor(F.col("text")).alias("anchor"))
+    return _documents(spark, sf).where("text IS NOT NULL").select("doc_id", T.anchor(F.col("text")).alias("anchor"))
 
 
 def top_terms(spark: SparkSession, sf: str) -> DataFrame:
     """The seven most frequent words of each document, ties in order of their first place."""
     from pyspark.sql import Window
 
-    counted = keywords.term_counts(table(spark, sf, "documents"), "doc_id", "text").where("n >= 2")
+    counted = keywords.term_counts(_documents(spark, sf), "doc_id", "text").where("n >= 2")
     w = Window.partitionBy("doc_id").orderBy(F.desc("n"), "first")
     return counted.withColumn("place", F.row_number().over(w)).where("place <= 7").select("doc_id", "word", "n", "place")
 
 
 def document_keywords(spark: SparkSession, sf: str) -> DataFrame:
     """Weighted keywords of each document."""
-    return keywords.keywords(table(spark, sf, "documents").where("text IS NOT NULL"))
+    return keywords.keywords(_documents(spark, sf).where("text IS NOT NULL"))
 
 
 def phrase_counts(spark: SparkSession, sf: str) -> DataFrame:
     """How often phrases of the lexicon stand in each document."""
     t = F.lower("text")
     terms = {"regular_benefits": "regular benefits", "medical_note": "medical note", "avis_ecrit": "avis écrit"}
-    return table(spark, sf, "documents").where("text IS NOT NULL").select("doc_id", *(T.count_of(t, p).alias(n) for n, p in terms.items()))
+    return _documents(spark, sf).where("text IS NOT NULL").select("doc_id", *(T.count_of(t, p).alias(n) for n, p in terms.items()))
 
 
 def statute_references(spark: SparkSession, sf: str) -> DataFrame:
     """Distinct statute references by document."""
     from casemill.functions.wordlists import STATUTE_PATTERNS
 
-    docs = table(spark, sf, "documents").where("text IS NOT NULL").select("doc_id", T.matches(F.col("text"), STATUTE_PATTERNS).alias("refs"))
+    docs = _documents(spark, sf).where("text IS NOT NULL").select("doc_id", T.matches(F.col("text"), STATUTE_PATTERNS).alias("refs"))
     return docs.select("doc_id", F.size("refs").alias("n_refs"), F.array_join(F.array_sort("refs"), "|").alias("refs"))
 
 
 def document_chunks(spark: SparkSession, sf: str) -> DataFrame:
     """Chunks of about 1500 characters."""
-    made = chunks.chunk_table(table(spark, sf, "documents"), "doc_id", "text")
+    made = chunks.chunk_table(_documents(spark, sf), "doc_id", "text")
     return made.select("doc_id", "counter", "start", "end", F.md5("chunk").alias("digest"))
 
 
@@ -324,7 +328,8 @@ def quality_gates(spark: SparkSession, sf: str) -> DataFrame:
 
 def language_by_signs(spark: SparkSession, sf: str) -> DataFrame:
     """en, fr or bi by counts of small words."""
-    return table(spark, sf, "documents").select("doc_id", quality.two_languages(F.col("text")).alias("found"))
+    lower = _documents(spark, sf).select("doc_id", F.lower("text").alias("t"))
+    return lower.select("doc_id", quality.two_languages(F.col("t")).alias("found"))
 
 
 def record_checks(spark: SparkSession, sf: str) -> DataFrame:
@@ -365,7 +370,8 @@ def content_warnings(spark: SparkSession, sf: str) -> DataFrame:
 
 def document_topics(spark: SparkSession, sf: str) -> DataFrame:
     """Documents by topic of their text."""
-    rows = table(spark, sf, "documents").where("text IS NOT NULL").select("doc_id", documents.topic_of(F.col("text")).alias("topic"))
+    lower = _documents(spark, sf).where("text IS NOT NULL").select("doc_id", F.lower("text").alias("t"))
+    rows = lower.select("doc_id", documents.topic_of(F.col("t")).alias("topic"))
     return rows.groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -7,3 +7,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def spread(rows: DataFrame) -> DataFrame:
+    """The rows over at least as many partitions as there are cores, before work that is heavy for its bytes.
+
+    A table of many files comes in enough partitions and is left as it is; one small
+    file would keep a single core busy.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
