@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from casemill.llm import alignment, language, leaks, repeated_lines, scans, sentences, target_sample, tokens
 from casemill.llm.records import distinct_records, site_of
 from casemill.session import materialise
-from casemill.sources.tables import table
+from casemill.sources.tables import spread, table
 
 
 def _keyed(rows: DataFrame) -> DataFrame:
@@ -123,17 +123,17 @@ def p7_languages(spark: SparkSession, sf: str) -> DataFrame:
 
 def p8_ids(spark: SparkSession, sf: str) -> DataFrame:
     """Ids of every document by byte_bpe_50k."""
-    return tokens.encode_corpus(table(spark, sf, "documents"))
+    return tokens.encode_corpus(spread(table(spark, sf, "documents").select("doc_id", "text")))
 
 
 def p9_found(spark: SparkSession, sf: str) -> DataFrame:
     """Documents that hold at least half of an evaluation item."""
-    return leaks.leaked_items(table(spark, sf, "documents"), table(spark, sf, "eval_items")).distinct()
+    return leaks.leaked_items(spread(table(spark, sf, "documents").select("doc_id", "text")), table(spark, sf, "eval_items")).distinct()
 
 
 def p10_found(spark: SparkSession, sf: str) -> DataFrame:
     """Sentence units of every document."""
-    return sentences.split_corpus(table(spark, sf, "documents"))
+    return sentences.split_corpus(spread(table(spark, sf, "documents").select("doc_id", "text")))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
