@@ -298,9 +298,11 @@ def training_sample(labelled: DataFrame, texts_per_language: int = TEXTS_PER_LAN
     rate = F.create_map(*(F.lit(x) for k, n in sizes.items() for x in (k, int(1_200_000 * texts_per_language / n)))) if sizes else None
     if rate is None:
         return []
-    lines = F.slice(F.shuffle(F.filter(F.split("text", "\n"), lambda x: F.length(x) >= 20), F.lit(seed)), 1, LINES_PER_TEXT)
+    long_enough = F.shuffle(F.filter(F.split("text", "\n"), lambda x: F.length(x) >= 20), F.lit(seed))
+    # the bound of what comes to the driver: so many lines of a text, and so much of a line
+    lines = F.transform(F.slice(long_enough, 1, LINES_PER_TEXT), lambda x: F.substring(x, 1, 2_000))
     sample = rows.where(draw < rate[F.col("lang")]).select("lang", lines.alias("lines")).limit(2 * texts_per_language * len(LANGUAGES))
-    return sorted({(readable(F_line)[:600], r["lang"]) for r in sample.collect() for F_line in r["lines"]})
+    return sorted({(readable(line)[:600], r["lang"]) for r in sample.collect() for line in r["lines"]})
 
 
 def record_languages(records: DataFrame, net: Network, key: str = "id", text: str = "content") -> DataFrame:
