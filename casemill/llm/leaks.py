@@ -2,14 +2,17 @@
 
 The items form a BM25 inverted index with block maxima, small enough to be at every
 worker: items come in blocks of MAX_ITEMS, each of which is a pass over the corpus.
-Every passage of every text is a query.  What a passage could score at most prunes
-nearly all of them at once; the rest run block-max WAND against the index, and what
-they retrieve is aligned word by word with the whole text.
-
-The threshold proves that nothing is missed: of a leaked stretch with at most one
-edit in ten words, some PIECE words in a row hold at most one edit, they lie inside
-one passage, and so that passage scores at least the item's poorest PIECE words
-without their best one.
+Every passage of every text is a query.  What a passage could score at most, and that
+it needs a run of words from an item, prune nearly all of them at once; the rest run
+block-max WAND against the index, and what they retrieve is aligned word by word with
+the whole text.
+
+The threshold proves that nothing is missed.  A stretch of n words with at most n / 10
+edits has n // 10 pieces of ten words side by side, at least as many as edits, so that
+one of them holds at most one edit (a shorter stretch has none), and five words in a
+row without any.  The piece lies inside one passage, which so scores at least the
+item's poorest ten words without their best one.  ``piece_of`` has the lengths for
+other shares and edits.
 """
 
 from __future__ import annotations
@@ -27,8 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 PIECE, STRIDE = 16, 4
-WINDOW = PIECE + 1 + STRIDE - 1
 BLOCK = 16
+RUN_BITS = 20
 MAX_ITEMS = 4_000
 K1, B = 1.2, 0.75
 _WORDS = re.compile(r"[^\W_]+")
@@ -48,10 +51,37 @@ def words_of(text: str) -> list[str]:
     return text.lower().translate(_APART).split()
 
 
+def piece_of(length: int, share: float, edits: float) -> tuple[int, int, int]:
+    """(size, lacks, run): what every leaked stretch of an item of ``length`` words has.
+
+    That is ``size`` words in a row of which at most ``lacks`` are edited, and among
+    them ``run`` words in a row without an edit.
+    """
+    if not 0 <= edits <= 0.5:
+        raise ValueError(f"edits must lie between 0 and 0.5, not {edits}")
+    need = max(1, math.ceil(length * share))
+    most = min(PIECE, int(1 / edits + 1e-9)) if edits else PIECE
+    if length * edits + 1e-9 < 1:
+        return min(need, most), 0, min(need, most)
+    if need <= most // 2:
+        return need, 0, need
+    return min(need, most), 1, most // 2
+
+
+def _run_keys(ids: np.ndarray, run: int) -> np.ndarray:
+    """A key of each ``run`` words in a row."""
+    n = max(0, len(ids) - run + 1)
+    wide, keys = ids.astype(np.uint64), np.zeros(n, np.uint64)
+    for k in range(run):
+        keys = (keys ^ wide[k : k + n]) * np.uint64(0x9E3779B97F4A7C15)
+        keys ^= keys >> np.uint64(29)
+    return keys
+
+
 class ItemIndex:
     """Inverted index of one block of items. df: in how many of the n_texts texts a word stands."""
 
-    def __init__(self, items: list[tuple[int, list[str]]], df: dict[str, int], n_texts: int, share: float):
+    def __init__(self, items: list[tuple[int, list[str]]], df: dict[str, int], n_texts: int, share: float, edits: float = 0.1):
         self.items = [(i, w) for i, w in items if w]
         words = sorted({x for _, w in self.items for x in w})
         self.term = {x: k for k, x in enumerate(words)}
@@ -63,15 +93,25 @@ class ItemIndex:
             tf = Counter(w)
             norm = K1 * (1 - B + B * len(w) / mean)
             score = {x: idf[x] * c * (K1 + 1) / (c + norm) for x, c in tf.items()}
-            size = max(1, min(PIECE, math.ceil(len(w) * share)))
-            least = min(self._poorest(score, set(w[a : a + size])) for a in range(max(1, len(w) - size + 1)))
-            scored.append((least, i, w, score, size))
+            piece = piece_of(len(w), share, edits)
+            size, lacks, _ = piece
+            least = min(self._poorest(score, set(w[a : a + size]), lacks) for a in range(max(1, len(w) - size + 1)))
+            scored.append((least, i, w, score, piece))
         # items of like thresholds share a block, so that a low one doesn't open blocks of others
         scored.sort(key=lambda x: (x[0], x[1]))
         self.items = [(i, w) for _, i, w, _, _ in scored]
         self.least = np.array([x[0] for x in scored])
         self.piece = [x[4] for x in scored]
+        # a passage holds a piece with at most one word added, wherever the piece begins
+        self.window = max((size for size, _, _ in self.piece), default=1) + 1 + STRIDE - 1
         self.ids = [np.array([self.term[x] for x in w], np.int32) for _, w in self.items]
+        self.runs: dict[int, np.ndarray] = {}
+        self.owners: dict[int, set[int]] = {}
+        for k, (x, (_, _, run)) in enumerate(zip(self.ids, self.piece, strict=True)):
+            keys = _run_keys(x, run)
+            self.runs.setdefault(run, np.zeros(1 << RUN_BITS, bool))[keys >> np.uint64(64 - RUN_BITS)] = True
+            for key in keys.tolist():
+                self.owners.setdefault(key, set()).add(k)
         n_blocks = max(1, -(-len(scored) // BLOCK))
         self.block_least = np.array([self.least[b * BLOCK : (b + 1) * BLOCK].min(initial=np.inf) for b in range(n_blocks)]) - 1e-3
         self.row_of = np.zeros((max(1, len(words)), n_blocks), np.int32)
@@ -89,9 +129,9 @@ class ItemIndex:
         self.threshold = float(self.block_least.min())
 
     @staticmethod
-    def _poorest(score: dict[str, float], words: set[str]) -> float:
+    def _poorest(score: dict[str, float], words: set[str], lacks: int) -> float:
         values = [score[x] for x in words]
-        return sum(values) - (max(values) if len(values) > 1 else 0)
+        return sum(values) - (max(values) if lacks and len(values) > 1 else 0)
 
     def retrieve(self, terms: np.ndarray) -> list[int]:
         """Items that score at least their own threshold for a passage, by block-max WAND.
@@ -110,29 +150,50 @@ class ItemIndex:
 
     def candidates(self, words: list[str]) -> set[int]:
         ids = np.fromiter((self.term.get(x, -1) for x in words), np.int32, len(words))
-        bound = np.concatenate([[0.0], np.where(ids >= 0, self.most[ids], 0).cumsum()])
-        starts = np.arange(0, max(1, len(ids) - WINDOW + STRIDE), STRIDE)
-        ends = np.minimum(starts + WINDOW, len(ids))
-        likely = bound[ends] - bound[starts] >= self.threshold
+        starts = np.arange(0, max(1, len(ids) - self.window + STRIDE), STRIDE)
+        ends = np.minimum(starts + self.window, len(ids))
+        owners = self._with_run(ids, starts, ends)
+        if not owners:
+            return set()
+        likely = np.zeros(len(starts), bool)
+        likely[list(owners)] = True
+        # a sum over a long text in single precision would be off by more than a word's score
+        bound = np.concatenate([[0.0], np.where(ids >= 0, self.most[ids], 0).cumsum(dtype=np.float64)])
+        likely &= bound[ends] - bound[starts] >= self.threshold
         found: set[int] = set()
         present = np.zeros(len(self.term), np.int8)
-        for s, e in zip(starts[likely].tolist(), ends[likely].tolist(), strict=True):
+        for k in np.flatnonzero(likely).tolist():
+            s, e = starts[k], ends[k]
             terms = np.unique(ids[s:e])
             terms = terms[terms >= 0]
             if self.most[terms].sum() < self.threshold:
                 continue
             present[terms] = 1
             for item in self.retrieve(terms):
-                if item not in found and self.has_piece(item, present):
+                if item in owners[k] and item not in found and self.has_piece(item, present):
                     found.add(item)
             present[terms] = 0
         return found
 
+    def _with_run(self, ids: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> dict[int, set[int]]:
+        """The passages that hold as long a run of an item's words as a piece of it has at least, with these items."""
+        out: dict[int, set[int]] = {}
+        for run, known in self.runs.items():
+            keys = _run_keys(ids, run)
+            for at in np.flatnonzero(known[keys >> np.uint64(64 - RUN_BITS)]).tolist():
+                own = self.owners.get(int(keys[at]))
+                if own:
+                    # passages that begin at the run or before it and end after it
+                    first, last = np.searchsorted(ends, at + run), np.searchsorted(starts, at, "right")
+                    for k in range(first, last):
+                        out.setdefault(k, set()).update(own)
+        return out
+
     def has_piece(self, item: int, present: np.ndarray) -> bool:
-        """Whether, of some PIECE words of the item in a row, the passage lacks at most one."""
+        """Whether, of some piece of the item, the passage lacks at most as many words as the piece may lack."""
         own = np.concatenate([[0], present[self.ids[item]].cumsum()])
-        size = self.piece[item]
-        return bool((own[size:] - own[:-size]).max() >= size - 1)
+        size, lacks, _ = self.piece[item]
+        return len(own) > size and bool((own[size:] - own[:-size]).max() >= size - lacks)
 
 
 def holds(words: list[str], item: list[str], share: float, edits: float) -> bool:
@@ -142,46 +203,42 @@ def holds(words: list[str], item: list[str], share: float, edits: float) -> bool
     places where the text may run along the item come from shared runs of four words; around each of
     them the two are aligned.
     """
-    need = math.ceil(len(item) * share)
-    n = min(4, max(1, need))
+    need = max(1, math.ceil(len(item) * share))
+    n = min(4, piece_of(len(item), share, edits)[2])
     runs: dict[tuple[str, ...], list[int]] = {}
     for k in range(len(item) - n + 1):
         runs.setdefault(tuple(item[k : k + n]), []).append(k)
     places = sorted({(p - k) // 8 for p in range(len(words) - n + 1) for k in runs.get(tuple(words[p : p + n]), ())})
     slack = 8 + int(len(item) * edits) + 8
-    return any(_aligned(words[max(0, 8 * d - slack) : 8 * d + len(item) + slack], item, need, edits) for d in places)
+    around = (words[max(0, 8 * d - slack) : 8 * d + len(item) + slack] for d in places)
+    return any(_enough(near, item, need, edits) and _aligned(near, item, need, edits) for near in around)
+
+
+def _enough(words: list[str], item: list[str], need: int, edits: float) -> bool:
+    """Whether the words, in any order, lack few enough of some stretch of the item."""
+    present = set(words)
+    lacked = np.concatenate([[0], np.cumsum([x not in present for x in item])]) - edits * np.arange(len(item) + 1)
+    return bool((lacked[need:] <= np.maximum.accumulate(lacked[: len(item) + 1 - need]) + 1e-9).any())
 
 
 def _aligned(words: list[str], item: list[str], need: int, edits: float) -> bool:
-    """The best local alignment of two short word lists, and the longest stretch of it with few enough edits."""
+    """Whether some stretch of the item, from any of its words on, is few enough edits away from some of the words."""
     vocabulary: dict[str, int] = {}
     a = np.array([vocabulary.setdefault(x, len(vocabulary)) for x in item])
     b = np.array([vocabulary.setdefault(x, len(vocabulary)) for x in words])
-    score = np.zeros((len(a) + 1, len(b) + 1), np.int32)
-    gap = 2
-    ramp = np.arange(len(b) + 1) * gap
+    # cost[s, j]: the least edits between the item's words from s on and some words that end before j
+    cost = np.zeros((max(0, len(a) - need + 1), len(b) + 1), np.int32)
+    ramp = np.arange(len(b) + 1, dtype=np.int32)
     for i in range(len(a)):
-        step = np.maximum(score[i, :-1] + np.where(b == a[i], 1, -gap), score[i, 1:] - gap)
-        row = np.concatenate([[0], np.maximum(step, 0)])
-        score[i + 1] = np.maximum.accumulate(row + ramp) - ramp
-    i, j = np.unravel_index(int(score.argmax()), score.shape)
-    path: list[tuple[int, int]] = []  # (item words, edits) of each step
-    while i > 0 and j > 0 and score[i, j] > 0:
-        same = a[i - 1] == b[j - 1]
-        if score[i, j] == score[i - 1, j - 1] + (1 if same else -gap):
-            path.append((1, 0 if same else 1))
-            i, j = i - 1, j - 1
-        elif score[i, j] == score[i - 1, j] - gap:
-            path.append((1, 1))
-            i -= 1
-        else:
-            path.append((0, 1))
-            j -= 1
-    item_words = np.concatenate([[0], np.cumsum([x for x, _ in path])])
-    errors = np.concatenate([[0], np.cumsum([e for _, e in path])])
-    n = item_words[None, :] - item_words[:, None]
-    e = errors[None, :] - errors[:, None]
-    return bool(((n >= need) & (e <= n * edits + 1e-9)).any())
+        begun = cost[: i + 1]
+        step = begun + 1
+        np.minimum(step[:, 1:], begun[:, :-1] + (b != a[i]), out=step[:, 1:])
+        begun[:] = np.minimum.accumulate(step - ramp, axis=1) + ramp
+        if i + 1 >= need:
+            long = begun[: i + 2 - need]
+            if (long.min(axis=1) <= (i + 1 - np.arange(len(long))) * edits + 1e-9).any():
+                return True
+    return False
 
 
 def text_frequencies(texts: DataFrame, vocabulary: set[str]) -> dict[str, int]:
@@ -227,7 +284,7 @@ def leaked_items(
         own = rows if blocks == 1 else rows.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == block)
         items = sorted((r["item_id"], words_of(r["text"])) for r in own.collect())
         df = text_frequencies(texts, {x for _, w in items for x in w})
-        index = ItemIndex(items, df, df.pop("", 0), share)
+        index = ItemIndex(items, df, df.pop("", 0), share, edits)
         shared = documents.sparkSession.sparkContext.broadcast(index)
 
         def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

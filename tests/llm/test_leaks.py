@@ -73,6 +73,59 @@ def test_against_brute_force(spark, case):
         assert brute(texts[k], items[i][1]) == ((k, i) in got), (k, i)
 
 
+def edited(part, places, act):
+    out = []
+    for k, w in enumerate(part):
+        if k not in places:
+            out.append(w)
+        elif act == "replace":
+            out.append(f"zzz{k}")
+        elif act == "add":
+            out += [f"zzz{k}", w]
+    return out
+
+
+@pytest.mark.parametrize("act", ["replace", "add", "drop"])
+def test_half_items_with_edits_in_the_worst_places(spark, act):
+    rng = random.Random(11)
+    items = [(k, sentence(rng, n)) for k, n in enumerate([19, 39, 40, 52, 60, 84])]
+    texts, want = [], set()
+    for i, item in items:
+        n = -(-len(item) // 2)
+        e = n // 10
+        even = {round((k + 1) * (n + 1) / (e + 1)) - 1 for k in range(e)}
+        middle = set(range((n - e) // 2, (n - e) // 2 + e))
+        for places in (even, middle):
+            texts.append(sentence(rng, 5) + edited(item[len(item) - n :], places, act) + sentence(rng, 5))
+            want.add((len(texts) - 1, i))
+            # brute force is slow on longer items
+            assert len(item) > 40 or brute(texts[-1], item)
+    docs = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)], "doc_id bigint, text string")
+    table = spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id bigint, text string")
+    assert {tuple(r) for r in K.leaked_items(docs, table).collect()} == want
+
+
+def test_every_placement_of_edits_is_retrieved():
+    rng = random.Random(12)
+    for length, share, edits in [(40, 0.5, 0.1), (60, 0.5, 0.1), (84, 0.5, 0.1), (14, 0.5, 0.1), (9, 0.5, 0.1), (30, 0.2, 0.25), (40, 0.5, 0.0)]:
+        item = sentence(rng, length)
+        index = K.ItemIndex([(0, item), (1, sentence(rng, 50))], {}, 100, share, edits)
+        need = -(-int(length * share * 10) // 10)
+        for _ in range(300):
+            n = rng.randrange(need, length + 1)
+            a = rng.randrange(length - n + 1)
+            places = set(rng.sample(range(n), int(n * edits + 1e-9)))
+            text = sentence(rng, rng.randrange(12)) + edited(item[a : a + n], places, rng.choice(["replace", "add", "drop"])) + sentence(rng, rng.randrange(12))
+            assert 0 in {index.items[c][0] for c in index.candidates(text)} and K.holds(text, item, share, edits)
+
+
+def test_a_longer_exact_part_elsewhere_hides_nothing():
+    item = [f"w{k}" for k in range(60)]
+    other = edited(item[30:], {5, 15, 25}, "replace")
+    text = item[:26] + ["zzz"] * 20 + other
+    assert not K.holds(item[:26], item, 0.5, 0.1) and K.holds(other, item, 0.5, 0.1) and K.holds(text, item, 0.5, 0.1)
+
+
 def test_accents_and_case_dont_count():
     assert K.words_of("Été  d’ÉTÉ, l'été!") == ["ete", "d", "ete", "l", "ete"]
     assert K.words_of("naïve 中文 é") == ["naive", "中文", "e"]
