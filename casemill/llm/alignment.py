@@ -15,6 +15,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from heapq import heappop, heappush
 from typing import NamedTuple
 
 import numpy as np
@@ -278,7 +279,7 @@ def assign(rows: np.ndarray, columns: np.ndarray, gain: np.ndarray) -> list[tupl
 
     Each group of lines that pairs connect is solved by itself; most have one line on
     either side. A group of more than MAX_GROUP lines, as of lines that are repeated
-    over and over, is paired heaviest first.
+    over and over, is solved over its own pairs, without a matrix.
     """
     parent: dict[int, int] = {}
 
@@ -303,13 +304,7 @@ def assign(rows: np.ndarray, columns: np.ndarray, gain: np.ndarray) -> list[tupl
         if len(r) == 1 or len(c) == 1:
             out.append(max(own, key=lambda p: (p[2], -p[0], -p[1]))[:2])
         elif len(r) + len(c) > MAX_GROUP:
-            taken_r: set[int] = set()
-            taken_c: set[int] = set()
-            for i, j, _ in sorted(own, key=lambda p: (-p[2], p[0], p[1])):
-                if i not in taken_r and j not in taken_c:
-                    taken_r.add(i)
-                    taken_c.add(j)
-                    out.append((i, j))
+            out += sparse_hungarian(own)
         else:
             part = np.zeros((len(r), len(c)))
             at_r, at_c = {x: k for k, x in enumerate(r)}, {x: k for k, x in enumerate(c)}
@@ -349,6 +344,49 @@ def hungarian(gain: np.ndarray) -> list[tuple[int, int]]:
     return [(int(owner[j]), j) for j in range(m) if owner[j] >= 0 and gain[owner[j], j] > 0]
 
 
+def sparse_hungarian(pairs: list[tuple[int, int, float]]) -> list[tuple[int, int]]:
+    """What ``hungarian`` finds, over a list of (row, column, gain): each row also has a column of its own without gain."""
+    most = max(g for _, _, g in pairs)
+    edges: dict[int, dict[int, float]] = {}
+    for i, j, g in sorted(pairs):
+        own = edges.setdefault(i, {-1 - i: most})
+        own[j] = min(most - g, own.get(j, most))
+    u, v = dict.fromkeys(edges, 0.0), {j: 0.0 for own in edges.values() for j in own}
+    owner: dict[int, int] = {}
+    taken: dict[int, int] = {}
+    for start in edges:
+        row, so_far = start, 0.0
+        least: dict[int, float] = {}
+        way: dict[int, int] = {}
+        used: dict[int, float] = {}
+        heap: list[tuple[float, int]] = []
+        while True:
+            for j, cost in edges[row].items():
+                reduced = so_far + cost - u[row] - v[j]
+                if j not in used and reduced < least.get(j, np.inf):
+                    least[j], way[j] = reduced, row
+                    heappush(heap, (reduced, j))
+            so_far, column = heappop(heap)
+            while column in used:
+                so_far, column = heappop(heap)
+            if column not in owner:
+                break
+            used[column] = so_far
+            row = owner[column]
+        u[start] += so_far
+        for j, d in used.items():
+            u[owner[j]] += so_far - d
+            v[j] -= so_far - d
+        while True:
+            row = way[column]
+            owner[column] = row
+            before, taken[row] = taken.get(row), column
+            if row == start:
+                break
+            column = before
+    return [(i, j) for i, j in sorted(taken.items()) if j >= 0 and edges[i][j] < most]
+
+
 def align(one: str, two: str, lex: Lexicon) -> list[tuple[int, int]]:
     """Line numbers of the two texts that translate each other."""
     ua, ub = units_of(one), units_of(two)

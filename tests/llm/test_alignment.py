@@ -73,3 +73,21 @@ def test_long_texts_with_repeated_lines(monkeypatch, dense):
     fr = "\n".join(f"L'appel {k} est rejeté." if k % 2 else "L'appel est rejeté." for k in range(900))
     got = A.align(en, fr, lex)
     assert {(k + 1, k + 1) for k in range(1, 900, 2)} <= set(got) and len(got) >= 900
+
+
+def test_large_groups_keep_the_optimum():
+    # a chain of more than 400 lines, in which the heaviest pairs take both partners of two lighter ones
+    rows = np.array([x for k in range(300) for x in ([k, k] if k else [k])])
+    columns = np.array([x for k in range(300) for x in ([k - 1, k] if k else [k])])
+    gain = np.array([0.3 if i == j else (0.4 if i % 2 else 0.1) for i, j in zip(rows, columns)])
+    assert sorted(A.assign(rows, columns, gain)) == [(k, k) for k in range(300)]
+    rng = np.random.default_rng(3)
+    for _ in range(30):
+        part = rng.random((rng.integers(2, 9), rng.integers(2, 9)))
+        part[rng.random(part.shape) < 0.5] = 0
+        r, c = np.nonzero(part)
+        if len(r):
+            best = sum(part[i, j] for i, j in A.hungarian(part))
+            found = A.sparse_hungarian([(int(i), int(j), float(part[i, j])) for i, j in zip(r, c)])
+            assert len({i for i, _ in found}) == len({j for _, j in found}) == len(found)
+            assert abs(sum(part[i, j] for i, j in found) - best) < 1e-9
