@@ -15,22 +15,22 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
-from functools import reduce
+from difflib import SequenceMatcher
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from casemill.llm.sentences import log_likelihood
 from casemill.session import materialise
 
 MAX_LINE, MIN_RUN_ON = 110, 0.4
-#: Longer runs of letters are no words.
-MAX_WORD = 40
-#: The most odd words whose candidates are sent to the workers at once; more are worked on in several passes.
-MAX_ODD = 500_000
+#: How often a line must stand at the heads of pages to be a running head without the form of one.
+LEAST_HEADS = 3
+#: The most confusions that go to the workers; writing systems have far fewer, and more are an error.
+MAX_CONFUSIONS = 100_000
 #: Weight of word pairs against single words in the language model, and what an unseen word counts.
 PAIR_WEIGHT, UNSEEN = 0.7, 0.05
 _END = re.compile(r"[.!?:;。»”\"]\s*$")
@@ -45,6 +45,8 @@ _STRIP = ".,;:()[]«»“”\"?!…’‘ \xa0"
 #: Words that may be misread: labels of sections and the like, with brackets or mostly of figures, aren't among them.
 _WORDLIKE = r"^(?=(?:.*\p{L}){2})[^()\[\]{}]+$"
 _LETTER = re.compile(r"[^\W\d_]")
+_LETTERS = re.compile(r"[^\W\d_]+")
+_WORD_PLACES = re.compile(r"\S+")
 
 
 def is_scan(lines: list[str]) -> bool:
@@ -56,21 +58,53 @@ def is_scan(lines: list[str]) -> bool:
     return bool(long) and sum(not _END.search(x) for x in long) >= MIN_RUN_ON * len(long)
 
 
+def head_form(line: str) -> str:
+    """The letters of a line in lower case: what a running head keeps from page to page, whatever its number."""
+    return "".join(_LETTERS.findall(line.lower()))
+
+
+def running_heads(lines: list[str], kinds: list[str]) -> frozenset[str]:
+    """Forms of the short lines that stand first after an empty line or the start LEAST_HEADS times, and nowhere else as often.
+
+    A heading such as "Reasons" that a text repeats has nothing before it on its page but
+    stands above an empty line; a running head stands directly on the page's text.
+    """
+    top, all_ = Counter(), Counter()
+    n = len(lines)
+    for k, kind in enumerate(kinds):
+        if kind == "blank" or len(lines[k]) >= MAX_LINE:
+            continue
+        form = head_form(lines[k])
+        if len(form) < 5:
+            continue
+        all_[form] += 1
+        top[form] += (k == 0 or kinds[k - 1] == "blank") and k + 1 < n and kinds[k + 1] != "blank" and not _END.search(lines[k])
+    return frozenset(f for f, c in top.items() if c >= LEAST_HEADS and 2 * c > all_[f])
+
+
+def _is_head(line: str, heads: frozenset[str]) -> bool:
+    """Whether a line is a running head, a few of whose characters may be misread."""
+    form = head_form(line)
+    return form in heads or any(abs(len(form) - len(h)) < 3 and SequenceMatcher(None, form, h, False).ratio() >= 0.9 for h in heads)
+
+
 def layout(lines: list[str]) -> list[str]:
     """For each line of a scan: blank, header, page_number or body.
 
     Heads stand first on a page, page numbers first or last; pages begin at the start
-    and after an empty line, as paragraphs may too.
+    and after an empty line, as paragraphs may too. A head is told by its form, names
+    and a citation, or by standing at the head of one page after the other.
     """
     kinds = ["blank" if not x or x.isspace() else "body" for x in lines]
     n = len(lines)
+    heads = running_heads(lines, kinds)
     for k in range(n):
         if kinds[k] == "blank":
             continue
         text = lines[k].strip()
         first = k == 0 or kinds[k - 1] != "body"
         last = k + 1 == n or not lines[k + 1].strip() or (k + 2 < n and bool(_HEAD.search(lines[k + 1])) and bool(_VERSUS.search(lines[k + 1])))
-        if first and len(text) < MAX_LINE and _HEAD.search(text) and _VERSUS.search(text):
+        if first and len(text) < MAX_LINE and (_HEAD.search(text) and _VERSUS.search(text) or heads and _is_head(text, heads)):
             kinds[k] = "header"
         elif (first or last) and _PAGE.fullmatch(text):
             kinds[k] = "page_number"
@@ -173,25 +207,55 @@ def vocabulary(counts: DataFrame) -> DataFrame:
     return counts.where("kind <> 'p'").groupBy(F.col("a").alias("word")).agg(of("w").alias("clean"), of("s").alias("scanned"), of("j").alias("cut"))
 
 
+def _frames(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(word, clean, scanned, frame, block): each word with a gap of one or two characters at every place.
+
+    ``frame`` is a 64-bit key of what stands before and after the gap, by polynomial
+    sums from either end, so that a word of n characters makes 2 n rows of fixed size.
+    """
+    before, after = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
+    for batch in batches:
+        words = batch.column(0).to_pylist()
+        joined = "".join(words)
+        sizes = np.array([len(w) for w in words], np.int64)
+        ends = sizes.cumsum()
+        of = np.repeat(np.arange(len(words)), sizes)
+        at = np.arange(len(joined)) - (ends - sizes)[of]
+        chars = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64) + np.uint64(1)
+        longest = int(sizes.max(initial=0))
+        with np.errstate(over="ignore"):
+            left = np.full(longest + 1, before).cumprod()
+            right = np.full(longest + 1, after).cumprod()
+            prefix = np.concatenate([[np.uint64(0)], (chars * left[at]).cumsum()])
+            suffix = np.concatenate([[np.uint64(0)], (chars * right[sizes[of] - 1 - at]).cumsum()])
+            letters = list(joined)
+            rows, blocks = [], []
+            frames = []
+            for k in (1, 2):
+                g = np.flatnonzero(at + k <= sizes[of])
+                head = prefix[g] - prefix[(ends - sizes)[of[g]]]
+                tail = suffix[ends[of[g]]] - suffix[g + k]
+                key = (head ^ (head >> np.uint64(31))) * before + (tail ^ (tail >> np.uint64(29))) * after
+                rows.append(of[g])
+                frames.append((key ^ (key >> np.uint64(32))).view(np.int64))
+                blocks += [letters[x] for x in g.tolist()] if k == 1 else [joined[x : x + 2] for x in g.tolist()]
+        own = pa.array(np.concatenate(rows))
+        yield pa.RecordBatch.from_arrays(
+            [*(c.take(own) for c in batch.columns), pa.array(np.concatenate(frames)), pa.array(blocks, pa.string())],
+            names=[*batch.schema.names, "frame", "block"],
+        )
+
+
 def learn_confusions(words: DataFrame, least_clean: int = 4, significance: float = 10.83) -> dict[str, list[tuple[str, float]]]:
     """Read character(s) -> [(true character(s), log probability)].
 
     Words of scans and frequent born-digital words that differ in one place, by one or
     two characters on either side, vote for a confusion; it is kept if scans show it
     more than born-digital texts do, by log-likelihood. The result is bounded by the
-    pairs of characters that writing systems have.
+    pairs of characters that writing systems have; MAX_CONFUSIONS checks it.
     """
-    letters = words.where(F.col("word").rlike(_WORDLIKE) & F.length("word").between(3, MAX_WORD) & (F.col("clean") + F.col("scanned") > 0))
-    size = F.length("word")
-    split = letters.select(
-        "word", "clean", "scanned",
-        F.explode(F.sequence(F.lit(0), size - 1)).alias("i"),
-    ).select("*", F.explode(F.array(F.lit(1), F.lit(2))).alias("k")).where(F.col("i") + F.col("k") <= size)
-    split = split.select(
-        "word", "clean", "scanned",
-        F.expr("concat(substring(word, 1, i), '\\u0001', substring(word, i + k + 1))").alias("frame"),
-        F.expr("substring(word, i + 1, k)").alias("block"),
-    )
+    letters = words.where(F.col("word").rlike(_WORDLIKE) & (F.length("word") >= 3) & ((F.col("scanned") > 0) | (F.col("clean") >= least_clean)))
+    split = letters.select("word", "clean", "scanned").mapInArrow(_frames, "word string, clean bigint, scanned bigint, frame bigint, block string")
     odd = split.where("scanned > 0").select("frame", F.col("word").alias("w"), F.col("clean").alias("wc"), F.col("scanned").alias("ws"), F.col("block").alias("s"))
     known = split.where(F.col("clean") >= least_clean).select("frame", F.col("word").alias("c"), F.col("clean").alias("cc"), F.col("block").alias("t"))
     pairs = odd.join(known, "frame").where("s <> t AND cc >= 10 * wc + 4 AND ws <= 0.2 * cc + 1")
@@ -207,7 +271,9 @@ def learn_confusions(words: DataFrame, least_clean: int = 4, significance: float
     totals = words.agg(F.sum("scanned").alias("scanned"), F.sum("clean").alias("clean")).collect()[0]
     total, n2 = totals["scanned"] or 1, totals["clean"] or 1
     ratio = log_likelihood(F.col("k1"), F.lit(total), F.col("k2"), F.greatest(F.lit(n2), F.col("k2") + 1))
-    kept = votes.where((ratio >= significance) & (F.col("types") >= 3)).orderBy(F.desc("k1")).limit(1_000).collect()
+    kept = votes.where((ratio >= significance) & (F.col("types") >= 3)).limit(MAX_CONFUSIONS + 1).collect()
+    if len(kept) > MAX_CONFUSIONS:
+        raise ValueError(f"more than {MAX_CONFUSIONS} confusions: raise the significance")
     out: dict[str, list[tuple[str, float]]] = {}
     for r in kept:
         out.setdefault(r["s"], []).append((r["t"], math.log(min(0.2, max(r["k1"] / total, 1e-7)))))
@@ -217,8 +283,6 @@ def learn_confusions(words: DataFrame, least_clean: int = 4, significance: float
 def variants(word: str, confusions: dict[str, list[tuple[str, float]]], most: int = 2) -> dict[str, float]:
     """What a word may be with up to ``most`` confusions undone, each with its log probability."""
     found = {word: 0.0}
-    if len(word) > MAX_WORD:
-        return {}
     for _ in range(most):
         for w, p in list(found.items()):
             for i in range(len(w)):
@@ -232,29 +296,36 @@ def variants(word: str, confusions: dict[str, list[tuple[str, float]]], most: in
 
 
 def candidates(words: DataFrame, confusions: dict[str, list[tuple[str, float]]], least_clean: int = 4) -> DataFrame:
-    """(w, c, logp, n_c): odd words of scans and the frequent words that confusions may have made them of."""
-    odd = words.where((F.col("scanned") + F.col("cut") > 0) & F.col("word").rlike(_WORDLIKE) & (F.length("word") <= MAX_WORD) & (F.col("clean") <= 3 + 0.1 * (F.col("scanned") + F.col("cut")))).select("word")
+    """(w, found): odd words of scans, with the frequent words that confusions may have made them of, as (c, logp).
+
+    A confusion changes a word's length by one at most, so that a word which is longer
+    than the longest frequent one by more than two has no candidate.
+    """
+    n = F.col("scanned") + F.col("cut")
+    frequent = words.where(F.col("clean") >= least_clean)
+    longest = frequent.agg(F.max(F.length("word"))).collect()[0][0] or 0
+    odd = words.where((n > 0) & F.col("word").rlike(_WORDLIKE) & (F.length("word") <= longest + 2) & (F.col("clean") <= 3 + 0.1 * n)).select("word")
 
     def vary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [(w, c, p) for w in batch.column(0).to_pylist() for c, p in variants(w, confusions).items()]
-            columns = list(zip(*rows, strict=True)) or [[], [], []]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(columns[0], pa.string()), pa.array(columns[1], pa.string()), pa.array(columns[2], pa.float64())], names=["w", "c", "logp"]
-            )
+            for start in range(0, batch.num_rows, 1_000):
+                rows = [(w, c, p) for w in batch.column(0).slice(start, 1_000).to_pylist() for c, p in variants(w, confusions).items()]
+                yield _rows(rows, (pa.string(), pa.string(), pa.float64()), ["w", "c", "logp"])
 
-    known = words.where(F.col("clean") >= least_clean).select(F.col("word").alias("c"), F.col("clean").alias("n_c"))
-    return odd.mapInArrow(vary, "w string, c string, logp double").join(known, "c").select("w", "c", "logp", "n_c")
+    known = frequent.select(F.col("word").alias("c"))
+    met = odd.mapInArrow(vary, "w string, c string, logp double").join(known, "c")
+    return met.groupBy("w").agg(F.sort_array(F.collect_list(F.struct("c", "logp"))).alias("found"))
 
 
 def _scan_rows(records: DataFrame) -> DataFrame:
-    """Rows of scans alone."""
+    """(row, id, content) of scans alone; ``row`` is a digest that tells records of one id apart."""
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield batch.filter(pa.array([is_scan(x.split("\n")) for x in batch.column(1).to_pylist()], pa.bool_()))
 
-    return records.where("content IS NOT NULL").select("id", "content").mapInArrow(keep, "id string, content string")
+    scans = records.where("content IS NOT NULL").select("id", "content").mapInArrow(keep, "id string, content string")
+    return scans.select(F.md5(F.concat_ws("\0", "id", "content")).alias("row"), "id", "content")
 
 
 def furniture(scans: DataFrame) -> DataFrame:
@@ -264,7 +335,7 @@ def furniture(scans: DataFrame) -> DataFrame:
         for batch in batches:
             rows = [
                 (i, k + 1, kind)
-                for i, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
+                for i, content in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)
                 for k, kind in enumerate(layout(content.split("\n")))
                 if kind in ("header", "page_number")
             ]
@@ -279,7 +350,7 @@ def _rows(rows: list[tuple], types: tuple, names: list[str]) -> pa.RecordBatch:
 
 
 def broken_lines(scans: DataFrame, words: DataFrame, confusions: dict[str, list[tuple[str, float]]]) -> DataFrame:
-    """(id, line_no, joined): lines at whose end a word is cut only because the line ends.
+    """(row, id, line_no, joined): lines at whose end a word is cut only because the line ends.
 
     The word in one piece must be commoner elsewhere than the compound with a hyphen.
     Neither being known, as when it is misread too, its variants are looked up; still
@@ -290,26 +361,26 @@ def broken_lines(scans: DataFrame, words: DataFrame, confusions: dict[str, list[
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for i, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for row, i, content in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 lines = content.split("\n")
                 for k, left, right, mark in cut_ends(lines, layout(lines)):
                     forms = [(left + right, "joined", 0.0), (left + "-" + right, "compound", 0.0), (left, "left", 0.0), (right, "right", 0.0)]
                     forms += [(x, "joined", p) for x, p in variants(left + right, confusions, 1).items()]
                     forms += [(x, "compound", p) for x, p in variants(left + "-" + right, confusions, 1).items()]
-                    rows += [(i, k + 1, mark == "-", left + right, x, form, p) for x, form, p in forms]
+                    rows += [(row, i, k + 1, mark == "-", left + right, x, form, p) for x, form, p in forms]
             yield _rows(
                 rows,
-                (pa.string(), pa.int32(), pa.bool_(), pa.string(), pa.string(), pa.string(), pa.float64()),
-                ["id", "line_no", "open", "whole", "word", "form", "logp"],
+                (pa.string(), pa.string(), pa.int32(), pa.bool_(), pa.string(), pa.string(), pa.string(), pa.float64()),
+                ["row", "id", "line_no", "open", "whole", "word", "form", "logp"],
             )
 
-    forms = scans.mapInArrow(find, "id string, line_no int, open boolean, whole string, word string, form string, logp double")
+    forms = scans.mapInArrow(find, "row string, id string, line_no int, open boolean, whole string, word string, form string, logp double")
     weight = F.coalesce(F.col("clean") + F.col("scanned"), F.lit(0)) * F.exp("logp")
 
     def of(form: str) -> Column:
         return F.max(F.when(F.col("form") == form, weight).otherwise(0.0))
 
-    judged = forms.join(words.select("word", "clean", "scanned"), "word", "left").groupBy("id", "line_no", "open", "whole").agg(
+    judged = forms.join(words.select("word", "clean", "scanned"), "word", "left").groupBy("row", "id", "line_no", "open", "whole").agg(
         of("joined").alias("joined"), of("compound").alias("compound"), of("left").alias("left"), of("right").alias("right")
     )
     cut = (
@@ -317,38 +388,59 @@ def broken_lines(scans: DataFrame, words: DataFrame, confusions: dict[str, list[
         .when((F.col("joined") > 0) | (F.col("compound") > 0), F.col("joined") >= F.col("compound"))
         .otherwise((F.col("left") < 3) | (F.col("right") < 3))
     )
-    return judged.where(cut).select("id", "line_no", F.col("whole").alias("joined"))
+    return judged.where(cut).select("row", "id", "line_no", F.col("whole").alias("joined"))
 
 
-def _lattice(scans: DataFrame, cands: dict[str, list[tuple[str, float]]]) -> DataFrame:
-    """Edges of the word lattices: (id, line, pos, left, right, logp, change, split).
+def _with_candidates(scans: DataFrame, cands: DataFrame, confusions: dict[str, list[tuple[str, float]]]) -> DataFrame:
+    """The scans that have odd words, with the candidates of all of them: (row, id, content, odd).
 
-    Only edges at odd words are given; ``logp`` is the channel's for the right word,
-    ``change`` is where in the word it differs.
+    Every distinct word of a scan that holds a confusion's reading is joined to the
+    candidates, so that their number has no bound and no word is left for a later pass.
     """
-    shared = scans.sparkSession.sparkContext.broadcast(cands)
+    readings = re.compile("|".join(map(re.escape, sorted(confusions))) or r"(?!)")
 
-    def edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cands = shared.value
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for i, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for row, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 lines = content.split("\n")
-                tokens = tokens_of(lines, layout(lines))
-                states = [[(shape(t.word), 0.0), *cands.get(t.word, ())] for t in tokens]
-                for k, t in enumerate(tokens):
-                    before = states[k - 1] if k else [("", 0.0)]
-                    if len(states[k]) == 1 and len(before) == 1:
-                        continue
-                    # positions count within the record: a run of odd words is one lattice, also over a line's end
-                    rows += [(i, t.line, k, a, b, p, t.split, t.word) for a, _ in before for b, p in states[k]]
-            yield _rows(
-                rows,
-                (pa.string(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.float64(), pa.int32(), pa.string()),
-                ["id", "line", "pos", "a", "b", "logp", "split", "word"],
-            )
+                rows += [(row, w) for w in {t.word for t in tokens_of(lines, layout(lines))} if readings.search(w)]
+            yield _rows(rows, (pa.string(), pa.string()), ["row", "w"])
+
+    own = scans.select("row", "content").mapInArrow(words, "row string, w string")
+    odd = own.join(cands, "w").groupBy("row").agg(F.collect_list(F.struct("w", "found")).alias("odd"))
+    return scans.join(odd, "row")
 
-    return scans.mapInArrow(edges, "id string, line int, pos int, a string, b string, logp double, split int, word string")
+
+def _lattice(scans: DataFrame) -> DataFrame:
+    """Edges of the word lattices: (row, id, line, pos, a, b, logp, split, word).
+
+    Only edges at odd words are given; ``logp`` is the channel's for the right word b.
+    """
+
+    def edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 500):
+                rows = []
+                for row, i, content, odd in zip(*(c.to_pylist() for c in batch.slice(start, 500).columns), strict=True):
+                    cands = {o["w"]: [(f["c"], f["logp"]) for f in o["found"]] for o in odd}
+                    lines = content.split("\n")
+                    tokens = tokens_of(lines, layout(lines))
+                    states = [[(shape(t.word), 0.0), *cands.get(t.word, ())] for t in tokens]
+                    for k, t in enumerate(tokens):
+                        before = states[k - 1] if k else [("", 0.0)]
+                        if len(states[k]) == 1 and len(before) == 1:
+                            continue
+                        # positions count within the record: a run of odd words is one lattice, also over a line's end
+                        rows += [(row, i, t.line, k, a, b, p, t.split, t.word) for a, _ in before for b, p in states[k]]
+                yield _rows(
+                    rows,
+                    (pa.string(), pa.string(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.float64(), pa.int32(), pa.string()),
+                    ["row", "id", "line", "pos", "a", "b", "logp", "split", "word"],
+                )
+
+    kinds = "row string, id string, line int, pos int, a string, b string, logp double, split int, word string"
+    return scans.select("row", "id", "content", "odd").mapInArrow(edges, kinds)
 
 
 def best_path(edges: list[tuple[int, str, str, float]]) -> dict[int, str]:
@@ -386,52 +478,52 @@ def best_path(edges: list[tuple[int, str, str, float]]) -> dict[int, str]:
 
 
 def corrections(scans: DataFrame, counts: DataFrame, words: DataFrame, confusions: dict[str, list[tuple[str, float]]]) -> DataFrame:
-    """(id, line_no, word, correction): words of the body read wrongly; line_no is where the wrong character stands."""
-    found = materialise(candidates(words, confusions))
-    passes = max(1, math.ceil(found.select("w").distinct().count() / MAX_ODD))
+    """(row, id, line_no, pos, split, at, word, correction): words of the body read wrongly.
+
+    ``pos`` is the word's number in the record's body, ``at`` the place in the word
+    where the two differ.
+    """
     total = max(1, words.agg(F.sum("clean")).collect()[0][0] or 0)
     singles = words.where("clean > 0").select(F.col("word").alias("x"), "clean")
     pairs = counts.where("kind = 'p'").select("a", "b", F.col("n").alias("n_ab"))
-    parts = []
-    for k in range(passes):
-        own = found if passes == 1 else found.where(F.pmod(F.xxhash64("w"), F.lit(passes)) == k)
-        best = own.withColumn("r", F.row_number().over(Window.partitionBy("w").orderBy((F.col("logp") + F.log("n_c")).desc(), "c"))).where("r <= 6")
-        cands: dict[str, list[tuple[str, float]]] = {}
-        for r in best.select("w", "c", "logp").collect():
-            cands.setdefault(r["w"], []).append((r["c"], r["logp"]))
-        parts.append(_lattice(scans, cands))
-    edges = reduce(DataFrame.unionByName, parts)
+    edges = materialise(_lattice(_with_candidates(scans, candidates(words, confusions), confusions)))
     model = F.log(
         PAIR_WEIGHT * F.coalesce("n_ab", F.lit(0)) / F.coalesce("n_a", F.lit(1))
         + (1 - PAIR_WEIGHT) * (F.coalesce("n_b", F.lit(0)) + UNSEEN) / F.lit(float(total))
     )
-    weighted = (
-        edges.join(pairs, ["a", "b"], "left")
+    # each two words are looked up once, however many places they stand at
+    known = (
+        edges.select("a", "b").distinct()
+        .join(pairs, ["a", "b"], "left")
         .join(singles.select(F.col("x").alias("a"), F.col("clean").alias("n_a")), "a", "left")
         .join(singles.select(F.col("x").alias("b"), F.col("clean").alias("n_b")), "b", "left")
-        .select("id", F.struct("pos", "a", "b", (model + F.col("logp")).alias("weight"), "line", "split", "word").alias("e"))
-        .groupBy("id")
+        .select("a", "b", model.alias("model"))
+    )
+    weighted = (
+        edges.join(known, ["a", "b"])
+        .select("row", "id", F.struct("pos", "a", "b", (F.col("model") + F.col("logp")).alias("weight"), "line", "split", "word").alias("e"))
+        .groupBy("row", "id")
         .agg(F.sort_array(F.collect_list("e")).alias("edges"))
     )
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for i, edges in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for row, i, edges in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 path = best_path([(e["pos"], e["a"], e["b"], e["weight"]) for e in edges])
                 told = {e["pos"]: e for e in edges}
                 for pos, word in path.items():
                     e = told[pos]
                     if word != shape(e["word"]):
                         same = next((k for k, (x, y) in enumerate(zip(word, e["word"], strict=False)) if x != y), min(len(word), len(e["word"])))
-                        rows.append((i, e["line"] + 1, e["split"], same, e["word"], word))
+                        rows.append((row, i, e["line"] + 1, pos, e["split"], same, e["word"], word))
             yield _rows(
                 rows,
-                (pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.string()),
-                ["id", "line_no", "split", "at", "word", "correction"],
+                (pa.string(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.string()),
+                ["row", "id", "line_no", "pos", "split", "at", "word", "correction"],
             )
 
-    return weighted.mapInArrow(decode, "id string, line_no int, split int, at int, word string, correction string")
+    return weighted.mapInArrow(decode, "row string, id string, line_no int, pos int, split int, at int, word string, correction string")
 
 
 class ScanRepair(NamedTuple):
@@ -456,17 +548,17 @@ def repair(records: DataFrame) -> ScanRepair:
 
 
 def _next_body(scans: DataFrame) -> DataFrame:
-    """(id, line_no, next_no): the body line after each body line."""
+    """(row, line_no, next_no): the body line after each body line."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for i, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for row, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 body = [k + 1 for k, kind in enumerate(layout(content.split("\n"))) if kind == "body"]
-                rows += [(i, a, b) for a, b in zip(body, body[1:], strict=False)]
-            yield _rows(rows, (pa.string(), pa.int32(), pa.int32()), ["id", "line_no", "next_no"])
+                rows += [(row, a, b) for a, b in zip(body, body[1:], strict=False)]
+            yield _rows(rows, (pa.string(), pa.int32(), pa.int32()), ["row", "line_no", "next_no"])
 
-    return scans.mapInArrow(find, "id string, line_no int, next_no int")
+    return scans.select("row", "content").mapInArrow(find, "row string, line_no int, next_no int")
 
 
 def flawed_lines(found: ScanRepair) -> DataFrame:
@@ -474,7 +566,7 @@ def flawed_lines(found: ScanRepair) -> DataFrame:
     wrong = found.corrections
     # the wrong character of a cut word may stand on the line after
     here = wrong.where("split = 0 OR at < split").select("id", "line_no")
-    after = wrong.where("split > 0 AND at >= split").join(_next_body(found.scans), ["id", "line_no"]).select("id", F.col("next_no").alias("line_no"))
+    after = wrong.where("split > 0 AND at >= split").join(_next_body(found.scans), ["row", "line_no"]).select("id", F.col("next_no").alias("line_no"))
     return (
         found.furniture.unionByName(found.broken.select("id", "line_no", F.lit("broken").alias("kind")))
         .unionByName(here.unionByName(after).withColumn("kind", F.lit("misread")))
@@ -488,56 +580,73 @@ def repaired_text(found: ScanRepair) -> DataFrame:
     A paragraph ends at an empty line or before an indented one, unless a page ends
     there in the middle of a sentence.
     """
-    fixes = found.corrections.groupBy("id").agg(F.collect_list(F.struct("word", "correction")).alias("fixes"))
-    cuts = found.broken.groupBy("id").agg(F.collect_set("line_no").alias("cuts"))
-    rows = found.scans.join(fixes, "id", "left").join(cuts, "id", "left").select("id", "content", "fixes", "cuts")
+    fixes = found.corrections.groupBy("row").agg(F.collect_list(F.struct("pos", "correction")).alias("fixes"))
+    cuts = found.broken.groupBy("row").agg(F.collect_set("line_no").alias("cuts"))
+    rows = found.scans.join(fixes, "row", "left").join(cuts, "row", "left").select("id", "content", "fixes", "cuts")
 
     def mend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = []
             for content, fixes, cuts in zip(*(c.to_pylist() for c in batch.columns[1:]), strict=True):
-                texts.append(_mended(content, {f["word"]: f["correction"] for f in fixes or ()}, set(cuts or ())))
+                texts.append(_mended(content, {f["pos"]: f["correction"] for f in fixes or ()}, set(cuts or ())))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["id", "text"])
 
     return rows.mapInArrow(mend, "id string, text string")
 
 
-def _mended(content: str, fixes: dict[str, str], cuts: set[int]) -> str:
+def _corrected(raw: str, right: str | None) -> str:
+    """A word as it stands, with its marks, letter case and all, but for the correction."""
+    if right is None:
+        return raw
+    core = raw.strip(_STRIP)
+    return raw.replace(core, right[:1].upper() + right[1:] if core[:1].isupper() else right)
+
+
+def _mended(content: str, fixes: dict[int, str], cuts: set[int]) -> str:
+    """``fixes`` has corrections by the word's number in the body, as tokens_of counts; ``cuts`` the lines that cut a word."""
     lines = content.split("\n")
     kinds = layout(lines)
     paragraphs: list[str] = []
-    text, page_end = "", False
+    text: list[str] = []
+    page_end, pos = False, 0
+    carry: tuple[str, str, int] | None = None  # what stands before the word, its first half, the line's number
+
+    def close() -> None:
+        nonlocal carry
+        if carry is not None:
+            text.append(carry[0] + carry[1])
+            carry = ("", "", -1)  # its second half begins the next paragraph
+        paragraphs.append("".join(text))
+        text.clear()
+
     for k, line in enumerate(lines):
         if kinds[k] in ("header", "page_number"):
             page_end = True
             continue
-        ends = _END.search(text) is not None
-        if text and (kinds[k] == "blank" or line[:2].isspace()) and not (page_end and not ends):
+        ends = carry is None and bool(text) and _END.search(text[-1]) is not None
+        if (text or carry) and (kinds[k] == "blank" or line[:2].isspace()) and not (page_end and not ends):
             # an empty line after a page's last may part a sentence: what follows decides
             if kinds[k] == "blank" and not ends:
                 continue
-            paragraphs.append(text)
-            text = ""
+            close()
         if kinds[k] == "blank":
             continue
         page_end = False
-        body = line.strip()
-        text += "" if not text or text.endswith("\0") else " "
-        # what a cut parts, and a compound parted at its hyphen, goes on without a blank
-        if k + 1 in cuts:
-            body = body[:-1] + "\0"
-        elif len(body) > 1 and body[-1] in _HYPHENS and _LETTER.match(body[-2]):
-            body += "\0"
-        text += body
-    if text:
-        paragraphs.append(text)
-
-    def fix(m: re.Match) -> str:
-        raw = m.group().replace("\0", "")
-        core = raw.strip(_STRIP)
-        right = fixes.get(core.lower())
-        if right is None:
-            return raw
-        return raw.replace(core, right[:1].upper() + right[1:] if core[:1].isupper() else right)
-
-    return "\n".join(re.sub(r"\S+", fix, p) for p in paragraphs)
+        words = list(_WORD_PLACES.finditer(line))
+        for i, m in enumerate(words):
+            raw = m.group()
+            gap = "" if not text else line[words[i - 1].end() : m.start()] if i else " "
+            if carry is not None:
+                before, left, at = carry
+                carry = None
+                # what a cut parts, and a compound parted at its hyphen, goes on without a blank
+                text.append(before + (_corrected(left[:-1] + raw, fixes.get(pos)) if at in cuts else left + raw))
+                pos += 1
+            elif i == len(words) - 1 and len(raw) > 1 and raw[-1] in _HYPHENS and _LETTER.search(raw[:-1]):
+                carry = (gap, raw, k + 1)
+            else:
+                text.append(gap + _corrected(raw, fixes.get(pos) if bare(raw) else None))
+                pos += bool(bare(raw))
+    if text or carry:
+        close()
+    return "\n".join(p for p in paragraphs if p)
