@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casemill.llm import alignment, language, leaks, repeated_lines, scans, sentences, target_sample, tokens
-from casemill.llm.records import distinct_records, site_of
+from casemill.llm.records import distinct_records, row_digest, site_of
 from casemill.session import materialise
 from casemill.sources.tables import spread, table
 
@@ -18,9 +18,11 @@ def _keyed(rows: DataFrame) -> DataFrame:
 
 
 def _counted(spark: SparkSession, sf: str) -> DataFrame:
-    records = distinct_records(table(spark, sf, "case_records"), "id", "source_name", "language", "tribunal", "content")
+    """Distinct rows with their number of tokens: counted first, so that digests are shuffled in the place of texts."""
+    rows = spread(table(spark, sf, "case_records"))
     clean = {c: F.lower(F.trim(c)) for c in ("source_name", "language", "tribunal")}
-    return tokens.token_counts(records.withColumns(clean))
+    keyed = rows.select("id", *(v.alias(c) for c, v in clean.items()), "content", *row_digest(rows))
+    return tokens.token_counts(keyed).distinct().drop("_row_a", "_row_b")
 
 
 def p2_budget(spark: SparkSession, sf: str) -> DataFrame:

@@ -136,24 +136,21 @@ def token_budget(counted: DataFrame, slices: list[str]) -> DataFrame:
 
     Columns: level, the slices (NULL where they are summed over), n_records, n_tokens,
     tokens_per_record. ``level`` names the slices that a row is about, so that a slice
-    which is NULL itself isn't taken for a sum.
+    which is NULL itself isn't taken for a sum. Without records there are no rows.
     """
     totals = counted.groupBy(*slices).agg(F.count(F.lit(1)).alias("n"), F.sum("n_tokens").alias("t"))
-    levels = [slices, *([s] for s in slices), []]
-
-    def level(kept: list[str]) -> DataFrame:
-        return totals.groupBy(*kept).agg(F.sum("n").alias("n_records"), F.sum("t").alias("n_tokens")).select(
-            F.lit(",".join(kept) or "all").alias("level"),
-            *(F.col(s) if s in kept else F.lit(None).cast("string").alias(s) for s in slices),
-            "n_records",
-            "n_tokens",
-            (F.col("n_tokens") / F.col("n_records")).alias("tokens_per_record"),
-        )
-
-    out = level(levels[0])
-    for kept in levels[1:]:
-        out = out.unionByName(level(kept))
-    return out
+    sets = [[F.col(s) for s in kept] for kept in (slices, *([s] for s in slices), [])]
+    rolled = totals.groupingSets(sets, *slices).agg(
+        F.sum("n").alias("n_records"), F.sum("t").alias("n_tokens"), *(F.grouping(s).alias(f"_over_{k}") for k, s in enumerate(slices))
+    )
+    named = F.concat_ws(",", *(F.when(F.col(f"_over_{k}") == 0, F.lit(s)) for k, s in enumerate(slices)))
+    return rolled.select(
+        F.coalesce(F.nullif(named, F.lit("")), F.lit("all")).alias("level"),
+        *slices,
+        "n_records",
+        "n_tokens",
+        (F.col("n_tokens") / F.col("n_records")).alias("tokens_per_record"),
+    )
 
 
 def _id_batches(batches: Iterator[pa.RecordBatch], keys: list[str], text: str, folder: str) -> Iterator[pa.RecordBatch]:
@@ -198,88 +195,86 @@ def long_text_ids(
     begin a pre-token at the same place, they agree from there on: the text is cut at
     the first such place of every overlap and the pieces are encoded apart. An overlap
     without one isn't cut; after it only independent places count until the end, as
-    the chunk to its right may never have fallen into step.
+    the chunk to its right may never have fallen into step. Rows are told apart by a
+    128-bit digest of key and text; a row that is there k times has k equal pieces for
+    each place, and comes out k times.
     """
     spark = documents.sparkSession
     step, kind, slots = chunk_chars - overlap, dict(documents.dtypes)[key], task_slots(spark)
+    rows = documents.select(
+        F.xxhash64(key, text).alias("_a"), F.xxhash64(F.lit(1), key, text).alias("_b"), F.col(key).alias("_key"), F.col(text).alias("_text")
+    )
+    own = ["_a", "_b"]
+
+    def numbered(batch: pa.RecordBatch, k: int, names: list[str], column: str, parts: list[str]) -> pa.RecordBatch:
+        same = batch.slice(k, 1).select(names).take(pa.array([0] * len(parts), pa.int32()))
+        return pa.RecordBatch.from_arrays(
+            [*same.columns, pa.array(range(len(parts)), pa.int32()), pa.array(parts, pa.string())], names=[*names, "_no", column]
+        )
 
     def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for name, whole in zip(batch.column(key), batch.column(text).to_pylist(), strict=True):
+            for k in range(batch.num_rows):
+                whole = batch.column("_text")[k].as_py()
                 n = max(1, -(-(len(whole) - overlap) // step))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([name.as_py()] * n, batch.column(key).type),
-                        pa.array(range(n), pa.int32()),
-                        pa.array([whole[k * step : k * step + chunk_chars] for k in range(n)], pa.string()),
-                    ],
-                    names=[key, "chunk_no", "chunk"],
-                )
+                yield numbered(batch, k, own, "_chunk", [whole[x * step : x * step + chunk_chars] for x in range(n)])
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for name, no, chunk in zip(*(batch.column(c).to_pylist() for c in (key, "chunk_no", "chunk")), strict=True):
+            found = []
+            for a, b, no, chunk in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 start = no * step
-                for seam, low in ((no, start), (no + 1, start + step)):
-                    rows.append((name, seam, *seam_candidates(chunk, start, low, low + overlap)))
+                for side, seam, low in ((0, no, start), (1, no + 1, start + step)):
+                    found.append((a, b, seam, side, *seam_candidates(chunk, start, low, low + overlap)))
+            columns = list(zip(*found, strict=True)) or [[] for _ in range(6)]
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int32()), pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([r[0] for r in rows], batch.column(key).type),
-                    pa.array([r[1] for r in rows], pa.int32()),
-                    pa.array([r[2] for r in rows], pa.list_(pa.int32())),
-                    pa.array([r[3] for r in rows], pa.list_(pa.int32())),
-                ],
-                names=[key, "seam", "common", "proven"],
+                [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=[*own, "seam", "side", "common", "proven"]
             )
 
     agreed = (
-        documents.mapInArrow(chunks, f"`{key}` {kind}, chunk_no int, chunk string")
-        .repartition(slots, key, "chunk_no")
-        .mapInArrow(places, f"`{key}` {kind}, seam int, common array<int>, proven array<int>")
+        rows.mapInArrow(chunks, "_a bigint, _b bigint, _no int, _chunk string")
+        .repartition(slots, *own, "_no")
+        .mapInArrow(places, "_a bigint, _b bigint, seam int, side int, common array<int>, proven array<int>")
         .where("seam > 0")
-        .groupBy(key, "seam")
+        .groupBy(*own, "seam")
         .agg(
-            F.count(F.lit(1)).alias("sides"),
+            (F.min("side") < F.max("side")).alias("both"),
             F.array_intersect(F.min("common"), F.max("common")).alias("common"),
             F.array_intersect(F.min("proven"), F.max("proven")).alias("proven"),
         )
-        .where("sides = 2")
+        .where("both")
     )
-    so_far = Window.partitionBy(key).orderBy("seam").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    so_far = Window.partitionBy(*own).orderBy("seam").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     seams = (
         agreed.withColumn("in_step", F.min(F.size("common") > 0).over(so_far))
         .withColumn("cut", F.when(F.col("in_step"), F.array_min("common")).otherwise(F.array_min("proven")))
-        .groupBy(key)
-        .agg(F.sort_array(F.collect_list("cut")).alias("cuts"))
+        .groupBy(*own)
+        .agg(F.sort_array(F.collect_list("cut")).alias("_cuts"))
     )
+    named = [*own, "_key"]
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for name, whole, cuts in zip(batch.column(key), batch.column(text).to_pylist(), batch.column("cuts").to_pylist(), strict=True):
+            for k in range(batch.num_rows):
+                whole, cuts = batch.column("_text")[k].as_py(), batch.column("_cuts")[k].as_py()
                 ends = [0, *(cuts or []), len(whole)]
-                parts = [whole[a:b] for a, b in zip(ends, ends[1:], strict=False)]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([name.as_py()] * len(parts), batch.column(key).type),
-                        pa.array(range(len(parts)), pa.int32()),
-                        pa.array(parts, pa.string()),
-                    ],
-                    names=[key, "_piece_no", "piece"],
-                )
+                yield numbered(batch, k, named, "_piece", [whole[x:y] for x, y in zip(ends, ends[1:], strict=False)])
 
+    kinds = f"_a bigint, _b bigint, _key {kind}, _no int"
     encoded = (
-        documents.join(seams, key, "left")
-        .select(key, text, "cuts")
-        .mapInArrow(pieces, f"`{key}` {kind}, _piece_no int, piece string")
-        .repartition(slots, key, "_piece_no")
-        .mapInArrow(
-            lambda b: _id_batches(b, [key, "_piece_no"], "piece", folder), f"`{key}` {kind}, _piece_no int, ids array<int>"
-        )
+        rows.join(seams, own, "left")
+        .select(*named, "_text", "_cuts")
+        .mapInArrow(pieces, f"{kinds}, _piece string")
+        .repartition(slots, *own, "_no")
+        .mapInArrow(lambda b: _id_batches(b, [*named, "_no"], "_piece", folder), f"{kinds}, ids array<int>")
+        .groupBy(*named, "_no")
+        .agg(F.first("ids").alias("ids"), F.count(F.lit(1)).alias("copies"))
     )
-    return encoded.groupBy(key).agg(
-        F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("_piece_no", "ids"))), lambda p: p["ids"])).alias("ids")
+    whole = encoded.groupBy(*named).agg(
+        F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("_no", "ids"))), lambda p: p["ids"])).alias("ids"), F.max("copies").alias("copies")
     )
+    return whole.select(F.col("_key").alias(key), "ids", F.explode(F.sequence(F.lit(1), "copies")).alias("_copy")).drop("_copy")
 
 
 def encode_corpus(
@@ -294,7 +289,7 @@ def encode_corpus(
 
     Texts of up to ``chunk_chars`` characters are encoded where they are read, without
     a shuffle; longer ones by long_text_ids. NULL and empty texts have the empty list.
-    ``key`` must be unique among the long texts; rows of short ones may repeat.
+    Keys may repeat or be NULL: every row gives one row, whatever its text's length.
     """
     if chunk_chars <= 2 * overlap:
         raise ValueError("chunk_chars must be more than twice the overlap")

@@ -63,3 +63,21 @@ def test_empty_tables(spark):
     df = spark.createDataFrame([], "doc_id bigint, text string")
     assert tokens.encode_corpus(df).count() == 0
     assert tokens.token_counts(spark.createDataFrame([], "id string, content string")).count() == 0
+    budget = tokens.token_budget(spark.createDataFrame([], "source string, n_tokens bigint"), ["source"])
+    assert budget.count() == 0 and budget.columns == ["level", "source", "n_records", "n_tokens", "tokens_per_record"]
+
+
+def test_repeated_and_missing_keys_keep_their_rows(spark):
+    rng = random.Random(4)
+    one, two = mixed(rng, 700), mixed(rng, 800)
+    rows = [(1, one), (1, two), (1, one), (None, one), (2, "short"), (2, "short"), (2, None)]
+    got = tokens.encode_corpus(spark.createDataFrame(rows, "doc_id bigint, text string"), chunk_chars=257, overlap=64).collect()
+    want = [(k, [int(i) for i in tokens.encode(t)]) for k, t in rows]
+    assert sorted(map(repr, ((r.doc_id, r.ids) for r in got))) == sorted(map(repr, want))
+
+
+def test_row_digests_tell_where_nulls_stand(spark):
+    from casemill.llm.records import row_digest
+
+    rows = spark.createDataFrame([("a", "x", None), ("a", None, "x"), ("a", "x", None)], "id string, b string, c string")
+    assert rows.select(*row_digest(rows)).distinct().count() == 2
