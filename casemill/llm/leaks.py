@@ -1,11 +1,12 @@
 """Evaluation items inside training text.
 
 The items form a BM25 inverted index with block maxima, small enough to be at every
-worker: items come in blocks of MAX_ITEMS, each of which is a pass over the corpus.
-Every passage of every text is a query.  What a passage could score at most, and that
-it needs a run of words from an item, prune nearly all of them at once; the rest run
-block-max WAND against the index, and what they retrieve is aligned word by word with
-the whole text.
+worker: up to MAX_ITEMS items are one pass over the corpus, and how many texts hold
+their words is counted in one pass before.  Every passage of every text is a query.
+What a passage could score at most, and that it needs a run of words from an item,
+prune nearly all of them at once; the rest run block-max WAND against the index, with
+one cursor for each word's list and the items' own thresholds, and what they retrieve
+is aligned word by word with the whole text.
 
 The threshold proves that nothing is missed.  A stretch of n words with at most n / 10
 edits has n // 10 pieces of ten words side by side, at least as many as edits, so that
@@ -20,6 +21,7 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
@@ -30,9 +32,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 PIECE, STRIDE = 16, 4
-BLOCK = 16
-RUN_BITS = 20
-MAX_ITEMS = 4_000
+#: Postings of a block of a list, whose greatest score is known.
+BLOCK = 64
+#: Items of one index, and words whose texts are counted, in one pass over the corpus; more make more passes.
+MAX_ITEMS, MAX_WORDS = 100_000, 2_000_000
 K1, B = 1.2, 0.75
 _WORDS = re.compile(r"[^\W_]+")
 _MARKS = re.compile("[\u0300-\u036f]+")
@@ -79,17 +82,21 @@ def _run_keys(ids: np.ndarray, run: int) -> np.ndarray:
 
 
 class ItemIndex:
-    """Inverted index of one block of items. df: in how many of the n_texts texts a word stands."""
+    """Inverted index of the items. df: in how many of the n_texts texts a word stands.
+
+    Items are numbered in the order of their thresholds, so that the lists of postings
+    are in that order too.
+    """
 
     def __init__(self, items: list[tuple[int, list[str]]], df: dict[str, int], n_texts: int, share: float, edits: float = 0.1):
-        self.items = [(i, w) for i, w in items if w]
-        words = sorted({x for _, w in self.items for x in w})
+        own = [(i, w) for i, w in items if w]
+        words = sorted({x for _, w in own for x in w})
         self.term = {x: k for k, x in enumerate(words)}
-        mean = np.mean([len(w) for _, w in self.items] or [1])
+        mean = np.mean([len(w) for _, w in own] or [1])
         # words of most texts say nothing about a leak
         idf = {x: max(0.0, math.log((n_texts - df.get(x, 0) + 0.5) / (df.get(x, 0) + 0.5))) for x in words}
         scored = []
-        for i, w in self.items:
+        for i, w in own:
             tf = Counter(w)
             norm = K1 * (1 - B + B * len(w) / mean)
             score = {x: idf[x] * c * (K1 + 1) / (c + norm) for x, c in tf.items()}
@@ -97,36 +104,38 @@ class ItemIndex:
             size, lacks, _ = piece
             least = min(self._poorest(score, set(w[a : a + size]), lacks) for a in range(max(1, len(w) - size + 1)))
             scored.append((least, i, w, score, piece))
-        # items of like thresholds share a block, so that a low one doesn't open blocks of others
         scored.sort(key=lambda x: (x[0], x[1]))
         self.items = [(i, w) for _, i, w, _, _ in scored]
-        self.least = np.array([x[0] for x in scored])
+        self.least = [x[0] - 1e-3 for x in scored]
         self.piece = [x[4] for x in scored]
+        #: Items of words that say nothing: no score keeps them out, their runs of words alone decide.
+        self.free = bisect_right(self.least, 0.0)
         # a passage holds a piece with at most one word added, wherever the piece begins
         self.window = max((size for size, _, _ in self.piece), default=1) + 1 + STRIDE - 1
         self.ids = [np.array([self.term[x] for x in w], np.int32) for _, w in self.items]
-        self.runs: dict[int, np.ndarray] = {}
-        self.owners: dict[int, set[int]] = {}
+        runs: dict[int, list[tuple[np.ndarray, int]]] = {}
         for k, (x, (_, _, run)) in enumerate(zip(self.ids, self.piece, strict=True)):
-            keys = _run_keys(x, run)
-            self.runs.setdefault(run, np.zeros(1 << RUN_BITS, bool))[keys >> np.uint64(64 - RUN_BITS)] = True
-            for key in keys.tolist():
-                self.owners.setdefault(key, set()).add(k)
-        n_blocks = max(1, -(-len(scored) // BLOCK))
-        self.block_least = np.array([self.least[b * BLOCK : (b + 1) * BLOCK].min(initial=np.inf) for b in range(n_blocks)]) - 1e-3
-        self.row_of = np.zeros((max(1, len(words)), n_blocks), np.int32)
-        packed = [np.zeros(BLOCK, np.float32)]
+            runs.setdefault(run, []).append((np.unique(_run_keys(x, run)), k))
+        #: for each length of a run: bits of the keys' hashes, the keys in order, and the items that have them
+        self.runs: dict[int, tuple[int, np.ndarray, np.ndarray, np.ndarray]] = {}
+        for run, found in runs.items():
+            keys = np.concatenate([x for x, _ in found])
+            owners = np.repeat(np.array([k for _, k in found], np.int32), [len(x) for x, _ in found])
+            order = np.argsort(keys, kind="stable")
+            bits = max(20, int(np.ceil(np.log2(16 * len(keys) + 1))))
+            seen = np.zeros(1 << bits, bool)
+            seen[keys >> np.uint64(64 - bits)] = True
+            self.runs[run] = bits, seen, keys[order], owners[order]
+        postings: list[list[tuple[int, float]]] = [[] for _ in words]
         for k, (_, _, _, score, _) in enumerate(scored):
-            for x, s in score.items():
-                t, b = self.term[x], k // BLOCK
-                if not self.row_of[t, b]:
-                    self.row_of[t, b] = len(packed)
-                    packed.append(np.zeros(BLOCK, np.float32))
-                packed[self.row_of[t, b]][k % BLOCK] = s
-        self.packed = np.stack(packed)
-        self.block_max = self.packed.max(axis=1)[self.row_of]
-        self.most = self.block_max.max(axis=1)
-        self.threshold = float(self.block_least.min())
+            for x, c in score.items():
+                if c > 0 and k >= self.free:
+                    postings[self.term[x]].append((k, c))
+        self.docs = [[k for k, _ in p] for p in postings]
+        self.scores = [[c for _, c in p] for p in postings]
+        self.block_max = [[max(c[a : a + BLOCK]) for a in range(0, len(c), BLOCK)] for c in self.scores]
+        self.most = np.array([max(m, default=0.0) for m in self.block_max] or [0.0])
+        self.threshold = min(self.least, default=math.inf)
 
     @staticmethod
     def _poorest(score: dict[str, float], words: set[str], lacks: int) -> float:
@@ -136,16 +145,53 @@ class ItemIndex:
     def retrieve(self, terms: np.ndarray) -> list[int]:
         """Items that score at least their own threshold for a passage, by block-max WAND.
 
-        The postings of a term are cut into blocks of items, the same for all terms, so
-        that the sum of the terms' maxima in a block bounds each of its items. Only
-        blocks which that bound lets through are scored.
+        Each term has a cursor in its list. The pivot is the first item which the lists
+        up to it could lift over its threshold, by their maxima; as thresholds rise with
+        the items' numbers, no item before it can pass. If the maxima of the blocks that
+        hold the pivot can't lift it, all cursors go on past the nearest block's end;
+        else the pivot is scored, once all cursors before it have reached it.
         """
-        bound = self.block_max[terms].sum(axis=0)
-        out = []
-        for b in np.flatnonzero(bound >= self.block_least).tolist():
-            scores = self.packed[self.row_of[terms, b]].sum(axis=0)
-            at = np.flatnonzero(scores[: len(self.items) - b * BLOCK] >= self.least[b * BLOCK : (b + 1) * BLOCK] - 1e-3)
-            out += (b * BLOCK + at).tolist()
+        docs, scores, blocks, least = self.docs, self.scores, self.block_max, self.least
+        cursors = [[docs[t][0], 0, t] for t in terms.tolist() if docs[t]]
+        most = dict(zip(terms.tolist(), self.most[terms].tolist(), strict=True))
+        out = list(range(self.free))
+        while cursors:
+            cursors.sort()
+            bound, pivot = 0.0, -1
+            for k, (item, _, t) in enumerate(cursors):
+                bound += most[t]
+                if bound >= least[item]:
+                    pivot = k
+                    break
+            if pivot < 0:
+                break
+            item = cursors[pivot][0]
+            while pivot + 1 < len(cursors) and cursors[pivot + 1][0] == item:
+                pivot += 1
+            # the block of each list that would hold the item
+            shallow, ends = 0.0, math.inf
+            for _, at, t in cursors[: pivot + 1]:
+                block = at // BLOCK
+                own = docs[t]
+                while (block + 1) * BLOCK < len(own) and own[(block + 1) * BLOCK - 1] < item:
+                    block += 1
+                shallow += blocks[t][block]
+                ends = min(ends, own[min((block + 1) * BLOCK, len(own)) - 1])
+            if shallow < least[item]:
+                goal = max(item, ends) + 1
+                if pivot + 1 < len(cursors):
+                    goal = min(goal, cursors[pivot + 1][0])
+                goal = max(goal, item + 1)
+            elif cursors[0][0] == item:
+                if sum(scores[t][at] for _, at, t in cursors[: pivot + 1]) >= least[item]:
+                    out.append(item)
+                goal = item + 1
+            else:
+                goal = item
+            for c in cursors[: pivot + 1]:
+                c[1] = bisect_left(docs[c[2]], goal, c[1])
+                c[0] = docs[c[2]][c[1]] if c[1] < len(docs[c[2]]) else -1
+            cursors = [c for c in cursors if c[0] >= 0]
         return out
 
     def candidates(self, words: list[str]) -> set[int]:
@@ -163,6 +209,8 @@ class ItemIndex:
         found: set[int] = set()
         present = np.zeros(len(self.term), np.int8)
         for k in np.flatnonzero(likely).tolist():
+            if owners[k] <= found:
+                continue
             s, e = starts[k], ends[k]
             terms = np.unique(ids[s:e])
             terms = terms[terms >= 0]
@@ -178,11 +226,12 @@ class ItemIndex:
     def _with_run(self, ids: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> dict[int, set[int]]:
         """The passages that hold as long a run of an item's words as a piece of it has at least, with these items."""
         out: dict[int, set[int]] = {}
-        for run, known in self.runs.items():
+        for run, (bits, seen, known, items) in self.runs.items():
             keys = _run_keys(ids, run)
-            for at in np.flatnonzero(known[keys >> np.uint64(64 - RUN_BITS)]).tolist():
-                own = self.owners.get(int(keys[at]))
-                if own:
+            for at in np.flatnonzero(seen[keys >> np.uint64(64 - bits)]).tolist():
+                low, high = np.searchsorted(known, keys[at], "left"), np.searchsorted(known, keys[at], "right")
+                if low < high:
+                    own = items[low:high].tolist()
                     # passages that begin at the run or before it and end after it
                     first, last = np.searchsorted(ends, at + run), np.searchsorted(starts, at, "right")
                     for k in range(first, last):
@@ -241,22 +290,26 @@ def _aligned(words: list[str], item: list[str], need: int, edits: float) -> bool
     return False
 
 
-def text_frequencies(texts: DataFrame, vocabulary: set[str]) -> dict[str, int]:
-    """In how many texts each word of a bounded vocabulary stands; under "" the number of texts."""
-    shared = texts.sparkSession.sparkContext.broadcast(frozenset(vocabulary))
+def text_frequencies(texts: DataFrame, vocabulary: set[str], max_words: int = MAX_WORDS) -> dict[str, int]:
+    """In how many texts each word of the vocabulary stands; under "" the number of texts."""
+    words = sorted(vocabulary)
+    out: dict[str, int] = {}
+    for start in range(0, max(1, len(words)), max_words):
+        shared = texts.sparkSession.sparkContext.broadcast(frozenset(words[start : start + max_words]))
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, found = shared.value, Counter()
-        for batch in batches:
-            found[""] += batch.num_rows
-            for whole in batch.column(1).to_pylist():
-                found.update(known.intersection(words_of(whole)))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], names=["word", "n"]
-        )
+        def count(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            known, found = shared.value, Counter()
+            for batch in batches:
+                found[""] += batch.num_rows
+                for whole in batch.column(1).to_pylist():
+                    found.update(known.intersection(words_of(whole)))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], names=["word", "n"]
+            )
 
-    counted = texts.mapInArrow(count, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-    return {r["word"]: r["n"] for r in counted.collect()}
+        counted = texts.mapInArrow(count, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+        out |= {r["word"]: r["n"] for r in counted.collect()}
+    return out
 
 
 def leaked_items(
@@ -273,18 +326,18 @@ def leaked_items(
     At most ``edits`` of the stretch's words are replaced, dropped or added; case,
     accents, punctuation and spacing don't count. NULL and blank texts, and items
     without a word, give no rows; an item that repeats counts once, a text that
-    repeats gives its rows each time. No items or no texts: no rows.
+    repeats gives its rows each time. No items or no texts: no rows. Items, which a
+    test set has few of, are held by the driver.
     """
     schema = f"`{key}` {dict(documents.dtypes)[key]}, item_id bigint"
     rows = items.select("item_id", "text").where("text IS NOT NULL").distinct()
-    blocks = max(1, math.ceil(rows.count() / max_items))
+    own = sorted((r["item_id"], words_of(r["text"])) for r in rows.collect())
     texts = documents.where(F.col(text).isNotNull()).select(key, text)
+    df = text_frequencies(texts, {x for _, w in own for x in w})
+    n_texts = df.pop("", 0)
 
-    def passes(block: int) -> DataFrame:
-        own = rows if blocks == 1 else rows.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == block)
-        items = sorted((r["item_id"], words_of(r["text"])) for r in own.collect())
-        df = text_frequencies(texts, {x for _, w in items for x in w})
-        index = ItemIndex(items, df, df.pop("", 0), share, edits)
+    def passes(start: int) -> DataFrame:
+        index = ItemIndex(own[start : start + max_items], df, n_texts, share, edits)
         shared = documents.sparkSession.sparkContext.broadcast(index)
 
         def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -303,4 +356,4 @@ def leaked_items(
 
         return texts.mapInArrow(scan, schema)
 
-    return reduce(DataFrame.unionByName, [passes(b) for b in range(blocks)])
+    return reduce(DataFrame.unionByName, [passes(k) for k in range(0, max(1, len(own)), max_items)])

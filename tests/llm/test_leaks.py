@@ -135,3 +135,32 @@ def test_empty(spark):
     docs, items = spark.createDataFrame([], "doc_id bigint, text string"), spark.createDataFrame([(1, "a b c")], "item_id bigint, text string")
     assert K.leaked_items(docs, items).count() == 0
     assert K.leaked_items(spark.createDataFrame([(1, "a b c")], "doc_id bigint, text string"), items.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("block", [1, 3, 64])
+def test_wand_retrieves_what_scoring_all_items_would(monkeypatch, block):
+    import numpy as np
+
+    monkeypatch.setattr(K, "BLOCK", block)
+    rng = random.Random(13)
+    items = [(k, sentence(rng, rng.randrange(6, 60))) for k in range(150)]
+    df = {w: rng.randrange(60) for w in VOCABULARY} | {w: 80 for w in COMMON}
+    index = K.ItemIndex(items, df, 100, 0.5)
+    hits = 0
+    for _ in range(300):
+        part = rng.choice(items)[1]
+        words = part[: rng.randrange(4, 20)] + sentence(rng, rng.randrange(12))
+        terms = np.unique([index.term[w] for w in words if w in index.term])
+        score = np.zeros(len(items))
+        for t in terms:
+            for k, c in zip(index.docs[t], index.scores[t], strict=True):
+                score[k] += c
+        want = np.flatnonzero(score >= np.array(index.least)).tolist()
+        assert sorted(index.retrieve(terms)) == want
+        hits += len(want)
+    assert hits > 100
+
+
+def test_words_are_counted_in_several_passes(spark):
+    texts = spark.createDataFrame([(1, "a b c"), (2, "b c d"), (3, "")], "doc_id bigint, text string")
+    assert K.text_frequencies(texts, {"a", "b", "d", "x"}, max_words=1) == {"": 3, "a": 1, "b": 2, "d": 1}
