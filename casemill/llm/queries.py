@@ -4,17 +4,35 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casemill.llm import alignment, language, leaks, repeated_lines, scans, sentences, target_sample, tokens
 from casemill.llm.records import distinct_records, row_digest, site_of
-from casemill.session import materialise
 from casemill.sources.tables import spread, table
 
 
-def _keyed(rows: DataFrame) -> DataFrame:
-    return materialise(repeated_lines.keyed_records(rows, site_of(F.col("source_name"), F.col("tribunal"))))
+def _line_tables(rows: DataFrame, delta: Column, deltas: list[str]) -> repeated_lines.LineTables:
+    """The rows' repeated lines after all ``deltas``, which come in one after the other.
+
+    The texts are read once: their lines' keys are staged by delta.
+    """
+    tables = repeated_lines.LineTables.new(rows.sparkSession)
+    keyed = repeated_lines.keyed_records(rows, site_of(F.col("source_name"), F.col("tribunal")), delta)
+    keyed.write.partitionBy("delta").parquet(f"{tables.folder}/staged")
+    staged = rows.sparkSession.read.schema(keyed.schema).parquet(f"{tables.folder}/staged")
+    for own in deltas:
+        tables.add(staged.where(F.col("delta") == own).drop("delta"))
+    return tables
+
+
+#: Records come in by the decade of their date; those without a readable one come first.
+_DECADE = F.when(F.col("publication_date").rlike(r"^(19|20)\d\d"), F.substring("publication_date", 1, 3)).otherwise("none")
+
+
+def _decades(rows: DataFrame) -> list[str]:
+    found = [r["d"] for r in rows.select(_DECADE.alias("d")).distinct().collect()]
+    return sorted(found, key=lambda d: (d != "none", d))
 
 
 def _counted(spark: SparkSession, sf: str) -> DataFrame:
@@ -36,33 +54,24 @@ def p2_tokens(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p3_found(spark: SparkSession, sf: str) -> DataFrame:
-    """Lines repeated excessively on their site: the state of the table, then where its lines stand."""
-    keyed = _keyed(table(spark, sf, "case_records"))
-    lines = repeated_lines.excessive(repeated_lines.line_state(keyed))
-    return repeated_lines.lines_in(keyed, lines).select("id", "line_no")
+    """Lines repeated excessively on their site: the records come in by decade, each a delta to the state."""
+    rows = table(spark, sf, "case_records")
+    return _line_tables(rows, _DECADE, _decades(rows)).found().select("id", "line_no")
 
 
 def p3_clean(spark: SparkSession, sf: str) -> DataFrame:
     """Each record without its site's repeated lines."""
     rows = table(spark, sf, "case_records")
-    keyed = _keyed(rows)
-    lines = repeated_lines.excessive(repeated_lines.line_state(keyed))
-    clean = repeated_lines.without_lines(rows, repeated_lines.lines_in(keyed, lines))
+    clean = repeated_lines.without_lines(rows, _line_tables(rows, _DECADE, _decades(rows)).found())
     return clean.select("id", site_of(F.col("source_name"), F.col("tribunal")).alias("site"), "content")
 
 
 def p3_delta(spark: SparkSession, sf: str) -> DataFrame:
-    """Records dated 2015 or later come in as a delta: the older ones to rebuild for it, and their new text."""
+    """Records dated 2015 or later come in as a delta: the older ones that are built again for it, and their new text."""
     rows = table(spark, sf, "case_records")
     late = F.coalesce(F.substring("publication_date", 1, 4) >= "2015", F.lit(False))
-    old, new = _keyed(rows.where(~late)), _keyed(rows.where(late))
-    before = repeated_lines.line_state(old)
-    after = repeated_lines.merge_state(before, repeated_lines.line_state(new))
-    now = repeated_lines.excessive(after)
-    changed = repeated_lines.crossings(repeated_lines.excessive(before), now)
-    stale = repeated_lines.lines_in(old, changed).select("id").distinct()
-    found = repeated_lines.lines_in(old.join(stale, "id", "left_semi"), now)
-    rebuilt = repeated_lines.without_lines(rows.where(~late).join(stale, "id", "left_semi").select(*rows.columns), found)
+    tables = _line_tables(rows, F.when(late, "late").otherwise("old"), ["old", "late"])
+    rebuilt = repeated_lines.without_lines(rows, tables.found(), tables.rebuilt())
     return rebuilt.select("id", site_of(F.col("source_name"), F.col("tribunal")).alias("site"), "content")
 
 
@@ -157,16 +166,27 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p10_found": p10_found,
 }
 
-_LINES = r"""
-WITH r AS (SELECT DISTINCT * FROM case_records),
-s AS (SELECT id, content, coalesce(lower(trim(source_name)), lower(tribunal)) AS site FROM r),
-l AS (SELECT id, site, CAST(i AS INTEGER) AS line_no, regexp_replace(lower(x), '[^\p{L}]', '', 'g') AS k
+
+
+def _lines(p: str = "", where: str = "") -> str:
+    return rf"""
+{p}s AS (SELECT id, content, coalesce(lower(trim(source_name)), lower(tribunal)) AS site FROM r {where}),
+{p}l AS (SELECT id, site, CAST(i AS INTEGER) AS line_no, regexp_replace(lower(x), '[^\p{{L}}]', '', 'g') AS k
       FROM (SELECT id, site, unnest(string_split(content, chr(10))) AS x,
-                   unnest(range(1, len(string_split(content, chr(10))) + 1)) AS i FROM s WHERE content IS NOT NULL)),
-c AS (SELECT site, k, count(DISTINCT id) AS n FROM l WHERE length(k) >= 25 GROUP BY ALL),
-z AS (SELECT site, count(*) AS total FROM s GROUP BY ALL),
-hot AS (SELECT site, k FROM c JOIN z USING (site) WHERE n >= 3 AND n >= round(0.03 * total, 9))
+                   unnest(range(1, len(string_split(content, chr(10))) + 1)) AS i FROM {p}s WHERE content IS NOT NULL)),
+{p}c AS (SELECT site, k, count(DISTINCT id) AS n FROM {p}l WHERE length(k) >= 25 GROUP BY ALL),
+{p}z AS (SELECT site, count(*) AS total FROM {p}s GROUP BY ALL),
+{p}hot AS (SELECT site, k FROM {p}c JOIN {p}z USING (site) WHERE n >= 3 AND n >= round(0.03 * total, 9))
+"""
+
+
+_LINES = "WITH r AS (SELECT DISTINCT * FROM case_records)," + _lines()
+_KEPT = r""", kept AS (SELECT id, site, string_agg(x, chr(10) ORDER BY i) AS content FROM (
+        SELECT s.id, s.site, unnest(string_split(content, chr(10))) AS x,
+               unnest(range(1, len(string_split(content, chr(10))) + 1)) AS i FROM s WHERE content IS NOT NULL)
+        WHERE (site, regexp_replace(lower(x), '[^\p{L}]', '', 'g')) NOT IN (SELECT site, k FROM hot) GROUP BY ALL)
 """
+_CLEAN = "SELECT s.id, s.site, CASE WHEN s.content IS NULL THEN NULL ELSE coalesce(kept.content, '') END AS content FROM s LEFT JOIN kept USING (id)"
 _CELLS = """
 WITH r AS (SELECT DISTINCT * FROM case_records),
 x AS (SELECT lower(tribunal) AS t, substr(lower(trim(language)), 1, 2) AS l,
@@ -181,13 +201,10 @@ d AS (SELECT target_id, available,
 
 SQL: dict[str, str] = {
     "p3_found": _LINES + "SELECT id, line_no FROM l JOIN hot USING (site, k)",
-    "p3_clean": _LINES
-    + """, kept AS (SELECT id, site, string_agg(x, chr(10) ORDER BY i) AS content FROM (
-        SELECT s.id, s.site, unnest(string_split(content, chr(10))) AS x,
-               unnest(range(1, len(string_split(content, chr(10))) + 1)) AS i FROM s WHERE content IS NOT NULL)
-        WHERE (site, regexp_replace(lower(x), '[^\\p{L}]', '', 'g')) NOT IN (SELECT site, k FROM hot) GROUP BY ALL)
-       SELECT s.id, s.site, CASE WHEN s.content IS NULL THEN NULL ELSE coalesce(kept.content, '') END AS content
-       FROM s LEFT JOIN kept USING (id)""",
+    "p3_clean": _LINES + _KEPT + _CLEAN,
+    "p3_delta": _LINES + "," + _lines("o", "WHERE NOT coalesce(substr(publication_date, 1, 4) >= '2015', false)") + _KEPT
+    + """, crossed AS ((SELECT site, k FROM hot EXCEPT SELECT site, k FROM ohot) UNION ALL (SELECT site, k FROM ohot EXCEPT SELECT site, k FROM hot))
+       """ + _CLEAN + " WHERE s.id IN (SELECT id FROM ol JOIN crossed USING (site, k))",
     "p4_found": _CELLS + "SELECT target_id FROM d WHERE available < needed",
     "p4_report": _CELLS + "SELECT target_id, available, needed, greatest(0, needed - available) AS gap FROM d",
 }

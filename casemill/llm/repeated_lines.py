@@ -1,18 +1,26 @@
 """Lines that recur in many records of one site.
 
-The state is two small tables: how many records of a site hold a line, and how many
-records a site has. New records are counted apart and merged into it as a delta, so
-that old texts are read again only where a line has crossed the threshold.
+The state is tables in a shared folder: how many records of a site hold a line, how
+many records a site has, which lines are excessive, and where they stand.  New records
+come in as deltas: they are counted apart and merged into the counts, the lines that
+cross the threshold in either direction are found, and of the records that were there
+before only those that hold such a line are built again.
 """
 
 from __future__ import annotations
 
+import uuid
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from casemill.llm.records import row_digest
+from casemill.session import ensure_checkpoint_dir
+
 MIN_LETTERS, MIN_RECORDS, MIN_SHARE = 25, 3, 0.03
+#: The most lines that are sent to every worker; more are joined by salted keys, as the lines looked for are the hottest keys there are.
+MAX_SENT, SALTS = 1_000_000, 16
 
 
 class LineState(NamedTuple):
@@ -35,15 +43,18 @@ def line_key(line: Column, min_letters: int = MIN_LETTERS) -> Column:
     )
 
 
-def keyed_records(rows: DataFrame, site: Column, min_letters: int = MIN_LETTERS) -> DataFrame:
+def keyed_records(rows: DataFrame, site: Column, delta: Column | None = None, min_letters: int = MIN_LETTERS) -> DataFrame:
     """(id, record, site, keys): the distinct rows with the key of each line, NULL for a line too short.
 
     ``record`` is a 128-bit digest of the whole row. Rows are told apart by it, so that
-    the keys, a tenth of the text, are shuffled in the place of the text.
+    the keys, a tenth of the text, are shuffled in the place of the text. With
+    ``delta`` the delta that a row belongs to is a further column.
     """
-    digest = F.struct(F.xxhash64(*rows.columns).alias("a"), F.xxhash64(F.lit(1), *rows.columns).alias("b"))
+    a, b = row_digest(rows)
+    digest = F.struct(a.alias("a"), b.alias("b"))
     keys = F.transform(F.split("content", "\n"), lambda x: line_key(x, min_letters))
-    return rows.select("id", digest.alias("record"), site.alias("site"), keys.alias("keys")).distinct()
+    of = [] if delta is None else [delta.alias("delta")]
+    return rows.select("id", digest.alias("record"), site.alias("site"), keys.alias("keys"), *of).distinct()
 
 
 def line_state(keyed: DataFrame) -> LineState:
@@ -95,19 +106,28 @@ def lines_in(keyed: DataFrame, lines: DataFrame) -> DataFrame:
     """(id, record, line_no): where the ``lines`` (site, a, b) stand in the records; numbers count from 1."""
     placed = keyed.select("id", "record", "site", F.posexplode("keys").alias("pos", "k")).where("k IS NOT NULL")
     placed = placed.select("id", "record", "site", (F.col("pos") + 1).alias("line_no"), "k.a", "k.b")
-    return placed.join(lines, ["site", "a", "b"], "left_semi").select("id", "record", "line_no")
+    key = ["site", "a", "b"]
+    if lines.limit(MAX_SENT + 1).count() <= MAX_SENT:
+        return placed.join(F.broadcast(lines.select(*key)), key, "left_semi").select("id", "record", "line_no")
+    salted = lines.select(*key, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"))
+    placed = placed.withColumn("_salt", F.pmod(F.xxhash64("record", "line_no"), F.lit(SALTS)).cast("int"))
+    return placed.join(salted, [*key, "_salt"], "left_semi").select("id", "record", "line_no")
 
 
-def without_lines(rows: DataFrame, found: DataFrame) -> DataFrame:
+def without_lines(rows: DataFrame, found: DataFrame, only: DataFrame | None = None) -> DataFrame:
     """The distinct ``rows`` with content free of the lines ``found`` in them (record, line_no).
 
-    Rows without such a line and without content stay as they are; of a row of such
+    With ``only`` (record), those records alone. Rows without such a line and without content stay as they are; of a row of such
     lines only, the empty text is left.
     """
-    digest = F.struct(F.xxhash64(*rows.columns).alias("a"), F.xxhash64(F.lit(1), *rows.columns).alias("b"))
+    a, b = row_digest(rows)
+    digest = F.struct(a.alias("a"), b.alias("b"))
     drop = found.groupBy("record").agg(F.collect_set("line_no").alias("drop"))
     # the row is carried as one column, so that none of its names can clash
-    whole = rows.distinct().select(F.struct(*rows.columns).alias("_row"), digest.alias("record")).join(drop, "record", "left")
+    whole = rows.select(F.struct(*rows.columns).alias("_row"), digest.alias("record"))
+    if only is not None:
+        whole = whole.join(only, "record", "left_semi")
+    whole = whole.dropDuplicates(["record"]).join(drop, "record", "left")
     kept = F.filter(
         F.transform(F.split("_row.content", "\n"), lambda x, i: F.struct(x.alias("x"), (i + 1).alias("i"))),
         lambda p: ~F.array_contains("drop", p["i"]),
@@ -115,3 +135,71 @@ def without_lines(rows: DataFrame, found: DataFrame) -> DataFrame:
     cleaned = F.array_join(F.transform(kept, lambda p: p["x"]), "\n")
     content = F.when(F.col("drop").isNull(), F.col("_row.content")).otherwise(cleaned)
     return whole.select(*((content if c == "content" else F.col("_row")[c]).alias(c) for c in rows.columns))
+
+
+class LineTables:
+    """The state of a corpus in a folder that all workers share, kept up to date delta by delta.
+
+    Below the folder are, for each version n: keyed/n, the records that came with it;
+    counts/n, sizes/n and lines/n, the state after it; stale/n, the older records that
+    were built again; found/n, where lines stand in the records built with it. A
+    version is complete when it has its found/n, and a delta that runs again writes its
+    own version anew.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, versions: int = 0):
+        self.spark, self.folder, self.versions = spark, folder, versions
+
+    @classmethod
+    def new(cls, spark: SparkSession) -> LineTables:
+        """Tables in a new folder below the cluster's shared checkpoint folder."""
+        ensure_checkpoint_dir(spark)
+        return cls(spark, f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/lines-{uuid.uuid4().hex}")
+
+    def _write(self, name: str, rows: DataFrame) -> DataFrame:
+        path = f"{self.folder}/{name}/{self.versions + 1}"
+        rows.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)
+
+    def _all(self, name: str) -> DataFrame | None:
+        """All versions of a table so far, with the version."""
+        out = None
+        for n in range(1, self.versions + 1):
+            own = self.spark.read.parquet(f"{self.folder}/{name}/{n}").withColumn("version", F.lit(n))
+            out = own if out is None else out.unionByName(own)
+        return out
+
+    def _last(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.folder}/{name}/{self.versions}")
+
+    def add(self, keyed: DataFrame, min_records: int = MIN_RECORDS, min_share: float = MIN_SHARE) -> None:
+        """Merges a delta of keyed records. Records that came before, whole rows alike, don't count again."""
+        old = self._all("keyed")
+        if old is not None:
+            keyed = keyed.join(old.select("record"), "record", "left_anti").select(*keyed.columns)
+        new = self._write("keyed", keyed)
+        state = line_state(new)
+        if old is not None:
+            state = merge_state(LineState(self._last("counts"), self._last("sizes")), state)
+        state = LineState(self._write("counts", state.counts), self._write("sizes", state.sizes))
+        now = self._write("lines", excessive(state, min_records, min_share))
+        build = new
+        if old is not None:
+            changed = crossings(self._last("lines"), now)
+            old = old.drop("version")
+            stale = self._write("stale", lines_in(old, changed).select("record").distinct())
+            build = new.unionByName(old.join(stale, "record", "left_semi").select(*new.columns))
+        else:
+            self._write("stale", new.select("record").limit(0))
+        self._write("found", lines_in(build, now))
+        self.versions += 1
+
+    def found(self) -> DataFrame:
+        """(id, record, line_no): where excessive lines stand in all records so far, as last built."""
+        rows, stale = self._all("found"), self._all("stale")
+        last = stale.groupBy("record").agg(F.max("version").alias("built"))
+        return rows.join(last, "record", "left").where("version >= coalesce(built, 0)").select("id", "record", "line_no")
+
+    def rebuilt(self) -> DataFrame:
+        """(record): the older records that the last delta made to be built again."""
+        return self._last("stale")

@@ -40,6 +40,33 @@ def test_deltas_add_up(spark):
     assert [(r.site, r.is_excessive) for r in changed.collect()] == [("sst", True)]
 
 
+def tables(spark, df, folder, bounds):
+    out = R.LineTables(spark, str(folder))
+    for low, high in zip(bounds, bounds[1:], strict=False):
+        out.add(keyed(df.where((F.col("id") >= low) & (F.col("id") < high))))
+    return out
+
+
+def test_any_deltas_give_the_same_lines(spark, tmp_path, monkeypatch):
+    df = spark.createDataFrame(rows(), SCHEMA)
+    want = [(f"a{i}", 1) for i in range(4)] + [(f"c{i}", n) for i in range(3) for n in (1, 3)]
+    for k, bounds in enumerate((["a", "z"], ["a", "b", "b5", "c1", "c2", "z"], ["a", "z", "z"], ["c", "d", "e"])):
+        got = tables(spark, df, tmp_path / str(k), bounds)
+        assert sorted((r.id, r.line_no) for r in got.found().collect()) == [x for x in want if bounds[0] <= x[0] < bounds[-1]]
+    # three records of c alone are over the threshold; ninety-seven more of their site still leave three per cent, and one more doesn't
+    more = df.unionByName(spark.createDataFrame([("b99", None, "sst", "x", "r", 1)], SCHEMA))
+    got = tables(spark, more, tmp_path / "m", ["c", "d"])
+    got.add(keyed(more.where("id < 'c'")))
+    assert {r.id for r in got.found().collect()} == {f"a{i}" for i in range(4)}
+    assert got.rebuilt().count() == 3
+    # a record that comes again doesn't count again, and salted keys give what sent lines give
+    got.add(keyed(more.where("id >= 'b'")))
+    assert got.rebuilt().count() == 0 and got._last("sizes").where("site = 'sst'").first().n_site == 101
+    monkeypatch.setattr(R, "MAX_SENT", 0)
+    got = tables(spark, df, tmp_path / "s", ["a", "b5", "z"])
+    assert sorted((r.id, r.line_no) for r in got.found().collect()) == want
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert R.lines_in(keyed(df), R.excessive(R.line_state(keyed(df)))).count() == 0
