@@ -17,6 +17,7 @@ from collections import Counter
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 from typing import NamedTuple
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +28,11 @@ from casemill.llm.sentences import log_likelihood
 from casemill.session import materialise
 
 MAX_LINE, MIN_RUN_ON = 110, 0.4
+#: What a line of a scan is; what the furniture's kinds are called.
+BLANK, BODY, HEADER, PAGE_NUMBER = "-", "b", "h", "p"
+KINDS = {HEADER: "header", PAGE_NUMBER: "page_number"}
+#: Bits of the filter that tells the workers which words may have candidates; its size is fixed, and false hits cost only time.
+FILTER_BITS = 1 << 23
 #: How often a line must stand at the heads of pages to be a running head without the form of one.
 LEAST_HEADS = 3
 #: The most confusions that go to the workers; writing systems have far fewer, and more are an error.
@@ -63,23 +69,22 @@ def head_form(line: str) -> str:
     return "".join(_LETTERS.findall(line.lower()))
 
 
-def running_heads(lines: list[str], kinds: list[str]) -> frozenset[str]:
+def running_heads(lines: list[str], kinds: list[str] | str) -> frozenset[str]:
     """Forms of the short lines that stand first after an empty line or the start LEAST_HEADS times, and nowhere else as often.
 
     A heading such as "Reasons" that a text repeats has nothing before it on its page but
     stands above an empty line; a running head stands directly on the page's text.
     """
-    top, all_ = Counter(), Counter()
-    n = len(lines)
-    for k, kind in enumerate(kinds):
-        if kind == "blank" or len(lines[k]) >= MAX_LINE:
-            continue
-        form = head_form(lines[k])
-        if len(form) < 5:
-            continue
-        all_[form] += 1
-        top[form] += (k == 0 or kinds[k - 1] == "blank") and k + 1 < n and kinds[k + 1] != "blank" and not _END.search(lines[k])
-    return frozenset(f for f, c in top.items() if c >= LEAST_HEADS and 2 * c > all_[f])
+    top: Counter = Counter()
+    for k in range(len(lines) - 1):
+        line = lines[k]
+        if kinds[k] == BODY and (k == 0 or kinds[k - 1] == BLANK) and kinds[k + 1] == BODY and len(line) < MAX_LINE and not _END.search(line):
+            top[head_form(line)] += 1
+    often = {f: c for f, c in top.items() if c >= LEAST_HEADS and len(f) >= 5}
+    if not often:
+        return frozenset()
+    everywhere = Counter(head_form(x) for x in lines if len(x) < MAX_LINE)
+    return frozenset(f for f, c in often.items() if 2 * c > everywhere[f])
 
 
 def _is_head(line: str, heads: frozenset[str]) -> bool:
@@ -88,27 +93,27 @@ def _is_head(line: str, heads: frozenset[str]) -> bool:
     return form in heads or any(abs(len(form) - len(h)) < 3 and SequenceMatcher(None, form, h, False).ratio() >= 0.9 for h in heads)
 
 
-def layout(lines: list[str]) -> list[str]:
-    """For each line of a scan: blank, header, page_number or body.
+def layout(lines: list[str]) -> str:
+    """For each line of a scan: BLANK, HEADER, PAGE_NUMBER or BODY.
 
     Heads stand first on a page, page numbers first or last; pages begin at the start
     and after an empty line, as paragraphs may too. A head is told by its form, names
     and a citation, or by standing at the head of one page after the other.
     """
-    kinds = ["blank" if not x or x.isspace() else "body" for x in lines]
+    kinds = [BLANK if not x or x.isspace() else BODY for x in lines]
     n = len(lines)
     heads = running_heads(lines, kinds)
     for k in range(n):
-        if kinds[k] == "blank":
+        if kinds[k] == BLANK:
             continue
         text = lines[k].strip()
-        first = k == 0 or kinds[k - 1] != "body"
+        first = k == 0 or kinds[k - 1] != BODY
         last = k + 1 == n or not lines[k + 1].strip() or (k + 2 < n and bool(_HEAD.search(lines[k + 1])) and bool(_VERSUS.search(lines[k + 1])))
         if first and len(text) < MAX_LINE and (_HEAD.search(text) and _VERSUS.search(text) or heads and _is_head(text, heads)):
-            kinds[k] = "header"
+            kinds[k] = HEADER
         elif (first or last) and _PAGE.fullmatch(text):
-            kinds[k] = "page_number"
-    return kinds
+            kinds[k] = PAGE_NUMBER
+    return "".join(kinds)
 
 
 def bare(token: str) -> str:
@@ -121,12 +126,12 @@ class Token(NamedTuple):
     split: int  # how many of its characters stand there; 0 if it isn't cut
 
 
-def tokens_of(lines: list[str], kinds: list[str]) -> list[Token]:
+def tokens_of(lines: list[str], kinds: str) -> list[Token]:
     """The words of the body; one that a line's end may cut comes joined, without the hyphen."""
     out: list[Token] = []
     carry: tuple[str, int] | None = None
     for k, line in enumerate(lines):
-        if kinds[k] != "body":
+        if kinds[k] != BODY:
             continue
         words = line.split()
         for i, raw in enumerate(words):
@@ -145,10 +150,10 @@ def tokens_of(lines: list[str], kinds: list[str]) -> list[Token]:
     return out
 
 
-def cut_ends(lines: list[str], kinds: list[str]) -> list[tuple[int, str, str, str]]:
+def cut_ends(lines: list[str], kinds: str) -> list[tuple[int, str, str, str]]:
     """(line index, left, right, hyphen) of each body line that ends in a hyphen; left is its last word, right the next."""
     out = []
-    body = [k for k in range(len(lines)) if kinds[k] == "body"]
+    body = [k for k in range(len(lines)) if kinds[k] == BODY]
     for k, following in zip(body, [*body[1:], None], strict=True):
         line = lines[k].rstrip()
         if len(line) > 1 and line[-1] in _HYPHENS and following is not None:
@@ -163,19 +168,19 @@ def shape(word: str) -> str:
     return re.sub(r"\d+", "0", word) if not _LETTER.search(word) else word
 
 
-def corpus_words(records: DataFrame) -> DataFrame:
+def corpus_words(records: DataFrame, scans: DataFrame) -> DataFrame:
     """(kind, a, b, n) over all records: w words and p word pairs of born-digital texts, s words of scans,
     j words of scans that a line's end may cut."""
+    schema = "kind string, a string, b string, n bigint"
+
+    def counts(rows: list[tuple]) -> pa.RecordBatch:
+        return _rows(rows, (pa.string(), pa.string(), pa.string(), pa.int64()), ["kind", "a", "b", "n"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            raw, raw_pairs, words, pairs, scanned, cut = (Counter() for _ in range(6))
+            raw, raw_pairs, words, pairs = (Counter() for _ in range(4))
             for content in batch.column(0).to_pylist():
-                lines = content.split("\n")
-                if is_scan(lines):
-                    for t in tokens_of(lines, layout(lines)):
-                        (cut if t.split else scanned)[t.word] += 1
-                else:
+                if not is_scan(content.split("\n")):
                     own = content.lower().split()
                     raw.update(own)
                     raw_pairs.update(zip(own, own[1:], strict=False))
@@ -186,14 +191,18 @@ def corpus_words(records: DataFrame) -> DataFrame:
             for (x, y), n in raw_pairs.items():
                 pairs[form[x], form[y]] += n
             del words[""]
-            rows = [("w", a, "", n) for a, n in words.items()] + [("s", a, "", n) for a, n in scanned.items()]
-            rows += [("j", a, "", n) for a, n in cut.items()] + [("p", a, b, n) for (a, b), n in pairs.items() if a and b]
-            columns = list(zip(*rows, strict=True)) or [[], [], [], []]
-            yield pa.RecordBatch.from_arrays(
-                [*(pa.array(c, pa.string()) for c in columns[:3]), pa.array(columns[3], pa.int64())], names=["kind", "a", "b", "n"]
-            )
+            yield counts([("w", a, "", n) for a, n in words.items()] + [("p", a, b, n) for (a, b), n in pairs.items() if a and b])
 
-    counted = records.where("content IS NOT NULL").select("content").mapInArrow(count, "kind string, a string, b string, n bigint")
+    def count_scans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            scanned, cut = Counter(), Counter()
+            for content, kinds in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                for t in tokens_of(content.split("\n"), kinds):
+                    (cut if t.split else scanned)[t.word] += 1
+            yield counts([("s", a, "", n) for a, n in scanned.items()] + [("j", a, "", n) for a, n in cut.items()])
+
+    counted = records.where("content IS NOT NULL").select("content").mapInArrow(count, schema)
+    counted = counted.unionByName(scans.select("content", "kinds").mapInArrow(count_scans, schema))
     return counted.groupBy("kind", "a", "b").agg(F.sum("n").alias("n"))
 
 
@@ -318,14 +327,19 @@ def candidates(words: DataFrame, confusions: dict[str, list[tuple[str, float]]],
 
 
 def _scan_rows(records: DataFrame) -> DataFrame:
-    """(row, id, content) of scans alone; ``row`` is a digest that tells records of one id apart."""
+    """(row, id, content, kinds) of scans alone: what each line is, by KINDS; ``row`` tells records of one id apart."""
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(pa.array([is_scan(x.split("\n")) for x in batch.column(1).to_pylist()], pa.bool_()))
+            kinds = []
+            for content in batch.column(1).to_pylist():
+                lines = content.split("\n")
+                kinds.append(layout(lines) if is_scan(lines) else None)
+            own = pa.RecordBatch.from_arrays([*batch.columns, pa.array(kinds, pa.string())], names=["id", "content", "kinds"])
+            yield own.filter(own.column(2).is_valid())
 
-    scans = records.where("content IS NOT NULL").select("id", "content").mapInArrow(keep, "id string, content string")
-    return scans.select(F.md5(F.concat_ws("\0", "id", "content")).alias("row"), "id", "content")
+    scans = records.where("content IS NOT NULL").select("id", "content").mapInArrow(keep, "id string, content string, kinds string")
+    return scans.select(F.xxhash64("id", "content").alias("row"), "id", "content", "kinds")
 
 
 def furniture(scans: DataFrame) -> DataFrame:
@@ -334,14 +348,14 @@ def furniture(scans: DataFrame) -> DataFrame:
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [
-                (i, k + 1, kind)
-                for i, content in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)
-                for k, kind in enumerate(layout(content.split("\n")))
-                if kind in ("header", "page_number")
+                (i, k + 1, KINDS[kind])
+                for i, kinds in zip(*(c.to_pylist() for c in batch.columns), strict=True)
+                for k, kind in enumerate(kinds)
+                if kind in KINDS
             ]
             yield _rows(rows, (pa.string(), pa.int32(), pa.string()), ["id", "line_no", "kind"])
 
-    return scans.mapInArrow(find, "id string, line_no int, kind string")
+    return scans.select("id", "kinds").mapInArrow(find, "id string, line_no int, kind string")
 
 
 def _rows(rows: list[tuple], types: tuple, names: list[str]) -> pa.RecordBatch:
@@ -361,20 +375,19 @@ def broken_lines(scans: DataFrame, words: DataFrame, confusions: dict[str, list[
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for row, i, content in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                lines = content.split("\n")
-                for k, left, right, mark in cut_ends(lines, layout(lines)):
+            for row, i, content, kinds in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                for k, left, right, mark in cut_ends(content.split("\n"), kinds):
                     forms = [(left + right, "joined", 0.0), (left + "-" + right, "compound", 0.0), (left, "left", 0.0), (right, "right", 0.0)]
                     forms += [(x, "joined", p) for x, p in variants(left + right, confusions, 1).items()]
                     forms += [(x, "compound", p) for x, p in variants(left + "-" + right, confusions, 1).items()]
                     rows += [(row, i, k + 1, mark == "-", left + right, x, form, p) for x, form, p in forms]
             yield _rows(
                 rows,
-                (pa.string(), pa.string(), pa.int32(), pa.bool_(), pa.string(), pa.string(), pa.string(), pa.float64()),
+                (pa.int64(), pa.string(), pa.int32(), pa.bool_(), pa.string(), pa.string(), pa.string(), pa.float64()),
                 ["row", "id", "line_no", "open", "whole", "word", "form", "logp"],
             )
 
-    forms = scans.mapInArrow(find, "row string, id string, line_no int, open boolean, whole string, word string, form string, logp double")
+    forms = scans.mapInArrow(find, "row bigint, id string, line_no int, open boolean, whole string, word string, form string, logp double")
     weight = F.coalesce(F.col("clean") + F.col("scanned"), F.lit(0)) * F.exp("logp")
 
     def of(form: str) -> Column:
@@ -391,23 +404,34 @@ def broken_lines(scans: DataFrame, words: DataFrame, confusions: dict[str, list[
     return judged.where(cut).select("row", "id", "line_no", F.col("whole").alias("joined"))
 
 
-def _with_candidates(scans: DataFrame, cands: DataFrame, confusions: dict[str, list[tuple[str, float]]]) -> DataFrame:
-    """The scans that have odd words, with the candidates of all of them: (row, id, content, odd).
+def _word_filter(cands: DataFrame) -> np.ndarray:
+    """A bit for the hash of every word that has candidates; its size doesn't depend on their number."""
+    hashed = cands.select(F.pmod(F.crc32("w"), F.lit(FILTER_BITS)).alias("h"))
+    rows = hashed.groupBy(F.expr("CAST(h DIV 32 AS INT)").alias("at")).agg(F.expr("bit_or(shiftleft(1L, CAST(h % 32 AS INT)))").alias("bits")).collect()
+    words = np.zeros(FILTER_BITS // 32, np.uint32)
+    for r in rows:
+        words[r["at"]] = r["bits"]
+    return np.unpackbits(words.view(np.uint8), bitorder="little")
+
+
+def _with_candidates(scans: DataFrame, cands: DataFrame) -> DataFrame:
+    """The scans that have odd words, with the candidates of all of them: (row, id, content, kinds, odd).
 
-    Every distinct word of a scan that holds a confusion's reading is joined to the
-    candidates, so that their number has no bound and no word is left for a later pass.
+    The words of every scan that the filter lets through are joined to the candidates,
+    so that their number has no bound and no word is left for a later pass.
     """
-    readings = re.compile("|".join(map(re.escape, sorted(confusions))) or r"(?!)")
+    shared = scans.sparkSession.sparkContext.broadcast(np.packbits(_word_filter(cands)))
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        likely = np.unpackbits(shared.value).tobytes()
         for batch in batches:
             rows = []
-            for row, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                lines = content.split("\n")
-                rows += [(row, w) for w in {t.word for t in tokens_of(lines, layout(lines))} if readings.search(w)]
-            yield _rows(rows, (pa.string(), pa.string()), ["row", "w"])
+            for row, content, kinds in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                own = {t.word for t in tokens_of(content.split("\n"), kinds)}
+                rows += [(row, w) for w in own if likely[crc32(w.encode()) % FILTER_BITS]]
+            yield _rows(rows, (pa.int64(), pa.string()), ["row", "w"])
 
-    own = scans.select("row", "content").mapInArrow(words, "row string, w string")
+    own = scans.select("row", "content", "kinds").mapInArrow(words, "row bigint, w string")
     odd = own.join(cands, "w").groupBy("row").agg(F.collect_list(F.struct("w", "found")).alias("odd"))
     return scans.join(odd, "row")
 
@@ -422,10 +446,9 @@ def _lattice(scans: DataFrame) -> DataFrame:
         for batch in batches:
             for start in range(0, batch.num_rows, 500):
                 rows = []
-                for row, i, content, odd in zip(*(c.to_pylist() for c in batch.slice(start, 500).columns), strict=True):
+                for row, i, content, kinds, odd in zip(*(c.to_pylist() for c in batch.slice(start, 500).columns), strict=True):
                     cands = {o["w"]: [(f["c"], f["logp"]) for f in o["found"]] for o in odd}
-                    lines = content.split("\n")
-                    tokens = tokens_of(lines, layout(lines))
+                    tokens = tokens_of(content.split("\n"), kinds)
                     states = [[(shape(t.word), 0.0), *cands.get(t.word, ())] for t in tokens]
                     for k, t in enumerate(tokens):
                         before = states[k - 1] if k else [("", 0.0)]
@@ -435,12 +458,12 @@ def _lattice(scans: DataFrame) -> DataFrame:
                         rows += [(row, i, t.line, k, a, b, p, t.split, t.word) for a, _ in before for b, p in states[k]]
                 yield _rows(
                     rows,
-                    (pa.string(), pa.string(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.float64(), pa.int32(), pa.string()),
+                    (pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.float64(), pa.int32(), pa.string()),
                     ["row", "id", "line", "pos", "a", "b", "logp", "split", "word"],
                 )
 
-    kinds = "row string, id string, line int, pos int, a string, b string, logp double, split int, word string"
-    return scans.select("row", "id", "content", "odd").mapInArrow(edges, kinds)
+    kinds = "row bigint, id string, line int, pos int, a string, b string, logp double, split int, word string"
+    return scans.select("row", "id", "content", "kinds", "odd").mapInArrow(edges, kinds)
 
 
 def best_path(edges: list[tuple[int, str, str, float]]) -> dict[int, str]:
@@ -486,7 +509,7 @@ def corrections(scans: DataFrame, counts: DataFrame, words: DataFrame, confusion
     total = max(1, words.agg(F.sum("clean")).collect()[0][0] or 0)
     singles = words.where("clean > 0").select(F.col("word").alias("x"), "clean")
     pairs = counts.where("kind = 'p'").select("a", "b", F.col("n").alias("n_ab"))
-    edges = materialise(_lattice(_with_candidates(scans, candidates(words, confusions), confusions)))
+    edges = materialise(_lattice(_with_candidates(scans, materialise(candidates(words, confusions)))))
     model = F.log(
         PAIR_WEIGHT * F.coalesce("n_ab", F.lit(0)) / F.coalesce("n_a", F.lit(1))
         + (1 - PAIR_WEIGHT) * (F.coalesce("n_b", F.lit(0)) + UNSEEN) / F.lit(float(total))
@@ -519,11 +542,11 @@ def corrections(scans: DataFrame, counts: DataFrame, words: DataFrame, confusion
                         rows.append((row, i, e["line"] + 1, pos, e["split"], same, e["word"], word))
             yield _rows(
                 rows,
-                (pa.string(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.string()),
+                (pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.string()),
                 ["row", "id", "line_no", "pos", "split", "at", "word", "correction"],
             )
 
-    return weighted.mapInArrow(decode, "row string, id string, line_no int, pos int, split int, at int, word string, correction string")
+    return weighted.mapInArrow(decode, "row bigint, id string, line_no int, pos int, split int, at int, word string, correction string")
 
 
 class ScanRepair(NamedTuple):
@@ -540,25 +563,25 @@ def repair(records: DataFrame) -> ScanRepair:
     born-digital text there is no language model, and nothing counts as misread.
     """
     rows = records.select("id", "content")
-    counts = materialise(corpus_words(rows))
+    scans = materialise(_scan_rows(rows))
+    counts = materialise(corpus_words(rows, scans))
     words = materialise(vocabulary(counts))
     confusions = learn_confusions(words)
-    scans = materialise(_scan_rows(rows))
     return ScanRepair(scans, furniture(scans), broken_lines(scans, words, confusions), corrections(scans, counts, words, confusions))
 
 
 def _next_body(scans: DataFrame) -> DataFrame:
-    """(row, line_no, next_no): the body line after each body line."""
+    """(row, id, line_no, next_no): the body line after each body line."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for row, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                body = [k + 1 for k, kind in enumerate(layout(content.split("\n"))) if kind == "body"]
-                rows += [(row, a, b) for a, b in zip(body, body[1:], strict=False)]
-            yield _rows(rows, (pa.string(), pa.int32(), pa.int32()), ["row", "line_no", "next_no"])
+            for row, i, kinds in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                body = [k + 1 for k, kind in enumerate(kinds) if kind == BODY]
+                rows += [(row, i, a, b) for a, b in zip(body, body[1:], strict=False)]
+            yield _rows(rows, (pa.int64(), pa.string(), pa.int32(), pa.int32()), ["row", "id", "line_no", "next_no"])
 
-    return scans.select("row", "content").mapInArrow(find, "row string, line_no int, next_no int")
+    return scans.select("row", "id", "kinds").mapInArrow(find, "row bigint, id string, line_no int, next_no int")
 
 
 def flawed_lines(found: ScanRepair) -> DataFrame:
@@ -566,7 +589,7 @@ def flawed_lines(found: ScanRepair) -> DataFrame:
     wrong = found.corrections
     # the wrong character of a cut word may stand on the line after
     here = wrong.where("split = 0 OR at < split").select("id", "line_no")
-    after = wrong.where("split > 0 AND at >= split").join(_next_body(found.scans), ["row", "line_no"]).select("id", F.col("next_no").alias("line_no"))
+    after = wrong.where("split > 0 AND at >= split").join(_next_body(found.scans), ["row", "id", "line_no"]).select("id", F.col("next_no").alias("line_no"))
     return (
         found.furniture.unionByName(found.broken.select("id", "line_no", F.lit("broken").alias("kind")))
         .unionByName(here.unionByName(after).withColumn("kind", F.lit("misread")))
@@ -580,15 +603,15 @@ def repaired_text(found: ScanRepair) -> DataFrame:
     A paragraph ends at an empty line or before an indented one, unless a page ends
     there in the middle of a sentence.
     """
-    fixes = found.corrections.groupBy("row").agg(F.collect_list(F.struct("pos", "correction")).alias("fixes"))
-    cuts = found.broken.groupBy("row").agg(F.collect_set("line_no").alias("cuts"))
-    rows = found.scans.join(fixes, "row", "left").join(cuts, "row", "left").select("id", "content", "fixes", "cuts")
+    fixes = found.corrections.groupBy("row", "id").agg(F.collect_list(F.struct("pos", "correction")).alias("fixes"))
+    cuts = found.broken.groupBy("row", "id").agg(F.collect_set("line_no").alias("cuts"))
+    rows = found.scans.join(fixes, ["row", "id"], "left").join(cuts, ["row", "id"], "left").select("id", "content", "kinds", "fixes", "cuts")
 
     def mend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = []
-            for content, fixes, cuts in zip(*(c.to_pylist() for c in batch.columns[1:]), strict=True):
-                texts.append(_mended(content, {f["pos"]: f["correction"] for f in fixes or ()}, set(cuts or ())))
+            for content, kinds, fixes, cuts in zip(*(c.to_pylist() for c in batch.columns[1:]), strict=True):
+                texts.append(_mended(content, kinds, {f["pos"]: f["correction"] for f in fixes or ()}, set(cuts or ())))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["id", "text"])
 
     return rows.mapInArrow(mend, "id string, text string")
@@ -602,10 +625,9 @@ def _corrected(raw: str, right: str | None) -> str:
     return raw.replace(core, right[:1].upper() + right[1:] if core[:1].isupper() else right)
 
 
-def _mended(content: str, fixes: dict[int, str], cuts: set[int]) -> str:
+def _mended(content: str, kinds: str, fixes: dict[int, str], cuts: set[int]) -> str:
     """``fixes`` has corrections by the word's number in the body, as tokens_of counts; ``cuts`` the lines that cut a word."""
     lines = content.split("\n")
-    kinds = layout(lines)
     paragraphs: list[str] = []
     text: list[str] = []
     page_end, pos = False, 0
@@ -620,16 +642,16 @@ def _mended(content: str, fixes: dict[int, str], cuts: set[int]) -> str:
         text.clear()
 
     for k, line in enumerate(lines):
-        if kinds[k] in ("header", "page_number"):
+        if kinds[k] in KINDS:
             page_end = True
             continue
         ends = carry is None and bool(text) and _END.search(text[-1]) is not None
-        if (text or carry) and (kinds[k] == "blank" or line[:2].isspace()) and not (page_end and not ends):
+        if (text or carry) and (kinds[k] == BLANK or line[:2].isspace()) and not (page_end and not ends):
             # an empty line after a page's last may part a sentence: what follows decides
-            if kinds[k] == "blank" and not ends:
+            if kinds[k] == BLANK and not ends:
                 continue
             close()
-        if kinds[k] == "blank":
+        if kinds[k] == BLANK:
             continue
         page_end = False
         words = list(_WORD_PLACES.finditer(line))

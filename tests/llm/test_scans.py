@@ -57,13 +57,13 @@ def test_running_heads_without_a_citation():
     ):
         lines = [x for h in heads for x in (h, *body, "")]
         kinds = S.layout(lines)
-        assert [k for k, kind in enumerate(kinds) if kind == "header"] == list(range(0, 40, 5)), heads[0]
+        assert [k for k, kind in enumerate(kinds) if kind == S.HEADER] == list(range(0, 40, 5)), heads[0]
     # headings stand above an empty line, and what ends a sentence is text
     names = ["Torbex", "Galmesk", "Ostmesk", "Brentok", "Lurvia", "Pandry"]
     lines = [x for n in names for x in ("Reasons", "", f"{n} said that {body[0]}", *body, "")]
-    assert "header" not in S.layout(lines)
+    assert S.HEADER not in S.layout(lines)
     lines = [x for n in names for x in ("The appeal is dismissed.", f"{n} said that {body[0]}", *body, "")]
-    assert "header" not in S.layout(lines)
+    assert S.HEADER not in S.layout(lines)
 
 
 def test_gaps_of_words_meet_where_the_rest_is_equal():
@@ -79,8 +79,8 @@ def test_gaps_of_words_meet_where_the_rest_is_equal():
 
 def test_corrections_change_their_own_place_only():
     content = "the form was here and the forrn\nwas there, but a well-\nknown man and a tele-\nphone rang"
-    assert S._mended(content, {6: "form"}, {3}) == "the form was here and the form was there, but a well-known man and a telephone rang"
-    assert S._mended(content, {1: "farm"}, set()) == "the farm was here and the forrn was there, but a well-known man and a tele-phone rang"
+    assert S._mended(content, S.layout(content.split("\n")), {6: "form"}, {3}) == "the form was here and the form was there, but a well-known man and a telephone rang"
+    assert S._mended(content, S.layout(content.split("\n")), {1: "farm"}, set()) == "the farm was here and the forrn was there, but a well-known man and a tele-phone rang"
 
 
 def test_neighbours_are_corrected_together(spark):
