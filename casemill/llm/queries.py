@@ -81,7 +81,7 @@ def _target_sample(spark: SparkSession, sf: str) -> target_sample.TargetSample:
 
 
 def p4_found(spark: SparkSession, sf: str) -> DataFrame:
-    """Target cells with fewer records than needed."""
+    """Target cells of which the sample has fewer records than needed."""
     return _target_sample(spark, sf).report.where("gap > 0").select("target_id")
 
 
@@ -95,6 +95,14 @@ def p4_report(spark: SparkSession, sf: str) -> DataFrame:
     return _target_sample(spark, sf).report.select("target_id", "available", "needed", "gap")
 
 
+def p4_cells(spark: SparkSession, sf: str) -> DataFrame:
+    """Whether the sample keeps each cell's minimum as far as there are records, and its size."""
+    made = _target_sample(spark, sf)
+    drawn = made.sample.groupBy("target_id").agg(F.count(F.lit(1)).alias("drawn"))
+    rows = made.report.select("target_id", "available", "needed").join(drawn, "target_id", "left").fillna(0, ["drawn"])
+    return rows.select("target_id", "available", (F.col("drawn") >= F.least("needed", "available")).alias("kept"), (F.col("drawn") <= F.col("available")).alias("once"))
+
+
 def p5_found(spark: SparkSession, sf: str) -> DataFrame:
     """Lines of English and French versions of a decision that translate each other."""
     return alignment.aligned_lines(distinct_records(table(spark, sf, "case_records"), "id", "content", "tribunal", "citation"))
@@ -156,6 +164,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p4_found": p4_found,
     "p4_sample": p4_sample,
     "p4_report": p4_report,
+    "p4_cells": p4_cells,
     "p5_found": p5_found,
     "p6_found": p6_found,
     "p6_text": p6_text,
@@ -206,5 +215,6 @@ SQL: dict[str, str] = {
     + """, crossed AS ((SELECT site, k FROM hot EXCEPT SELECT site, k FROM ohot) UNION ALL (SELECT site, k FROM ohot EXCEPT SELECT site, k FROM hot))
        """ + _CLEAN + " WHERE s.id IN (SELECT id FROM ol JOIN crossed USING (site, k))",
     "p4_found": _CELLS + "SELECT target_id FROM d WHERE available < needed",
+    "p4_cells": _CELLS + "SELECT target_id, available, true AS kept, true AS once FROM d",
     "p4_report": _CELLS + "SELECT target_id, available, needed, greatest(0, needed - available) AS gap FROM d",
 }

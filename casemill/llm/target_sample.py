@@ -3,8 +3,9 @@
 Weights are raked over the tribunal, language and period margins of the cells by
 iterative proportional fitting, every record draws an exponential key with its
 weight, and the smallest keys are taken. Cells short of their minimum are topped up
-and what can't be met is reported. Only a histogram of keys by cell, whose size
-doesn't depend on the records, comes to the driver.
+and what can't be met is reported by what was drawn. Only histograms of keys by cell,
+whose size doesn't depend on the records, come to the driver: the bin that holds a
+cell's cut-off is divided again until what is left of it is small enough to be sorted.
 """
 
 from __future__ import annotations
@@ -16,10 +17,14 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from casemill.session import materialise
+
 #: The most target cells that a call takes: with BINS, the bound of what the driver holds.
 MAX_CELLS = 2_000
 #: Bins of the histogram of keys: this many for each halving of a key, over so many halvings.
 PER_HALVING, HALVINGS = 16, 64
+#: Rows around a cell's cut-off that one task sorts, and the parts into which more are divided at once.
+MAX_SORTED, PARTS = 100_000, 1_024
 
 
 class TargetSample(NamedTuple):
@@ -86,7 +91,7 @@ def target_sample(records: DataFrame, targets: DataFrame, size: int, seed: int =
     """Draws about ``size`` rows of ``records`` with the shares of ``targets``.
 
     Columns of the report: those of targets, available, needed, sampled, raked (the
-    expected rows by raking), gap (needed - available where positive, else 0). Needed
+    expected rows by raking), gap (needed - sampled where positive, else 0). Needed
     is the greater of min_rows and target_share * size, rounded to six decimals and
     then up. A record whose tribunal, language or date fits no cell is never drawn;
     repeated rows are each drawn on their own; empty records give an empty sample and
@@ -101,18 +106,23 @@ def target_sample(records: DataFrame, targets: DataFrame, size: int, seed: int =
     cells.sort(key=lambda c: c["target_id"])
     # equal rows are counted, then told apart by number, so that a row which is there often is never sorted
     inside = in_cells(records, targets).groupBy("target_id", "row").agg(F.count(F.lit(1)).alias("n"))
-    own = F.col("row")[key]
     h = F.xxhash64(F.lit(seed), "row", "_twin")
-    unit = (F.shiftrightunsigned(h, 11) + F.lit(0.5)) / F.lit(float(2**53))
-    draws = inside.select("target_id", "row", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("_twin")).withColumn("_e", -F.log(unit))
+    # the place of a row in the order of keys, as an integer: the key is its exponential form
+    unit = (F.lit(2**53 - 1) - F.col("_v") + F.lit(0.5)) / F.lit(float(2**53))
+    draws = inside.select("target_id", "row", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("_twin"))
+    draws = draws.withColumn("_v", F.lit(2**53 - 1) - F.shiftrightunsigned(h, 11)).withColumn("_e", -F.log(unit))
 
     at = {c["target_id"]: k for k, c in enumerate(cells)}
-    bin_of = F.floor(F.log2("_e") * PER_HALVING).cast("int")
-    histogram = draws.groupBy("target_id", bin_of.alias("b")).agg(F.count(F.lit(1)).alias("n")).collect()
     span = PER_HALVING * HALVINGS
+    bin_of = F.floor(F.log2("_e") * PER_HALVING).cast("int")
+    bin_of = F.greatest(F.least(bin_of, F.lit(8 * PER_HALVING - 1)), F.lit(8 * PER_HALVING - span))
+    histogram = draws.groupBy("target_id", bin_of.alias("b")).agg(F.count(F.lit(1)).alias("n"), F.min("_v").alias("low"), F.max("_v").alias("high")).collect()
     counts = np.zeros((len(cells), span), np.int64)
+    places: dict[tuple[int, int], tuple[int, int]] = {}
     for row in histogram:
-        counts[at[row["target_id"]], min(max(row["b"] + span - 8 * PER_HALVING, 0), span - 1)] += row["n"]
+        cell = at[row["target_id"]], row["b"] + span - 8 * PER_HALVING
+        counts[cell] = row["n"]
+        places[cell] = row["low"], row["high"] + 1
     have = counts.sum(axis=1)
     want = np.array([(c["target_share"] or 0.0) * size for c in cells])
     needed = np.array([math.ceil(round(max(c["min_rows"] or 0, w), 6)) for c, w in zip(cells, want, strict=True)], np.int64)
@@ -139,29 +149,53 @@ def target_sample(records: DataFrame, targets: DataFrame, size: int, seed: int =
         low, high = (low, middle) if len(cells) and below(middle).sum() >= size else (middle, high)
     take = quotas(below(high), needed, have, size) if len(cells) else np.zeros(0, np.int64)
 
-    # whole bins below each cell's cut-off bin, and the smallest keys of that bin
-    full, last, rest = [], [], []
+    # whole bins below each cell's cut-off bin; in that bin the rows before a part, and the first of the part
+    full, low, high, rest, within = [], [], [], [], []
     for k in range(len(cells)):
         b = int(np.searchsorted(cumulative[k], take[k], "right"))
-        before = int(cumulative[k][b - 1]) if b else 0
+        first, last = places.get((k, b), (0, 0))
         full.append(b - span + 8 * PER_HALVING)
-        last.append(b)
-        rest.append(int(take[k]) - before)
+        low.append(first)
+        high.append(last)
+        rest.append(int(take[k]) - (int(cumulative[k][b - 1]) if b else 0))
+        within.append(int(counts[k][b]) if b < span else 0)
+    marked = draws.withColumn("_b", bin_of)
+    while wide := [k for k in range(len(cells)) if within[k] > MAX_SORTED and rest[k] > 0 and high[k] - low[k] > 1]:
+        step = {k: -(-(high[k] - low[k]) // PARTS) for k in wide}
+        bounds = spark.createDataFrame(
+            [(cells[k]["target_id"], full[k], low[k], high[k], step[k]) for k in wide], "target_id bigint, _bin int, _low bigint, _high bigint, _step bigint"
+        )
+        inner = marked.join(F.broadcast(bounds), "target_id").where("_b = _bin AND _v >= _low AND _v < _high")
+        part = F.expr("CAST((_v - _low) DIV _step AS INT)")
+        parts = np.zeros((len(cells), PARTS), np.int64)
+        for r in inner.groupBy("target_id", part.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect():
+            parts[at[r["target_id"]], r["p"]] = r["n"]
+        for k in wide:
+            so_far = parts[k].cumsum()
+            p = int(np.searchsorted(so_far, rest[k], "left"))
+            rest[k] -= int(so_far[p - 1]) if p else 0
+            within[k] = int(parts[k][p])
+            low[k], high[k] = low[k] + p * step[k], min(high[k], low[k] + (p + 1) * step[k])
     plan = spark.createDataFrame(
-        [(c["target_id"], full[k], rest[k]) for k, c in enumerate(cells)], "target_id bigint, _bin int, _rest int"
+        [(c["target_id"], full[k], low[k], high[k], rest[k]) for k, c in enumerate(cells)],
+        "target_id bigint, _bin int, _low bigint, _high bigint, _rest bigint",
     )
-    marked = draws.withColumn("_b", F.greatest(F.least(bin_of, F.lit(8 * PER_HALVING - 1)), F.lit(8 * PER_HALVING - span))).join(F.broadcast(plan), "target_id")
-    rank = F.row_number().over(Window.partitionBy("target_id").orderBy("_e", own, "_twin"))
+    marked = marked.join(F.broadcast(plan), "target_id")
+    rank = F.row_number().over(Window.partitionBy("target_id").orderBy("_v", F.col("row")[key], "_twin"))
     chosen = (
-        marked.where("_b < _bin")
+        marked.where("_b < _bin OR (_b = _bin AND _v < _low)")
         .select("target_id", "row")
-        .unionByName(marked.where("_b = _bin AND _rest > 0").withColumn("_r", rank).where("_r <= _rest").select("target_id", "row"))
+        .unionByName(
+            marked.where("_b = _bin AND _v >= _low AND _v < _high AND _rest > 0").withColumn("_r", rank).where("_r <= _rest").select("target_id", "row")
+        )
     )
+    chosen = materialise(chosen)
     sample = chosen.select("target_id", *(F.col("row")[c].alias(c) for c in records.columns if c != "target_id"))
-    rows = [
-        (c["target_id"], int(have[k]), int(needed[k]), int(take[k]), float(raked[k]), max(0, int(needed[k] - have[k])))
-        for k, c in enumerate(cells)
-    ]
+    drawn = {r["target_id"]: r["n"] for r in chosen.groupBy("target_id").agg(F.count(F.lit(1)).alias("n")).collect()}
+    rows = []
+    for k, c in enumerate(cells):
+        n = drawn.get(c["target_id"], 0)
+        rows.append((c["target_id"], int(have[k]), int(needed[k]), n, float(raked[k]), max(0, int(needed[k]) - n)))
     report = targets.join(
         F.broadcast(spark.createDataFrame(rows, "target_id bigint, available bigint, needed bigint, sampled bigint, raked double, gap bigint")),
         "target_id",

@@ -117,3 +117,14 @@ def test_raking_meets_margins():
 def test_rows_are_told_apart_by_all_columns(spark):
     df = spark.createDataFrame([("1", "x", {"a": True}), ("1", "x", {"a": False}), ("1", "x", {"a": True})], "id string, content string, m map<string,boolean>")
     assert distinct_records(df, "id").count() == 2 and distinct_records(df, "id", "content").count() == 2
+
+
+def test_a_hot_cell_is_divided_until_it_is_small(spark, monkeypatch):
+    rows = spark.range(20_000).select(F.col("id").cast("string").alias("id"), F.lit("sst").alias("tribunal"), F.lit("en").alias("language"), F.lit("2001").alias("publication_date"))
+    goals = spark.createDataFrame([(1, "sst", "en", 2000, 2019, 1.0, 2)], TARGETS)
+    want = sorted(r.id for r in S.target_sample(rows, goals, 7_001).sample.collect())
+    assert len(want) == 7_001
+    for most, parts in ((50, 1_024), (1, 3)):
+        monkeypatch.setattr(S, "MAX_SORTED", most)
+        monkeypatch.setattr(S, "PARTS", parts)
+        assert sorted(r.id for r in S.target_sample(rows, goals, 7_001).sample.collect()) == want
