@@ -1,11 +1,14 @@
 """Languages of records and of the stretches of mixed records.
 
 A small bidirectional gated recurrent network reads a line as bytes, STRIDE bytes a
-step, and gives every position a distribution over the languages.  It is trained with
-numpy, by backpropagation through time, on a bounded sample of labelled lines; labels
-that the half-trained network contradicts are left out of the second half.  The
-positions are pooled to lines; over the lines of a record a Viterbi path with a price
-for each change of language gives its stretches.
+step, and gives every position a distribution over the languages.  Which languages
+there are is read from the labels of a bounded sample; on its lines the network is
+trained with numpy, by backpropagation through time, and lines whose labels it
+contradicts after a third and after two thirds of the rounds are left out of the rest.
+The positions are pooled to lines; over the lines of a record a Viterbi path with a
+price for each change of language gives its stretches.  A network must choose among
+the languages it knows: how much of a stretch's runs of bytes the training lines of
+its language have, against lines held out, tells a language that it doesn't know.
 """
 
 from __future__ import annotations
@@ -19,8 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-LANGUAGES = ("en", "fr", "es", "de", "zh", "ar")
-#: Spellings of the languages in labels, before any region.
+#: Spellings of languages in labels, before any region. Other labels of two letters stand for themselves.
 SPELLINGS = {
     "en": "en", "eng": "en", "english": "en", "anglais": "en",
     "fr": "fr", "fra": "fr", "fre": "fr", "french": "fr", "français": "fr", "francais": "fr",
@@ -28,7 +30,20 @@ SPELLINGS = {
     "de": "de", "deu": "de", "ger": "de", "german": "de", "deutsch": "de", "allemand": "de",
     "zh": "zh", "zho": "zh", "chi": "zh", "chinese": "zh", "cn": "zh", "chinois": "zh",
     "ar": "ar", "ara": "ar", "arabic": "ar", "arabe": "ar",
+    "ja": "ja", "jpn": "ja", "jp": "ja", "japanese": "ja", "japonais": "ja",
+    "th": "th", "tha": "th", "thai": "th",
+    "hi": "hi", "hin": "hi", "hindi": "hi",
 }
+#: Labels that name no language: several, undetermined, none.
+NO_LANGUAGE = ("bi", "mu", "na", "no", "nn", "un", "xx", "zz")
+#: What the language of a stretch is called that none of the known ones fits.
+UNKNOWN = "und"
+#: A language is learnt from so many labelled texts on, as labels may be wrong.
+LEAST_TEXTS = 10
+#: Bits of the table of a language's runs of four bytes; a confidence below LEAST_SURE is no known language's.
+GRAM_BITS, LEAST_SURE = 20, 0.3
+#: A stretch with fewer such runs than this can't tell that its language isn't known.
+LEAST_RUNS = 400
 STRIDE, HIDDEN = 4, 16
 #: Bytes of a line that the network reads at once; longer lines are read in so many windows.
 WINDOW_BYTES = 512
@@ -41,9 +56,9 @@ _WORDS = re.compile(r"[^\W\d_]+")
 
 def label_language(label: Column) -> Column:
     """The language that a label names in any spelling; NULL where it names none."""
-    stem = F.regexp_extract(F.lower(F.regexp_replace(label, r"(?U)^\s+|\s+\z", "")), r"^(\p{L}+)", 1)
+    stem = F.coalesce(F.regexp_extract(F.lower(F.regexp_replace(label, r"(?U)^\s+|\s+\z", "")), r"^(\p{L}+)", 1), F.lit(""))
     table = F.create_map(*(F.lit(x) for pair in SPELLINGS.items() for x in pair))
-    return F.try_element_at(table, F.coalesce(stem, F.lit("")))
+    return F.coalesce(F.try_element_at(table, stem), F.when(stem.rlike("^[a-z]{2}$") & ~stem.isin(*NO_LANGUAGE), stem))
 
 
 class Network(NamedTuple):
@@ -56,9 +71,18 @@ class Network(NamedTuple):
     out_bias: np.ndarray  # languages
 
 
-def new_network(seed: int) -> Network:
+class Model(NamedTuple):
+    """A network with the languages of its output; for each the runs of bytes of its lines, and how many of them held-out texts have."""
+
+    net: Network
+    languages: tuple[str, ...]
+    familiar: np.ndarray  # languages, 2 ** GRAM_BITS / 8
+    least: np.ndarray  # languages
+
+
+def new_network(seed: int, n: int) -> Network:
     rng = np.random.default_rng(seed)
-    gates, n = 3 * HIDDEN, len(LANGUAGES)
+    gates = 3 * HIDDEN
     return Network(
         rng.normal(0, 0.3, (2, STRIDE, 256, gates)).astype(np.float32),
         np.zeros((2, gates), np.float32),
@@ -129,28 +153,37 @@ def _backward(net: Network, steps: np.ndarray, p: np.ndarray, labels: np.ndarray
     return g
 
 
-def train(lines: list[tuple[str, str]], seed: int = 5, rounds: int = 1_000, batch: int = 96, length: int = 96) -> Network:
+def train(lines: list[tuple[str, str]], seed: int = 5, rounds: int = 500, batch: int = 96, length: int = 96) -> Model:
     """Trains on (text, language) lines with Adam; the languages are drawn equally often.
 
-    After half of the rounds, lines that the network gives another language with
-    certainty are dropped: their labels are taken to be wrong.
+    After a third and after two thirds of the rounds, lines that the network gives
+    another language with certainty are dropped: their labels are taken to be wrong.
+    One line in ten is held out; training ends early where their loss falls no more.
     """
     rng = np.random.default_rng(seed)
-    pools = {k: [x for x, l in lines if l == lang] for k, lang in enumerate(LANGUAGES)}
-    net = new_network(seed)
-    if not any(pools.values()):
-        return net
+    languages = tuple(sorted({lang for _, lang in lines}))
+    net = new_network(seed, max(1, len(languages)))
+    if not languages:
+        return Model(net, (UNKNOWN,), np.zeros((1, (1 << GRAM_BITS) // 8), np.uint8), np.zeros(1))
+    own = [[x for x, l in lines if l == lang] for lang in languages]
+    held = [(x, k) for k, pool in enumerate(own) for x in pool[::10]]
+    pools = [[x for i, x in enumerate(pool) if i % 10] or pool for pool in own]
     m, v = Network(*(np.zeros_like(w) for w in net)), Network(*(np.zeros_like(w) for w in net))
+    losses: list[float] = []
     for step in range(1, rounds + 1):
         if step in (rounds // 3, 2 * rounds // 3):
-            for k, pool in pools.items():
-                if pool:
-                    p = line_probabilities(net, pool)
-                    right = p[:, k] > 0.2
-                    if right.sum() >= 5:
-                        pools[k] = [x for x, r in zip(pool, right, strict=True) if r]
-        known = [k for k, pool in pools.items() if pool]
-        labels = rng.choice(known, batch)
+            for k, pool in enumerate(pools):
+                right = line_probabilities(net, pool)[:, k] > 0.2
+                if right.sum() >= 5:
+                    pools[k] = [x for x, r in zip(pool, right, strict=True) if r]
+            p = line_probabilities(net, [x for x, _ in held])
+            held = [x for x, q in zip(held, p, strict=True) if q[x[1]] > 0.2] or held
+        if step > 2 * rounds // 3 and step % 50 == 0:
+            p = line_probabilities(net, [x for x, _ in held])
+            losses.append(float(-np.log(np.maximum(p[np.arange(len(held)), [k for _, k in held]], 1e-9)).mean()))
+            if len(losses) > 2 and losses[-1] > 0.99 * min(losses[:-2]):
+                break
+        labels = rng.integers(len(languages), size=batch)
         size = int(rng.choice([24, 48, length]))
         steps = np.zeros((size // STRIDE, batch, STRIDE), np.int64)
         for b, k in enumerate(labels):
@@ -168,7 +201,39 @@ def train(lines: list[tuple[str, str]], seed: int = 5, rounds: int = 1_000, batc
             mw += 0.1 * (gw - mw)
             vw += 0.01 * (gw * gw - vw)
             w -= rate * (mw / (1 - 0.9**step)) / (np.sqrt(vw / (1 - 0.99**step)) + 1e-7)
-    return net
+    familiar = np.zeros((len(languages), 1 << GRAM_BITS), bool)
+    for k, pool in enumerate(pools):
+        grams, _ = _grams(pool)
+        familiar[k, grams] = True
+    known, size = familiarity(familiar, [x for x, _ in held], np.array([k for _, k in held]))
+    least = np.ones(len(languages))
+    for k in range(len(languages)):
+        mine = np.array([j == k for _, j in held]) & (size > 0)
+        if mine.any():
+            least[k] = np.quantile(known[mine] / size[mine], 0.05)
+    return Model(net, languages, np.packbits(familiar, axis=1), least)
+
+
+def _grams(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of each four bytes in a row of the lines in lower case, and the lines that they stand in."""
+    raw = [x.lower().encode("utf-8", "replace") for x in lines]
+    joined = np.frombuffer(b"".join(raw), np.uint8).astype(np.uint32)
+    sizes = np.array([len(x) for x in raw], np.int64)
+    if len(joined) < 4:
+        return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+    code = joined[:-3] | joined[1:-2] << np.uint32(8) | joined[2:-1] << np.uint32(16) | joined[3:] << np.uint32(24)
+    owner = np.repeat(np.arange(len(lines)), sizes)
+    whole = owner[:-3] == owner[3:]
+    return (code[whole] * np.uint32(2_654_435_761)) >> np.uint32(32 - GRAM_BITS), owner[:-3][whole]
+
+
+def familiarity(familiar: np.ndarray, lines: list[str], lang: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each line, how many runs of four bytes the lines of its language have, and how many runs it has."""
+    grams, owner = _grams(lines)
+    if not len(lines):
+        return np.zeros(0), np.zeros(0)
+    hit = familiar[lang[owner], grams]
+    return np.bincount(owner, hit, len(lines)), np.bincount(owner, minlength=len(lines)).astype(float)
 
 
 def line_probabilities(net: Network, lines: list[str], pair: list[list[np.ndarray]] | None = None) -> np.ndarray:
@@ -177,7 +242,7 @@ def line_probabilities(net: Network, lines: list[str], pair: list[list[np.ndarra
     Lines go through the network sorted by length, so that a step works on those that
     still have bytes and nothing is padded.
     """
-    n = len(LANGUAGES)
+    n = len(net.out_bias)
     out = np.full((len(lines), n), 1 / n, np.float64)
     owner, pieces = [], []
     for k, line in enumerate(lines):
@@ -287,91 +352,125 @@ def stretches(p: np.ndarray, letters: np.ndarray, switch: float = SWITCH) -> np.
 
 
 def training_sample(labelled: DataFrame, texts_per_language: int = TEXTS_PER_LANGUAGE, seed: int = 3) -> list[tuple[str, str]]:
-    """At most TEXTS_PER_LANGUAGE * LINES_PER_TEXT lines (text, language) for each language.
+    """At most TEXTS_PER_LANGUAGE * LINES_PER_TEXT lines (text, language) for each language with LEAST_TEXTS texts.
 
-    ``labelled`` has text and label. The texts are drawn by hash, at the rate that each
-    language needs, so nothing is sorted or shuffled for it.
+    ``labelled`` has text and label. Distinct texts are drawn by hash, at the rate that
+    each language needs: a text that is there a million times counts once, and only
+    the texts drawn are shuffled.
     """
     rows = labelled.where("text IS NOT NULL").select("text", label_language(F.col("label")).alias("lang")).where("lang IS NOT NULL")
-    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
-    draw = F.pmod(F.xxhash64(F.lit(seed), "text"), F.lit(1_000_000))
-    rate = F.create_map(*(F.lit(x) for k, n in sizes.items() for x in (k, int(1_200_000 * texts_per_language / n)))) if sizes else None
-    if rate is None:
+    rows = rows.withColumn("h", F.xxhash64(F.lit(seed), "text"))
+    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.approx_count_distinct("h", 0.02).alias("n")).collect() if r["n"] >= LEAST_TEXTS}
+    if not sizes:
         return []
+    rate = F.create_map(*(F.lit(x) for k, n in sizes.items() for x in (k, int(1_200_000 * texts_per_language / n))))
+    drawn = rows.where(F.pmod("h", F.lit(1_000_000)) < F.try_element_at(rate, F.col("lang")))
     long_enough = F.shuffle(F.filter(F.split("text", "\n"), lambda x: F.length(x) >= 20), F.lit(seed))
     # the bound of what comes to the driver: so many lines of a text, and so much of a line
     lines = F.transform(F.slice(long_enough, 1, LINES_PER_TEXT), lambda x: F.substring(x, 1, 2_000))
-    sample = rows.where(draw < rate[F.col("lang")]).select("lang", lines.alias("lines")).limit(2 * texts_per_language * len(LANGUAGES))
+    sample = drawn.select("lang", "h", lines.alias("lines")).dropDuplicates(["lang", "h"]).limit(2 * texts_per_language * len(sizes))
     return sorted({(readable(line)[:600], r["lang"]) for r in sample.collect() for line in r["lines"]})
 
 
-def record_languages(records: DataFrame, net: Network, key: str = "id", text: str = "content") -> DataFrame:
-    """(key, line_from, line_to, lang, confidence, n_langs): the stretches of every record.
+def record_languages(records: DataFrame, model: Model, key: str = "id", text: str = "content", label: str | None = None) -> DataFrame:
+    """(key, line_from, line_to, lang, confidence, n_langs[, said]): the stretches of every record.
 
     Lines count from 1 over the text split at line feeds. A stretch goes from its first
     to its last non-blank line; confidence is the mean probability of its language over
-    its letters. NULL and blank texts give no rows; repeated rows each give theirs.
+    its letters, less where the stretch has fewer of the language's runs of bytes than
+    other texts of it have. A stretch that fits none of the known languages is "und".
+    NULL and blank texts give no rows; repeated rows each give theirs. With ``label``,
+    said is the language that the record's label names.
     """
-    shared = records.sparkSession.sparkContext.broadcast(net)
+    shared = records.sparkSession.sparkContext.broadcast(model)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        net = shared.value
-        pair = pair_tables(net)
+        model = shared.value
+        pair, familiar = pair_tables(model.net), np.unpackbits(model.familiar, axis=1).view(bool)
         for whole in batches:
             for start in range(0, whole.num_rows, 2_000):
-                yield _judge(whole.slice(start, 2_000), net, pair, key)
+                yield _judge(whole.slice(start, 2_000), model, pair, familiar, key)
+
+    said = [label_language(F.col(label)).alias("said")] if label else []
+    kinds = f"`{key}` {dict(records.dtypes)[key]}, line_from int, line_to int, lang string, confidence double, n_langs int"
+    return records.select(key, text, *said).mapInArrow(judge, kinds + (", said string" if label else ""))
 
-    return records.select(key, text).mapInArrow(
-        judge,
-        f"`{key}` {dict(records.dtypes)[key]}, line_from int, line_to int, lang string, confidence double, n_langs int",
-    )
 
+def _known_path(path, ids, p, top, letters, known, size, model):
+    """The path without short stretches that don't fit their language, and the confidence of a stretch.
 
-def _judge(batch: pa.RecordBatch, net: Network, pair: list[list[np.ndarray]], key: str) -> pa.RecordBatch:
+    What is too short to tell a language that isn't known goes with the longer of the
+    stretches around it.
+    """
+
+    def sure_of(a: int, b: int, lang: int) -> float:
+        part = ids[a:b]
+        weight = letters[part] + 1e-3
+        confidence = float((p[part, lang] * weight).sum() / weight.sum())
+        # lines that the path gave this language against their own word say nothing of its runs of bytes
+        part = part[top[part] == lang]
+        runs = size[part].sum()
+        return confidence * min(1.0, known[part].sum() / runs / model.least[lang]) ** 6 if runs else confidence
+
+    cuts = [0, *(np.flatnonzero(np.diff(path)) + 1).tolist(), len(ids)]
+    if len(cuts) > 2:
+        path = path.copy()
+        lengths = [int(size[ids[a:b]].sum()) for a, b in zip(cuts, cuts[1:], strict=False)]
+        old = path.copy()
+        for k, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
+            if lengths[k] < LEAST_RUNS and sure_of(a, b, int(old[a])) < LEAST_SURE:
+                around = [x for x in (k - 1, k + 1) if 0 <= x < len(lengths)]
+                path[a:b] = old[cuts[max(around, key=lambda x: (lengths[x], -x))]]
+    return path, sure_of
+
+
+def _judge(batch: pa.RecordBatch, model: Model, pair: list[list[np.ndarray]], familiar: np.ndarray, key: str) -> pa.RecordBatch:
     index: dict[str, int] = {}
     docs = []
     for content in batch.column(1).to_pylist():
         own = [(no, index.setdefault(readable(x), len(index))) for no, x in enumerate((content or "").split("\n"), 1) if x and not x.isspace()]
         docs.append(own)
     lines = list(index)
-    p = line_probabilities(net, lines, pair)
+    p = line_probabilities(model.net, lines, pair)
     letters = np.array([telling(x) for x in lines] or [0])
     top = p.argmax(axis=1) if len(lines) else np.zeros(0, int)
+    known, size = familiarity(familiar, lines, top)
     at, froms, tos, langs, sure, many = [], [], [], [], [], []
     for k, own in enumerate(docs):
         if not own:
             continue
         ids = np.array([i for _, i in own])
         path = np.full(len(ids), top[ids[0]]) if (top[ids] == top[ids[0]]).all() else stretches(p[ids], letters[ids])
+        path, sure_of = _known_path(path, ids, p, top, letters, known, size, model)
         cuts = [0, *(np.flatnonzero(np.diff(path)) + 1).tolist(), len(ids)]
         found = len(set(path.tolist()))
         for a, b in zip(cuts, cuts[1:], strict=False):
-            lang, weight = int(path[a]), letters[ids[a:b]] + 1e-3
+            confidence = sure_of(a, b, int(path[a]))
             at.append(k)
             froms.append(own[a][0])
             tos.append(own[b - 1][0])
-            langs.append(LANGUAGES[lang])
-            sure.append(float((p[ids[a:b], lang] * weight).sum() / weight.sum()))
+            langs.append(model.languages[int(path[a])] if confidence >= LEAST_SURE else UNKNOWN)
+            sure.append(confidence)
             many.append(found)
-    return pa.RecordBatch.from_arrays(
-        [
-            batch.column(0).take(pa.array(at, pa.int32())),
-            pa.array(froms, pa.int32()),
-            pa.array(tos, pa.int32()),
-            pa.array(langs, pa.string()),
-            pa.array(sure, pa.float64()),
-            pa.array(many, pa.int32()),
-        ],
-        names=[key, "line_from", "line_to", "lang", "confidence", "n_langs"],
+    places = pa.array(at, pa.int32())
+    said = {"said": batch.column(2).take(places)} if batch.num_columns > 2 else {}
+    return pa.RecordBatch.from_pydict(
+        {
+            key: batch.column(0).take(places),
+            "line_from": pa.array(froms, pa.int32()),
+            "line_to": pa.array(tos, pa.int32()),
+            "lang": pa.array(langs, pa.string()),
+            "confidence": pa.array(sure, pa.float64()),
+            "n_langs": pa.array(many, pa.int32()),
+            **said,
+        }
     )
 
 
-def mislabelled(found: DataFrame, records: DataFrame, key: str = "id", label: str = "language") -> DataFrame:
-    """(key, line_from, line_to, lang): stretches of mixed records, and records whose label is missing or wrong."""
-    labels = records.select(key, label_language(F.col(label)).alias("said")).distinct()
-    return (
-        found.join(labels, key)
-        .where((F.col("n_langs") > 1) | ~F.col("lang").eqNullSafe(F.col("said")))
-        .select(key, "line_from", "line_to", "lang")
-        .distinct()
-    )
+def mislabelled(found: DataFrame, key: str = "id") -> DataFrame:
+    """(key, line_from, line_to, lang): stretches of mixed records, and records whose label is missing or wrong.
+
+    ``found`` is what record_languages gives with a label; rows come out once.
+    """
+    wrong = found.where((F.col("n_langs") > 1) | ~F.col("lang").eqNullSafe(F.col("said")))
+    return wrong.select(key, "line_from", "line_to", "lang").distinct()

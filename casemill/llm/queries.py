@@ -118,26 +118,23 @@ def p6_text(spark: SparkSession, sf: str) -> DataFrame:
     return scans.repaired_text(scans.repair(distinct_records(table(spark, sf, "case_records"), "id", "content")))
 
 
-def _languages(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    records = distinct_records(table(spark, sf, "case_records"), "id", "language", "content")
-    labelled = (
-        table(spark, sf, "case_records")
-        .select(F.col("content").alias("text"), F.col("language").alias("label"))
-        .unionByName(table(spark, sf, "documents").select("text", F.col("lang").alias("label")))
+def _languages(spark: SparkSession, sf: str) -> DataFrame:
+    rows = spread(table(spark, sf, "case_records").select("id", "language", "content"))
+    labelled = rows.select(F.col("content").alias("text"), F.col("language").alias("label")).unionByName(
+        table(spark, sf, "documents").select("text", F.col("lang").alias("label"))
     )
-    net = language.train(language.training_sample(labelled))
-    return records, language.record_languages(records, net)
+    model = language.train(language.training_sample(labelled))
+    return language.record_languages(rows, model, label="language")
 
 
 def p7_found(spark: SparkSession, sf: str) -> DataFrame:
     """Records whose label is missing or wrong, and the stretches of mixed records."""
-    records, found = _languages(spark, sf)
-    return language.mislabelled(found, records)
+    return language.mislabelled(_languages(spark, sf))
 
 
 def p7_languages(spark: SparkSession, sf: str) -> DataFrame:
     """Every record's language, or stretches, with a confidence."""
-    return _languages(spark, sf)[1]
+    return _languages(spark, sf).drop("said").distinct()
 
 
 def p8_ids(spark: SparkSession, sf: str) -> DataFrame:
