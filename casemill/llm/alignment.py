@@ -4,9 +4,11 @@ Versions are joined by court, year and number.  A first pass pairs lines that sh
 figures and names with each other more than with any other line, and counts which
 words stand in paired lines together: by log-likelihood these counts give a lexicon.
 A second pass scores every two lines of a pair of versions by how much of either the
-other covers, and solves the assignment of greatest weight, in which a line may stay
-alone at no cost; then lines left alone are offered what a partner's line has beyond
-its translation, which finds lines that cover two.
+other covers, and spans of two neighbouring lines against one by what the second adds
+to the first.  The assignment of greatest weight is solved over lines and spans at
+once, in which a line may stay alone at no cost: every line can take one partner and,
+as a span, that partner's neighbour.  Lines still alone are then offered what a line
+elsewhere has beyond its translation, for spans whose lines don't stand together.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ from casemill.session import materialise
 MAX_LEXICON = 2_000_000
 #: Least score of two lines, and least part of a lone line that another's surplus covers.
 LEAST_SCORE, LEAST_SURPLUS = 0.5, 0.55
-#: Lines that are scored against as many at once, and lines of a group that is solved exactly.
+#: Lines that are scored against as many at once, and lines of a group that is solved with a matrix.
 BLOCK, MAX_GROUP = 128, 400
 #: Pairs of words up to which two texts' links are held as a matrix.
 DENSE_LINKS = 1_000_000
@@ -92,30 +94,36 @@ def version_pairs(records: DataFrame, first: str = "en", second: str = "fr") ->
     return a.join(b, key).select("id_1", "content_1", "id_2", "content_2")
 
 
-def anchored(one: list[list[str]], two: list[list[str]]) -> list[tuple[int, int]]:
+def anchored(one: list[list[str]], two: list[list[str]]) -> tuple[list[tuple[int, int]], list[int], list[int]]:
     """Lines that share more figures and names with each other than with any other line,
-    then all pairs of lines that have none at all."""
+    and the lines of either side that have none at all."""
 
     def marks(lines: list[list[str]]) -> list[set[str]]:
         return [{x.lstrip("^") for x in words if x[0] in "#^"} for words in lines]
 
     a, b = marks(one), marks(two)
     df = Counter(x for own in (a, b) for s in own for x in s)
-    score = np.zeros((len(a), len(b)))
     at: dict[str, list[int]] = {}
     for j, s in enumerate(b):
         for x in s:
             at.setdefault(x, []).append(j)
-    for i, s in enumerate(a):
-        for x in s:
-            for j in at.get(x, ()):
-                score[i, j] += 1 / df[x]
-    out = []
-    if score.size:
-        right, down = score.argmax(axis=1), score.argmax(axis=0)
-        out = [(i, int(j)) for i, j in enumerate(right) if score[i, j] > 0 and down[j] == i]
-    plain_a, plain_b = [i for i, s in enumerate(a) if not s], [j for j, s in enumerate(b) if not s]
-    return out + [(i, j) for i in plain_a for j in plain_b]
+    # the best of each line of either side, by blocks of lines: (score, line of the other side)
+    right: list[tuple[float, int]] = []
+    best, down = np.zeros(len(b)), np.full(len(b), -1)
+    for start in range(0, len(a), BLOCK):
+        own = a[start : start + BLOCK]
+        score = np.zeros((len(own), len(b)))
+        for i, s in enumerate(own):
+            for x in s:
+                if x in at:
+                    score[i, at[x]] += 1 / df[x]
+        if score.size:
+            right += zip(score.max(axis=1).tolist(), score.argmax(axis=1).tolist(), strict=True)
+            top = score.max(axis=0)
+            better = top > best
+            best[better], down[better] = top[better], score.argmax(axis=0)[better] + start
+    out = [(i, j) for i, (top, j) in enumerate(right) if top > 0 and down[j] == i]
+    return out, [i for i, s in enumerate(a) if not s], [j for j, s in enumerate(b) if not s]
 
 
 class Lexicon(NamedTuple):
@@ -134,14 +142,24 @@ def cooccurrences(pairs: DataFrame) -> DataFrame:
         for batch in batches:
             left: dict[str, int] = {}
             right: dict[str, int] = {}
-            codes = []
+            codes, times = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
             for one, two in zip(batch.column(1).to_pylist(), batch.column(3).to_pylist(), strict=True):
                 a = [w for _, w in units_of(one)]
                 b = [w for _, w in units_of(two)]
                 ia = [np.array(sorted({left.setdefault(x, len(left) + 1) for x in w if x[0] not in "#^"} | {0})) for w in a]
                 ib = [np.array(sorted({right.setdefault(x, len(right) + 1) for x in w if x[0] not in "#^"} | {0})) for w in b]
-                codes += [(ia[i][:, None] * 4_294_967_296 + ib[j][None, :]).ravel() for i, j in anchored(a, b)]
-            values, n = np.unique(np.concatenate([*codes, np.zeros(0, np.int64)]), return_counts=True)
+                pairs, plain_a, plain_b = anchored(a, b)
+                found = [(ia[i][:, None] * 4_294_967_296 + ib[j][None, :]).ravel() for i, j in pairs]
+                codes += found
+                times += [np.ones(len(x), np.int64) for x in found]
+                if plain_a and plain_b:
+                    # every line with every line: two words meet as often as the product of their lines
+                    wa, na = np.unique(np.concatenate([ia[i] for i in plain_a]), return_counts=True)
+                    wb, nb = np.unique(np.concatenate([ib[j] for j in plain_b]), return_counts=True)
+                    codes.append((wa[:, None] * 4_294_967_296 + wb[None, :]).ravel())
+                    times.append((na[:, None] * nb[None, :]).ravel())
+            values, of = np.unique(np.concatenate(codes), return_inverse=True)
+            n = np.bincount(of, np.concatenate(times), len(values)).astype(np.int64)
             names_a, names_b = pa.array(["", *left]), pa.array(["", *right])
             yield pa.RecordBatch.from_arrays(
                 [names_a.take(pa.array(values >> 32)), names_b.take(pa.array(values & 4_294_967_295)), pa.array(n, pa.int64())],
@@ -394,17 +412,55 @@ def align(one: str, two: str, lex: Lexicon) -> list[tuple[int, int]]:
         return []
     a, b = _sides([w for _, w in ua], [w for _, w in ub], lex)
     rows, columns, score, part_a, part_b = _scores(a, b)
-    pairs = assign(rows, columns, score - LEAST_SCORE)
+    # lines and second places of spans: a line's second place has its number plus the number of lines
+    n, m = len(ua), len(ub)
+    over_b, over_a = _spans(a, b, rows, columns, score, part_b), _spans(b, a, columns, rows, score, part_a)
+    second = [(x, m + j, g) for x, j, _, g in over_b] + [(n + i, y, g) for y, i, _, g in over_a]
+    more = tuple(np.array(c) for c in zip(*second, strict=True)) if second else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+    solved = assign(*(np.concatenate(c) for c in zip((rows, columns, score - LEAST_SCORE), more, strict=True)))
+    pairs = [(i, j) for i, j in solved if i < n and j < m]
     parts = {(i, j): (x, y) for i, j, x, y in zip(rows.tolist(), columns.tolist(), part_a.tolist(), part_b.tolist(), strict=True)}
-    out = set(pairs)
-    out |= set(_surplus(a, b, pairs, {(i, j): parts[i, j][1] for i, j in pairs}))
-    out |= {(i, j) for j, i in _surplus(b, a, [(j, i) for i, j in pairs], {(j, i): parts[i, j][0] for i, j in pairs})}
+    # a second place counts only where the first is its neighbour's
+    first_b, first_a = {j: i for i, j in pairs}, dict(pairs)
+    with_b, with_a = {(x, j): i for x, j, i, _ in over_b}, {(y, i): j for y, i, j, _ in over_a}
+    spans = [(i, j - m) for i, j in solved if i < n and j >= m and first_b.get(j - m) == with_b[i, j - m]]
+    spans += [(i - n, j) for i, j in solved if i >= n and first_a.get(i - n) == with_a[j, i - n]]
+    out = set(pairs) | set(spans)
+    left, right = {i for i, _ in out}, {j for _, j in out}
+    out |= set(_surplus(a, b, pairs, {(i, j): parts[i, j][1] for i, j in pairs}, left))
+    out |= {(i, j) for j, i in _surplus(b, a, [(j, i) for i, j in pairs], {(j, i): parts[i, j][0] for i, j in pairs}, right)}
     return [(ua[i][0], ub[j][0]) for i, j in sorted(out)]
 
 
-def _surplus(one: _Side, two: _Side, pairs: list[tuple[int, int]], part: dict[tuple[int, int], float]) -> list[tuple[int, int]]:
+def _spans(one: _Side, two: _Side, rows: np.ndarray, columns: np.ndarray, score: np.ndarray, part: np.ndarray) -> list[tuple[int, int, int, float]]:
+    """(line, line of two, its neighbour, gain): what a line adds to its neighbour in a span against one line of ``two``.
+
+    ``part`` is how much of the second side's line the first's covers; the neighbour is
+    the best line for it. A span gains what its second line has in the words that the
+    first leaves uncovered, above LEAST_SURPLUS.
+    """
+    order = np.lexsort((rows, -score, columns))
+    best = order[np.flatnonzero(np.diff(columns[order], prepend=-1))]
+    out = []
+    for k in best[part[best] < 0.85].tolist():
+        i, j = int(rows[k]), int(columns[k])
+        rest = np.setdiff1d(two.lines[j], _linked(one.lines[i], one.links))
+        reach = np.zeros(len(one.weight), bool)
+        reach[_linked(rest, two.links)] = True
+        for x in (i - 1, i + 1):
+            if 0 <= x < len(one.lines):
+                own = one.lines[x]
+                cover = float((one.weight[own] * reach[own]).sum() / one.full[x]) + 0.05
+                if cover > LEAST_SURPLUS:
+                    out.append((x, j, i, cover - LEAST_SURPLUS))
+    return out
+
+
+def _surplus(
+    one: _Side, two: _Side, pairs: list[tuple[int, int]], part: dict[tuple[int, int], float], taken: set[int]
+) -> list[tuple[int, int]]:
     """Lone lines of the first side that belong to a line of the second which has more than its partner says."""
-    alone = sorted(set(range(len(one.lines))) - {i for i, _ in pairs})
+    alone = sorted(set(range(len(one.lines))) - taken)
     spare = [(i, j) for i, j in pairs if part[i, j] < 0.85]
     found = []
     for s in range(0, len(spare), BLOCK):

@@ -91,3 +91,29 @@ def test_large_groups_keep_the_optimum():
             found = A.sparse_hungarian([(int(i), int(j), float(part[i, j])) for i, j in zip(r, c)])
             assert len({i for i, _ in found}) == len({j for _, j in found}) == len(found)
             assert abs(sum(part[i, j] for i, j in found) - best) < 1e-9
+
+
+def all_pairs():
+    one, two = [["a", "b"], ["a"], ["#3", "c"]], [["x"], ["x", "y"], ["#3", "z"]]
+    pairs, plain_a, plain_b = A.anchored(one, two)
+    assert pairs == [(2, 2)] and plain_a == [0, 1] and plain_b == [0, 1]
+    text_1, text_2 = "a b\na\n3 c", "x\nx y\n3 z"
+    want = {}
+    for i, j in [*pairs, *((i, j) for i in plain_a for j in plain_b)]:
+        for x in {"", *(w for w in one[i] if w[0] != "#")}:
+            for y in {"", *(w for w in two[j] if w[0] != "#")}:
+                want[x, y] = want.get((x, y), 0) + 1
+    return text_1, text_2, want
+
+
+def test_lines_without_marks_meet_as_all_pairs_would(spark):
+    text_1, text_2, want = all_pairs()
+    df = spark.createDataFrame([("1", text_1, "2", text_2)], "id_1 string, content_1 string, id_2 string, content_2 string")
+    assert {(r.a, r.b): r.n for r in A.cooccurrences(df).collect()} == want
+
+
+def test_anchors_by_blocks(monkeypatch):
+    lines = [[f"#{k}", f"#{k // 3}x"] for k in range(50)]
+    whole = A.anchored(lines, lines[::-1])
+    monkeypatch.setattr(A, "BLOCK", 7)
+    assert A.anchored(lines, lines[::-1]) == whole and len(whole[0]) == 50
