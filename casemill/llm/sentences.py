@@ -15,6 +15,7 @@ import re
 from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from hashlib import blake2b
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -35,6 +36,8 @@ _LANGUAGE_OF = {w: l for l, ws in FUNCTION_WORDS.items() for w in ws if sum(w in
 _KNOWN = frozenset(_LANGUAGE_OF)
 #: The most rows of learnt tables that are sent to the workers; a corpus with more is refused.
 MAX_LEARNT = 3_000_000
+#: Words with more characters are counted by a digest.
+LONG_WORD = 40
 
 BREAK = re.compile(r"\n\s*\n")
 _WORD = re.compile(r"[^\W\d_]+")
@@ -48,7 +51,9 @@ _SCRIPTS = [
 #: Places to decide: a run of final marks with the closing marks after it.
 _MARK = re.compile(r"([.!?…。！？｡।॥؟۔]+)([\"'”’“»)\]」』）】]*)")
 _OTHER_SCRIPT = re.compile("[\u0600-\u06ff\u0900-\u097f\u0e00-\u0e7f\u3040-\u30ff\u3400-\u9fff]")
-_NEXT = re.compile(r"\s*(\S{1,60})")
+_NEXT = re.compile(r"\s*(\S+)")
+#: What may stand between a sentence's end and the first letter or figure of the next.
+_FIRST = re.compile("[\"'“”„«»‘’([{¿¡*_\\-–— \xa0\u202f\n\r\t]*(.?)", re.S)
 _OPENING = re.compile("[\"«“„「『(\\[（]")
 _CLOSERS = {'"': '"', "«": "»", "“": "”", "„": "“”", "「": "」", "『": "』", "(": ")", "[": "]", "（": "）"}
 _LABEL = re.compile(r"\s*(?:\[\w{1,5}\]|\(\w{1,5}\)|[¶§№]\s*\d+[.)]?|(?:\d{1,4}|[ivxlcIVXLC]{1,6}|[A-Za-z])[.)](?:\d+[.)]?)*)(?=\s)")
@@ -80,16 +85,21 @@ def paragraphs(text: str) -> Iterator[tuple[int, int]]:
     yield start, len(text)
 
 
+def _short(word: str) -> str:
+    """A word as it is, or the digest of one that is longer: every word counts, and no key is long."""
+    return word if len(word) <= LONG_WORD else "\1" + blake2b(word.encode("utf-8", "replace"), digest_size=16).hexdigest()
+
+
 @functools.lru_cache(maxsize=200_000)
 def word_type(token: str) -> str:
     """A token in lower case without what encloses it and without its last period; figures as 0."""
     t = token.strip(_EDGE).lower()
     t = t[:-1] if t.endswith(".") else t
-    return re.sub(r"\d+", "0", t.strip(_EDGE))
+    return _short(re.sub(r"\d+", "0", t.strip(_EDGE)))
 
 
 def phrase_type(phrase: str) -> str:
-    return re.sub(r"\d+", "0", re.sub(r"[A-Za-z]+", "a", phrase))
+    return _short(re.sub(r"\d+", "0", re.sub(r"[A-Za-z]+", "a", phrase)))
 
 
 def count_batch(texts: list[str | None]) -> Counter:
@@ -126,18 +136,17 @@ def count_batch(texts: list[str | None]) -> Counter:
             mark = _MARK.search(tokens[-1][-6:])
             if mark:
                 out[lang, "m", mark.group(1)[-1], ""] += 1
-            out[lang, "e", tokens[-1].strip(_EDGE).lower() if len(tokens[-1]) < 40 else "", ""] += 1
+            last = tokens[-1].strip(_EDGE).lower()
+            out[lang, "e", last if len(last) <= LONG_WORD else word_type(last) + "." * last.endswith("."), ""] += 1
     for lang, found in words.items():
         for token, n in found.items():
             bare = token.strip(_EDGE)
-            if not bare or len(token) > 40:
+            if not bare:
                 continue
             case = "u" if bare[0].isupper() else "l" if bare[0].islower() else "o"
             out[lang, "w", word_type(token), case + ("." if bare.endswith(".") else "")] += n
     for lang, found in pairs.items():
         for (a, b), n in found.items():
-            if len(a) > 40 or len(b) > 40:
-                continue
             bare = b.lstrip(_EDGE)
             case = "l" if bare[:1].islower() else "d" if bare[:1].isdigit() else "u" if bare[:1].isupper() else "o"
             out[lang, "p", word_type(a), case + word_type(b)] += n
@@ -310,31 +319,49 @@ def learn(counts: DataFrame, significance: float = 7.88) -> Statistics:
 
 
 _LETTER_PERIOD = re.compile(r"(?:^|[^\w])([^\W\d_])$")
-_LAST_TOKEN = re.compile(r"\S+$")
 _BRACKET_OF = {"(": re.compile(r"[()]"), "[": re.compile(r"[\[\]]"), "（": re.compile("[（）]")}
 _CASELESS = {"zh", "ja", "th", "hi", "ar"}
 
 
+def _brackets(part: str, opener: str) -> dict[int, int]:
+    """Where each bracket of a kind that is closed ends, by its place."""
+    out: dict[int, int] = {}
+    open_: list[int] = []
+    for m in _BRACKET_OF[opener].finditer(part):
+        if m.group() == opener:
+            open_.append(m.start())
+        elif open_:
+            out[open_.pop()] = m.end()
+    return out
+
+
 def enclosed(part: str) -> tuple[list[int], list[int]]:
-    """Starts and ends of the quotations and brackets that aren't inside another; one that isn't closed is none."""
+    """Starts and ends of the quotations and brackets that aren't inside another; one that isn't closed is none.
+
+    The text is read once for each kind of mark, however many are never closed.
+    """
     starts: list[int] = []
     ends: list[int] = []
+    brackets: dict[str, dict[int, int]] = {}
+    closers: dict[str, int] = {}  # the next place of each closing mark; the end of the text where there is none
     until = 0
     for m in _OPENING.finditer(part):
         at = m.start()
         if at < until:
             continue
-        opener, closers = m.group(), _CLOSERS[m.group()]
+        opener = m.group()
         if opener in "([（":
-            depth, end = 0, -1
-            for x in _BRACKET_OF[opener].finditer(part, at):
-                depth += 1 if x.group() == opener else -1
-                if not depth:
-                    end = x.end()
-                    break
+            if opener not in brackets:
+                brackets[opener] = _brackets(part, opener)
+            end = brackets[opener].get(at, -1)
         else:
-            found = [k for k in (part.find(c, at + 1) for c in closers) if k >= 0]
-            end = min(found) + 1 if found else -1
+            end = len(part)
+            for c in _CLOSERS[opener]:
+                if closers.get(c, -1) <= at:
+                    found = part.find(c, at + 1)
+                    closers[c] = found if found >= 0 else len(part)
+                end = min(end, closers[c])
+            end = end + 1 if end < len(part) else -1
         if end > 0:
             starts.append(at)
             ends.append(end)
@@ -366,15 +393,17 @@ def _ends_at(part: str, mark: re.Match, lang: str, st: Statistics, inside: tuple
     following = _NEXT.match(part, end).group(1)
     first = following.lstrip("\"'“”„«»‘’([{¿¡*_-–—")[:1]
     if not first and following[0] in "«„“\"¿¡([":
-        first = (part[end + 1 :  end + 60].lstrip("\"'“”„«»‘’([{¿¡*_-–— \xa0\u202f\n\r\t"))[:1]
+        first = _FIRST.match(part, end + 1).group(1)
     if first.islower() or following[0] in ",;:)]»”":
         return None
     if dots[-1] in "!?…؟।॥۔" or dots.endswith(".."):
         return end
-    token = _LAST_TOKEN.search(part, max(0, at - 40), at)
-    if not token:
+    begin = at
+    while begin and not part[begin - 1].isspace():
+        begin -= 1
+    if begin == at:
         return end
-    raw = token.group()
+    raw = part[begin:at]
     word = word_type(raw + ".")
     after = word_type(following)
     if lang in _CASELESS and dots == "." and (lang, ".") not in st.periods:

@@ -64,3 +64,21 @@ def test_learning_and_empty_texts(spark):
 
 def test_nothing_to_split(spark):
     assert S.split_corpus(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
+
+
+def test_unclosed_marks_take_one_pass():
+    import time
+
+    for text in ("(" * 100_000, "“" * 100_000, "«(" * 50_000 + ")", "„“" * 50_000, "[" * 50_000 + "]" * 50_000):
+        began = time.time()
+        S.enclosed(text)
+        assert time.time() - began < 1
+    assert S.enclosed("a (b [c) d] (e") == ([2], [8])
+    assert S.enclosed("“a «b” c» (d (e)) (f") == ([0, 10], [6, 17])
+
+
+def test_long_words_count():
+    word = "x" * 50
+    counts = S.count_batch([f"It was {word}. no more of {word} here."])
+    assert S.word_type(word) == S.word_type(word + ".") != S.word_type(word + "y") and len(S.word_type(word)) == 33
+    assert counts["en", "p", S.word_type(word), "lno"] == 1 and counts["en", "w", S.word_type(word), "l"] == 1
