@@ -29,13 +29,18 @@ def gates(text: Column, pages: Column) -> dict[str, Column]:
     return flags | {"score": reduce(add, (f.cast("int") for f in flags.values())) / 4.0}
 
 
-def two_languages(lower: Column) -> Column:
+def two_languages(lower: Column, french_signs: tuple[str, ...] = FRENCH_SIGNS, english_signs: tuple[str, ...] = ENGLISH_SIGNS) -> Column:
     """en, fr or bi by counts of small words of a text in lower case; en for an empty text."""
     t = F.coalesce(lower, F.lit(""))
-    french, english = (reduce(add, (count_of(t, s) for s in signs)) for signs in (FRENCH_SIGNS, ENGLISH_SIGNS))
+    french, english = (reduce(add, (count_of(t, s) for s in signs)) for signs in (french_signs, english_signs))
     return F.when(t == "", "en").when(french > 2 * english, "fr").when(english > 2 * french, "en").otherwise("bi")
 
 
+def language_consistent(found: Column, label: Column) -> Column:
+    """Whether a detected language fits a label: two languages fit any, else the label must name the detected one."""
+    return (found == "bi") | F.coalesce(F.lower(F.substring(F.trim(label), 1, 2)) == found, F.lit(False))
+
+
 def record_failures(min_content: int = 1000) -> Column:
     """Names of the checks that a record fails, in a fixed order."""
     c = F.col

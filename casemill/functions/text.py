@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from casemill.functions.wordlists import TRIBUNAL_RANKS
+from casemill.functions.wordlists import COVER_ENDS, EXPORT_FOLDERS, FRONT_MATTER, HEADINGS, START_PATTERNS, TRIBUNAL_RANKS
 
 #: White space as a character class that Java and RE2 both read.
 SPACE = r"[\s\x1c-\x1f\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
@@ -82,6 +82,23 @@ def compact_date(date: Column, missing: str = "99999999") -> Column:
     return F.when(digits.rlike(r"\A[0-9]{8}\z"), digits).otherwise(missing)
 
 
+def link_id(link: Column, path: Column) -> Column:
+    """The number of a case in its link (/decisions/xx/NUMBER/), else in its file's name (_NUMBER_xx.pdf or _NUMBER.pdf), else NULL."""
+    in_link = F.nullif(F.regexp_extract(link, r"/decisions/[a-z]{2}/([0-9]+)/", 1), F.lit(""))
+    return F.coalesce(in_link, F.nullif(F.regexp_extract(path, r"_([0-9]+)(?:_[a-z]{2})?\.pdf\z", 1), F.lit("")))
+
+
+def export_name(language: Column, tribunal: Column, rank: Column, date: Column, citation: Column, stem: Column, row_id: Column) -> Column:
+    """LANG_rank-folder_YYYYMMDD_CASE_DOC without a suffix: the parts of an export's name, whatever is missing told as unknown."""
+    folder = F.when(F.lower(tribunal).isin(*EXPORT_FOLDERS), F.lower(tribunal)).otherwise("unknown")
+    number = F.nullif(F.regexp_extract(stem, r"_([0-9]+)_[a-z]{2}\z", 1), F.lit(""))
+    case = slug(case_key(citation, stem, row_id), 30)
+    return F.concat_ws(
+        "_", F.upper(F.coalesce(language, F.lit("unknown"))), F.concat_ws("-", rank, folder), compact_date(date), case,
+        F.coalesce(number, slug(F.right(row_id, F.lit(12)), 12)),
+    )
+
+
 def slug(name: Column, most: int = 50) -> Column:
     """Lower case, dashes for blanks, nothing but [a-z0-9._-]; "unknown" where nothing is left."""
     kept = F.regexp_replace(F.replace(F.lower(name), F.lit(" "), F.lit("-")), "[^a-z0-9._-]", "")
@@ -153,31 +170,26 @@ def marker(tag: str, counter: Column, language: Column, tribunal: Column, rank:
 
 # discovery anchor
 
-_START_PATTERNS = (r"\n\s*\[1\]", r"\n\s*¶\s*1\b", r"(?i)\n\s*para\.\s*1\b", r"\n\s*\d+\.\s+[A-Z]")
-_HEADING = r"(?i)\n\s*(?:Issues?|Questions?|Facts?|Background|Reasons?|Analysis|Motifs?|Analyse)\s*\n"
-_FRONT_END = r"(?i)(?:REASONS FOR JUDGMENT|MOTIFS DU JUGEMENT|JUDGMENT DELIVERED|JUGEMENT RENDU|Heard at [^\n]+?, on \w+ \d+, \d{4})"
-_FRONT_PARAGRAPH = (
-    r"(?iU)\A(?:Dockets?:\s*[A-Z0-9\-\s]+|CORAM:\s*[A-Z.\s]+|Heard at\s+[^\n]+?,\s+on\s+\w+\s+\d+,\s+\d{4}\.?\s*"
-    r"|Judgment delivered at\s+[^\n]+?,\s+on\s+\w+\s+\d+,\s+\d{4}\.?\s*|CITATION:\s*\d+\s+\w+\s+\d+\s*|BETWEEN:\s*"
-    r"|Federal Court of Appeal\s+Cour d'appel fédérale\s*|Date:\s+\d{8}\s*)\z"
-)
+_HEADING = rf"(?i)\n\s*(?:{'|'.join(HEADINGS)})\s*\n"
+_COVER_END = rf"(?i)(?:{'|'.join(COVER_ENDS)})"
+_FRONT_PARAGRAPH = rf"(?iU)\A(?:{'|'.join(FRONT_MATTER)})\z"
+_PARAGRAPH_START = r"(?U)\n\s*\n\s*[A-Z\[]"
 
 
-def _length_to(text: Column, pattern: str, end: bool) -> Column:
-    """Characters up to the first match's start (or end); NULL without a match."""
-    around = rf"(?s)\A(.*?)(?-s:(?U){pattern})" if not end else rf"(?s)\A(.*?(?-s:(?U){pattern}))"
-    return F.when(text.rlike("(?U)" + pattern), F.length(F.regexp_extract(text, around, 1)))
+def _around(text: Column, pattern: str) -> tuple[Column, Column]:
+    """Characters before the first match of a pattern that is never empty, and from the start to its end; NULL without a match."""
+    parts = F.split(text, "(?U)" + pattern, 2)
+    return F.nullif(F.length(F.get(parts, F.lit(0))), F.length(text)), F.length(text) - F.length(F.get(parts, F.lit(1)))
 
 
 def substantive_start(text: Column) -> Column:
     """Where the reasons begin: a first numbered paragraph, else after a heading, else after the cover's last mark, else 0."""
-    cover = _length_to(text, _FRONT_END, end=True)
-    rest = F.substring(text, cover + 1, F.length(text))
-    after = F.length(F.regexp_extract(rest, r"(?sU)\A(.*?)\n\s*\n\s*[A-Z\[]", 1)) + 2
+    rest = F.get(F.split(text, "(?U)" + _COVER_END, 2), F.lit(1))
+    before = F.nullif(F.length(F.get(F.split(rest, _PARAGRAPH_START, 2), F.lit(0))), F.length(rest))
     return F.coalesce(
-        *(_length_to(text, p, end=False) + 1 for p in _START_PATTERNS),
-        _length_to(text, _HEADING, end=True),
-        F.when(rest.rlike(r"(?U)\n\s*\n\s*[A-Z\[]"), cover + after),
+        *(_around(text, p)[0] + 1 for p in START_PATTERNS),
+        _around(text, _HEADING)[1],
+        F.length(text) - F.length(rest) + before + 2,
         F.lit(0),
     )
 

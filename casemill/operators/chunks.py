@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from casemill.functions.text import chunk_cuts, marker
@@ -24,14 +24,25 @@ def chunk_table(documents: DataFrame, key: str, text: str, every: int = 1500, ba
     )
 
 
-def marked_documents(cases: DataFrame, tag: str = "DOC", every: int = 1500, back: int = 100) -> DataFrame:
-    """(id, document): the content of case records with a marker before each chunk and one at the end."""
+def marked_text(tag: str = "DOC", every: int = 1500, back: int = 100) -> Column:
+    """The content of a case record with a marker before each chunk and one at the end; NULL for a text without chunks."""
     fields = ["language", "tribunal", "tribunal_rank", "publication_date", "citation", "file_stem"]
-    rows = cases.where(F.length("content") > 0).withColumn("_cuts", chunk_cuts(F.col("content"), every, back))
-    bounds = F.arrays_zip(F.concat(F.array(F.lit(0)), "_cuts").alias("a"), F.concat("_cuts", F.array(F.length("content"))).alias("b"))
+    content = F.col("content")
+    cuts = chunk_cuts(content, every, back)
+    # one array of bounds, so that the cuts are computed once
+    ends = F.concat(F.array(F.lit(0)), cuts, F.array(F.length(content)))
 
-    def head(i):
+    def head(i: Column) -> Column:
         return marker(tag, i, *(F.col(f) for f in fields))
 
-    parts = F.transform(bounds, lambda c, i: F.concat(head(i), F.lit("\n\n"), F.substring(F.col("content"), c["a"] + 1, c["b"] - c["a"])))
-    return rows.select("id", F.concat(F.array_join(parts, "\n\n"), F.lit("\n"), head(F.size(bounds))).alias("document"))
+    def assemble(bounds: Column) -> Column:
+        starts = F.slice(bounds, 1, F.size(bounds) - 1)
+        parts = F.transform(starts, lambda a, i: F.concat(head(i), F.lit("\n\n"), F.substring(content, a + 1, F.element_at(bounds, i + 2) - a)))
+        return F.concat(F.array_join(parts, "\n\n"), F.lit("\n"), head(F.size(starts)))
+
+    return F.element_at(F.transform(F.array(ends), assemble), 1)
+
+
+def marked_documents(cases: DataFrame, tag: str = "DOC", every: int = 1500, back: int = 100) -> DataFrame:
+    """(id, document): the content of case records with a marker before each chunk and one at the end."""
+    return cases.where(F.length("content") > 0).select("id", marked_text(tag, every, back).alias("document"))

@@ -11,23 +11,27 @@ from pyspark.sql import functions as F
 from casemill.functions import quality
 from casemill.functions import text as T
 from casemill.functions.wordlists import DEFAULT_TOPIC, TOPIC_PATTERNS
-from casemill.operators.chunks import marked_documents
-from casemill.operators.keywords import keywords
+from casemill.operators.chunks import marked_text
+from casemill.operators.keywords import keywords_of
 
 REQUIRED = ("DOC_CLASS:", "FORMAT_VERSION:", "CONTENT_HASH:", "KEYWORDS:", "FILE_STEM:", "LANG:", "TRIBUNAL:", "TRIBUNAL_RANK:", "CONTENT_LENGTH:")
 
 
-def header(generated: str, version: str, doc_class: str = "DOC", with_anchor: bool = True) -> Column:
+def header(
+    generated: str, version: str, doc_class: str = "DOC", with_anchor: bool = True, keywords: Column | None = None, anchor: Column | None = None
+) -> Column:
     """Header lines "KEY: value" of a record with its keywords and anchor; what is missing is empty.
 
     The anchor's line feeds become blanks, so that the header has one line for each key.
+    Keywords and anchor are those of the content where they aren't given.
     """
     c = F.col
-    flat = T.strip(F.regexp_replace(c("anchor"), r"\s+", " "))
+    keywords = keywords_of(c("content")) if keywords is None else keywords
+    flat = T.strip(F.regexp_replace(T.anchor(c("content")) if anchor is None else anchor, r"\s+", " "))
     lines = {
         "DOC_CLASS": F.lit(doc_class), "FORMAT_VERSION": F.lit(version), "GENERATED": F.lit(generated), "CONTENT_HASH": T.content_hash(c("content")),
         "FILE_STEM": c("file_stem"), "LANG": F.upper("language"), "TRIBUNAL": F.upper("tribunal"), "TRIBUNAL_RANK": c("tribunal_rank"),
-        "DECISION_DATE": c("publication_date"), "CITATION": c("citation"), "KEYWORDS": c("keywords"),
+        "DECISION_DATE": c("publication_date"), "CITATION": c("citation"), "KEYWORDS": keywords,
     }
     lines |= {"RETRIEVAL_ANCHOR": flat} if with_anchor else {}
     lines |= {
@@ -37,16 +41,38 @@ def header(generated: str, version: str, doc_class: str = "DOC", with_anchor: bo
     return F.concat_ws("\n", *(F.concat(F.lit(k + ": "), F.coalesce(v.cast("string"), F.lit(""))) for k, v in lines.items()))
 
 
-def text_documents(cases: DataFrame, generated: str, version: str = "2.2", tag: str = "DOC", every: int = 1500, back: int = 100) -> DataFrame:
-    """(id, document): header, an empty line, and the content with its markers; records without content give none.
+def text_document(generated: str, version: str = "2.2", tag: str = "DOC", every: int = 1500, back: int = 100, **made: Column) -> Column:
+    """A record's document: header, an empty line, and the content with its markers."""
+    return F.concat_ws("\n\n", header(generated, version, **made), marked_text(tag, every, back))
 
-    Keywords, anchor and hash are computed once. ``id`` must be unique.
-    """
+
+def text_documents(cases: DataFrame, generated: str, version: str = "2.2", tag: str = "DOC", every: int = 1500, back: int = 100) -> DataFrame:
+    """(id, document) of each record; records without content give none. A document is made from its own row alone."""
     rows = cases.where(F.length("content") > 0)
-    made = rows.withColumn("anchor", T.anchor(F.col("content"))).join(keywords(rows, "id", "content"), "id")
-    bodies = marked_documents(rows, tag, every, back).withColumnRenamed("document", "body")
-    heads = made.select("id", header(generated, version).alias("head"))
-    return heads.join(bodies, "id").select("id", F.concat_ws("\n\n", "head", "body").alias("document"))
+    return rows.select("id", text_document(generated, version, tag, every, back).alias("document"))
+
+
+def short_anchor(anchor: Column) -> Column:
+    """The first hundred characters of an anchor, with three points where more follows."""
+    return F.when(F.length(anchor) > 100, F.concat(F.left(anchor, F.lit(100)), F.lit("..."))).otherwise(anchor)
+
+
+def manifest_columns(min_content: int = 1000) -> list[Column]:
+    """The columns of a manifest of case records, with their keywords and a short anchor."""
+    c = F.col
+    text = F.coalesce(c("content"), F.lit(""))
+    short = F.element_at(F.transform(F.array(T.anchor(text)), short_anchor), 1)
+    return [
+        c("id"), c("citation"), F.lower("tribunal").alias("court"), c("tribunal_rank"), c("page_count"), F.length(text).alias("content_length"),
+        T.content_hash(text).alias("content_hash"), keywords_of(text).alias("keywords"), short.alias("anchor"),
+        quality.manifest_exceptions(min_content).alias("exceptions"),
+    ]
+
+
+def preview(generated: str, lines: int = 30, version: str = "2.2") -> Column:
+    """A record's header and the first lines of its content."""
+    start = F.array_join(F.slice(F.split("content", "\n"), 1, lines), "\n")
+    return F.concat_ws("\n\n", header(generated, version), start, F.lit("[... content continues ...]"))
 
 
 def format_errors(document: Column, tag: str = "DOC", least: int = 1000) -> Column:
@@ -112,14 +138,32 @@ def quality_warnings(text: Column, pages: Column) -> Column:
 
 
 def topic_of(lower: Column) -> Column:
-    """The topic whose patterns match a text in lower case most often; the first of equals, and the default where none matches."""
+    """The topic whose patterns match a text in lower case most often; the first of equals, and the default where none matches.
+
+    A text that no pattern matches is told by all of them at once.
+    """
+    every = "|".join(p for patterns in TOPIC_PATTERNS.values() for p in patterns)
+    some = lower.rlike("(?U)" + every)
     scores = [(t, reduce(add, (F.regexp_count(lower, F.lit("(?U)" + p)) for p in patterns))) for t, patterns in TOPIC_PATTERNS.items()]
     ranked = F.array(*(F.struct(n.alias("n"), F.lit(-k).alias("k"), F.lit(t).alias("topic")) for k, (t, n) in enumerate(scores)))
-    best = F.array_max(ranked)
-    return F.when(best["n"] > 0, best["topic"]).otherwise(DEFAULT_TOPIC)
+    best = F.element_at(F.transform(F.array(F.array_max(ranked)), lambda b: F.when(b["n"] > 0, b["topic"]).otherwise(DEFAULT_TOPIC)), 1)
+    return F.when(some, best).otherwise(DEFAULT_TOPIC)
 
 
 def hash_mismatches(documents: DataFrame, manifest: DataFrame, key: str = "id", text: str = "content") -> DataFrame:
     """Rows of the manifest whose text is missing or has another hash."""
     found = documents.select(key, T.content_hash(F.col(text)).alias("_found"))
     return manifest.join(found, key, "left").where(~F.col("content_hash").eqNullSafe(F.col("_found"))).drop("_found")
+
+
+def choose_extraction(runs: DataFrame, first: str = "text_layer", fallback: str = "ocr") -> DataFrame:
+    """(case_id, artifact_id, extraction_method, passed): the newest run of the first method where all its flags hold,
+    else the newest of the fallback, else the first method's after all. A run without flags doesn't pass."""
+    flags = F.map_values("quality_flags")
+    passed = F.coalesce(F.size(flags) > 0, F.lit(False)) & F.coalesce(F.forall(flags, lambda x: x), F.lit(False))
+    order = F.struct("extraction_timestamp", "artifact_id", "extraction_method", passed.alias("passed"))
+    newest = runs.groupBy("case_id").agg(
+        F.max(F.when(F.col("extraction_method") == first, order)).alias("a"), F.max(F.when(F.col("extraction_method") == fallback, order)).alias("b")
+    )
+    chosen = F.when(F.col("a.passed"), F.col("a")).otherwise(F.coalesce("b", "a"))
+    return newest.select("case_id", chosen.alias("c")).where("c IS NOT NULL").select("case_id", "c.artifact_id", "c.extraction_method", "c.passed")

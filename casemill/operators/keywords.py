@@ -1,67 +1,85 @@
-"""Weighted keywords of documents."""
+"""Weighted keywords of documents.
+
+A document's words are counted where the document is, batch by batch: nothing but the
+few best leaves its row, and nothing is shuffled.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import re
+from collections import Counter
+
+import pyarrow as pa
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from casemill.functions.text import count_of, matches
 from casemill.functions.wordlists import LEXICON, STATUTE_PATTERNS, STOP_WORDS, SURNAMES
 
-_WORD = r"\A[a-zàâäæçèéêëïîôœùûüÿ][a-zàâäæçèéêëïîôœùûüÿ0-9]*\z"
-
+_WORD = re.compile("[a-zàâäæçèéêëïîôœùûüÿ][a-zàâäæçèéêëïîôœùûüÿ0-9]*")
+_TOKENS = re.compile(r"\w+")
+# each pattern reads a run of characters once, however long
+_LINKS = [re.compile(p, re.A) for p in (r"https?://\S+", r"www\.\S+", r"(?<!\S)\S[^\s@]*+@\S+")]
+_STATUTES = [re.compile(p, re.I | re.A) for p in STATUTE_PATTERNS]
+#: Words of the lexicon never are surnames.
+_BARRED = STOP_WORDS | (SURNAMES - LEXICON.keys())
+_PHRASES = [(p, w) for p, w in LEXICON.items() if " " in p]
 
-def without_links(text: Column) -> Column:
-    """A text without addresses of pages and mail; each pattern reads a run of characters once, however long."""
-    pages = F.regexp_replace(F.regexp_replace(text, r"https?://\S+", ""), r"www\.\S+", "")
-    return F.regexp_replace(pages, r"(?<!\S)\S[^\s@]*+@\S+", "")
 
+def without_links(text: str) -> str:
+    """A text without addresses of pages and mail."""
+    for pattern in _LINKS:
+        text = pattern.sub("", text)
+    return text
 
-def words(text: Column) -> Column:
-    """The words of a text in lower case, in order; a word has only letters of the two languages and figures."""
-    return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}_]+"), lambda w: w.rlike(_WORD))
 
+def word_counts(clean: str) -> dict[str, int]:
+    """How often each word of four or more letters stands in a text, in the order of their first places.
 
-def term_counts(documents: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, word, n, first): how often each word of four or more letters stands in a text, and where first.
-
-    Stop words and surnames are left out; words of the lexicon never are surnames.
+    A word has only letters of the two languages and figures; stop words and surnames
+    are left out.
     """
-    barred = sorted(STOP_WORDS | (SURNAMES - LEXICON.keys()))
-    tokens = documents.select(key, words(without_links(F.col(text))).alias("w")).select(key, F.posexplode("w").alias("pos", "word"))
-    return (
-        tokens.where((F.length("word") >= 4) & ~F.col("word").isin(barred))
-        .groupBy(key, "word")
-        .agg(F.count(F.lit(1)).cast("int").alias("n"), F.min("pos").alias("first"))
-    )
+    words = _TOKENS.findall(clean.lower())
+    return Counter(w for w in words if len(w) >= 4 and w not in _BARRED and _WORD.fullmatch(w))
 
 
-def keywords(documents: DataFrame, key: str = "doc_id", text: str = "text", most: int = 7) -> DataFrame:
-    """(key, keywords): the best words and phrases of each text, joined by ", "; "none" without any.
+def best_terms(text: str, most: int) -> list[str]:
+    """The best words and phrases of a text.
 
     A word counts from two occurrences on, times its weight in the lexicon, and ten
     more if a statute reference of the text contains it; a phrase counts occurrences
     times weight. Equal scores keep words before phrases, and the order in the text.
     """
-    weights = F.create_map(*(F.lit(x) for pair in LEXICON.items() for x in pair))
-    # links are taken out once: a column that is used many times isn't folded into its uses
-    clean = documents.select(key, without_links(F.col(text)).alias("t"))
-    refs = clean.select(key, matches(F.col("t"), STATUTE_PATTERNS).alias("refs"))
-    counted = term_counts(documents, key, text).where("n >= 2").join(refs, key)
-    score = F.col("n") * F.coalesce(F.try_element_at(weights, F.col("word")), F.lit(1.0)) + F.when(
-        F.exists("refs", lambda r: F.contains(r, F.col("word"))), 10.0
-    ).otherwise(0.0)
-    single = counted.select(key, F.col("word").alias("term"), score.alias("score"), F.lit(0).alias("kind"), "first")
-    lower = F.col("t")
-    phrases = [(p, w) for p, w in LEXICON.items() if " " in p]
-    found = F.array(
-        *(
-            F.struct(F.lit(p.replace(" ", "-")).alias("term"), (count_of(lower, p) * F.lit(w)).alias("score"), F.lit(1).alias("kind"), F.lit(i).alias("first"))
-            for i, (p, w) in enumerate(phrases)
-        )
-    )
-    several = clean.select(key, F.lower("t").alias("t")).select(key, F.inline(found)).where("score > 0")
-    w = Window.partitionBy(key).orderBy(F.desc("score"), "kind", "first")
-    best = single.unionByName(several).withColumn("r", F.row_number().over(w)).where(F.col("r") <= most)
-    joined = best.groupBy(key).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("r", "term"))), lambda x: x["term"]), ", ").alias("keywords"))
-    return documents.select(key).join(joined, key, "left").select(key, F.coalesce("keywords", F.lit("none")).alias("keywords"))
+    clean = without_links(text)
+    refs = {m.lower() for p in _STATUTES for m in p.findall(clean)}
+    scored = [
+        (n * LEXICON.get(w, 1.0) + (10.0 if any(w in r for r in refs) else 0.0), w) for w, n in word_counts(clean).items() if n >= 2
+    ]
+    lower = clean.lower()
+    scored += [(lower.count(p) * w, p.replace(" ", "-")) for p, w in _PHRASES if p in lower]
+    scored.sort(key=lambda x: -x[0])
+    return [term for _, term in scored[:most]]
+
+
+def top_words(text: Column, most: int = 7) -> Column:
+    """The most frequent words of a text that it has twice or more, as (word, n); ties in the order of their first places."""
+
+    @F.arrow_udf("array<struct<word: string, n: int>>")
+    def find(texts: pa.Array) -> pa.Array:
+        rows = []
+        for text in texts.to_pylist():
+            counted = word_counts(without_links(text or ""))
+            best = sorted((w for w, n in counted.items() if n >= 2), key=lambda w: -counted[w])[:most]
+            rows.append([{"word": w, "n": counted[w]} for w in best])
+        return pa.array(rows, pa.list_(pa.struct([("word", pa.string()), ("n", pa.int32())])))
+
+    return find(text)
+
+
+def keywords_of(text: Column, most: int = 7) -> Column:
+    """The keywords of a text, joined by ", "; "none" without any, and for NULL."""
+
+    @F.arrow_udf("string")
+    def find(texts: pa.Array) -> pa.Array:
+        return pa.array([", ".join(best_terms(x or "", most)) or "none" for x in texts.to_pylist()], pa.string())
+
+    return find(text)

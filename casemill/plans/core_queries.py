@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from casemill.functions import quality
 from casemill.functions import text as T
+from casemill.functions.wordlists import ENGLISH_SIGNS_LONG, FRENCH_SIGNS_LONG, LEXICON
 from casemill.operators import cases, chunks, documents, keywords, retrieval, sampling, snapshots
-from casemill.sources.tables import spread, table
+from casemill.sources.tables import distinct_rows, spread, table
 
 SEED = "casemill"
 
@@ -243,8 +244,9 @@ def record_search(spark: SparkSession, sf: str) -> DataFrame:
 def record_names(spark: SparkSession, sf: str) -> DataFrame:
     """Names derived from paths, citations and dates."""
     c = F.col
-    return _records(spark, sf).distinct().select(
-        "id",
+    return distinct_rows(
+        _records(spark, sf),
+        c("id"),
         T.file_stem(c("metadata_relpath")).alias("stem"),
         T.path_language(c("metadata_relpath")).alias("path_lang"),
         T.case_key(c("citation"), c("file_stem"), c("id")).alias("case_key"),
@@ -253,14 +255,34 @@ def record_names(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def page_bases(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages by what stands before the first _pages_ of their ids."""
+    return _pages(spark, sf).groupBy(T.before_pages(F.col("page_id")).alias("base")).agg(F.count(F.lit(1)).alias("n_pages"))
+
+
+def link_ids(spark: SparkSession, sf: str) -> DataFrame:
+    """Case numbers from links or paths."""
+    made = T.link_id(F.col("pdf_link"), F.col("metadata_relpath"))
+    return distinct_rows(_records(spark, sf), F.col("id"), made.alias("number"))
+
+
 def file_names(spark: SparkSession, sf: str) -> DataFrame:
     """Export names by source and year; a name that occurs again gets _v2, _v3 and so on."""
-    from pyspark.sql import Window
-
     base = F.concat_ws("_", T.slug(F.col("source_name")), F.coalesce(_year(), F.lit("unknown")))
-    rows = _records(spark, sf).select("id", base.alias("base")).distinct()
-    n = F.row_number().over(Window.partitionBy("base").orderBy("id"))
-    return rows.select("id", F.concat("base", F.when(n > 1, F.concat(F.lit("_v"), n)).otherwise(""), F.lit(".txt")).alias("file_name"))
+    rows = sampling.numbered(_records(spark, sf).select("id", base.alias("base")).distinct(), "base", "id")
+    return rows.select("id", _versioned("base", ".txt").alias("file_name"))
+
+
+def _versioned(base: str, suffix: str):
+    return F.concat(base, F.when(F.col("n") > 1, F.concat(F.lit("_v"), "n")).otherwise(""), F.lit(suffix))
+
+
+def export_names(spark: SparkSession, sf: str) -> DataFrame:
+    """Deterministic export names by language, rank, date, case and document; one that occurs again gets _v2, _v3 and so on."""
+    c = F.col
+    base = T.export_name(c("language"), c("tribunal"), c("tribunal_rank"), c("publication_date"), c("citation"), c("file_stem"), c("id"))
+    rows = sampling.numbered(_records(spark, sf).select("id", base.alias("base")).distinct(), "base", "id")
+    return rows.select("id", _versioned("base", ".ecl.txt").alias("file_name"))
 
 
 def inventory_slugs(spark: SparkSession, sf: str) -> DataFrame:
@@ -282,23 +304,20 @@ def discovery_anchor(spark: SparkSession, sf: str) -> DataFrame:
 
 def top_terms(spark: SparkSession, sf: str) -> DataFrame:
     """The seven most frequent words of each document, ties in order of their first place."""
-    from pyspark.sql import Window
-
-    counted = keywords.term_counts(_documents(spark, sf), "doc_id", "text").where("n >= 2")
-    w = Window.partitionBy("doc_id").orderBy(F.desc("n"), "first")
-    return counted.withColumn("place", F.row_number().over(w)).where("place <= 7").select("doc_id", "word", "n", "place")
+    docs = _documents(spark, sf).select("doc_id", F.posexplode(keywords.top_words(F.col("text"))).alias("pos", "t"))
+    return docs.select("doc_id", "t.word", "t.n", (F.col("pos") + 1).alias("place"))
 
 
 def document_keywords(spark: SparkSession, sf: str) -> DataFrame:
     """Weighted keywords of each document."""
-    return keywords.keywords(_documents(spark, sf).where("text IS NOT NULL"))
+    return _documents(spark, sf).where("text IS NOT NULL").select("doc_id", keywords.keywords_of(F.col("text")).alias("keywords"))
 
 
 def phrase_counts(spark: SparkSession, sf: str) -> DataFrame:
-    """How often phrases of the lexicon stand in each document."""
-    t = F.lower("text")
-    terms = {"regular_benefits": "regular benefits", "medical_note": "medical note", "avis_ecrit": "avis écrit"}
-    return _documents(spark, sf).where("text IS NOT NULL").select("doc_id", *(T.count_of(t, p).alias(n) for n, p in terms.items()))
+    """How often each phrase of the lexicon stands in each document that has it."""
+    lower = _documents(spark, sf).where("text IS NOT NULL").select("doc_id", F.lower("text").alias("t"))
+    found = F.array(*(F.struct(F.lit(p).alias("phrase"), T.count_of(F.col("t"), p).alias("n")) for p in LEXICON if " " in p))
+    return lower.select("doc_id", F.inline(found)).where("n > 0")
 
 
 def statute_references(spark: SparkSession, sf: str) -> DataFrame:
@@ -317,13 +336,14 @@ def document_chunks(spark: SparkSession, sf: str) -> DataFrame:
 
 def marked_records(spark: SparkSession, sf: str) -> DataFrame:
     """Records with their markers."""
-    return chunks.marked_documents(_records(spark, sf).distinct())
+    rows = spread(_records(spark, sf).where(F.length("content") > 0))
+    return distinct_rows(rows, F.col("id"), chunks.marked_text().alias("document"))
 
 
 def quality_gates(spark: SparkSession, sf: str) -> DataFrame:
     """Gates and score of each record's content."""
     made = quality.gates(F.col("content"), F.col("page_count"))
-    return _records(spark, sf).distinct().select("id", *(v.alias(k) for k, v in made.items()))
+    return distinct_rows(_records(spark, sf), F.col("id"), *(v.alias(k) for k, v in made.items()))
 
 
 def language_by_signs(spark: SparkSession, sf: str) -> DataFrame:
@@ -332,21 +352,42 @@ def language_by_signs(spark: SparkSession, sf: str) -> DataFrame:
     return lower.select("doc_id", quality.two_languages(F.col("t")).alias("found"))
 
 
+def language_checks(spark: SparkSession, sf: str) -> DataFrame:
+    """en, fr or bi by counts of more small words, and whether the label agrees."""
+    lower = spread(table(spark, sf, "documents").select("doc_id", "lang", "text")).select("doc_id", "lang", F.lower("text").alias("t"))
+    found = lower.select("doc_id", "lang", quality.two_languages(F.col("t"), FRENCH_SIGNS_LONG, ENGLISH_SIGNS_LONG).alias("found"))
+    return found.select("doc_id", "found", quality.language_consistent(F.col("found"), F.col("lang")).alias("consistent"))
+
+
 def record_checks(spark: SparkSession, sf: str) -> DataFrame:
     """The checks that each record fails."""
-    rows = _records(spark, sf).distinct().select("id", quality.record_failures().alias("f"))
+    rows = distinct_rows(_records(spark, sf), F.col("id"), quality.record_failures().alias("f"))
     return rows.select("id", F.size("f").alias("n_failed"), F.array_join("f", "|").alias("failed"))
 
 
 def manifest(spark: SparkSession, sf: str) -> DataFrame:
     """One manifest row for each record."""
-    c = F.col
-    return _records(spark, sf).distinct().select(
-        "id", "citation", F.lower("tribunal").alias("court"), "tribunal_rank", "page_count",
-        F.coalesce(F.length("content"), F.lit(0)).alias("content_length"),
-        T.content_hash(F.coalesce(c("content"), F.lit(""))).alias("content_hash"),
-        quality.manifest_exceptions().alias("exceptions"),
-    )
+    return distinct_rows(spread(_records(spark, sf)), *documents.manifest_columns())
+
+
+def hash_check(spark: SparkSession, sf: str) -> DataFrame:
+    """Records whose content isn't what the manifest says; blobs' checksums are those of documents without outer blanks."""
+    rows = spread(_records(spark, sf)).select("id", "content").where("content IS NOT NULL")
+    listed = distinct_rows(rows, F.col("id"), T.content_hash(F.col("content")).alias("content_hash"))
+    now = distinct_rows(rows, F.col("id"), T.strip(F.col("content")).alias("content"))
+    return documents.hash_mismatches(now, listed).select("id", "content_hash")
+
+
+def extraction_choice(spark: SparkSession, sf: str) -> DataFrame:
+    """For each case the extraction to use: of the text layer where it passes its flags, else of the scan."""
+    return documents.choose_extraction(table(spark, sf, "extractions"))
+
+
+def record_previews(spark: SparkSession, sf: str) -> DataFrame:
+    """Header and first lines of each record."""
+    rows = spread(_records(spark, sf).where(F.length("content") > 0))
+    made = distinct_rows(rows, F.col("id"), documents.preview("2025-01-01T00:00:00", 20).alias("p"))
+    return made.select("id", F.length("p").alias("n_chars"), F.md5("p").alias("digest"))
 
 
 def _pages(spark: SparkSession, sf: str) -> DataFrame:
@@ -359,13 +400,14 @@ def canonical_cases(spark: SparkSession, sf: str) -> DataFrame:
     """Paragraphs of documents as numbered pages of canonical texts; page 0 comes last, without a number."""
     made = documents.canonical_texts(_pages(spark, sf))
     c = F.col
-    return made.select("case_id", "pages", F.md5("content").alias("digest"), documents.canonical_id(c("case_id"), F.lit("en"), c("content")).alias("canonical_id"))
+    lang = quality.two_languages(F.lower("content"), FRENCH_SIGNS_LONG, ENGLISH_SIGNS_LONG)
+    return made.select("case_id", "pages", F.md5("content").alias("digest"), documents.canonical_id(c("case_id"), lang, c("content")).alias("canonical_id"))
 
 
 def content_warnings(spark: SparkSession, sf: str) -> DataFrame:
     """Warnings on each record's content."""
     made = documents.quality_warnings(F.col("content"), F.col("page_count"))
-    return _records(spark, sf).distinct().select("id", F.array_join(made, "|").alias("warnings"))
+    return distinct_rows(_records(spark, sf), F.col("id"), F.array_join(made, "|").alias("warnings"))
 
 
 def document_topics(spark: SparkSession, sf: str) -> DataFrame:
@@ -377,13 +419,16 @@ def document_topics(spark: SparkSession, sf: str) -> DataFrame:
 
 def record_documents(spark: SparkSession, sf: str) -> DataFrame:
     """Records as documents with header and markers, and what a check finds wrong with them."""
-    made = documents.text_documents(_records(spark, sf).distinct(), "2025-01-01T00:00:00")
-    return made.select("id", F.length("document").alias("n_chars"), F.array_join(documents.format_errors(F.col("document")), "|").alias("errors"))
+    rows = spread(_records(spark, sf).where(F.length("content") > 0))
+    made = rows.withColumn("document", documents.text_document("2025-01-01T00:00:00"))
+    d = F.col("document")
+    checked = made.select("id", F.length(d).alias("n_chars"), F.md5(d).alias("digest"), F.array_join(documents.format_errors(d), "|").alias("errors"))
+    return checked.distinct()
 
 
 def compact_markers(spark: SparkSession, sf: str) -> DataFrame:
     """The first compact marker of each record."""
-    return _records(spark, sf).distinct().select("id", documents.compact_marker("DOC", F.lit(0)).alias("marker"))
+    return distinct_rows(_records(spark, sf), F.col("id"), documents.compact_marker("DOC", F.lit(0)).alias("marker"))
 
 
 def vector_neighbours(spark: SparkSession, sf: str) -> DataFrame:
@@ -398,6 +443,12 @@ def vector_precision(spark: SparkSession, sf: str) -> DataFrame:
     return retrieval.precision_at_k(retrieval.nearest(vectors, vectors.where("vec_id % 100 = 0")), vectors)
 
 
+def vector_recall(spark: SparkSession, sf: str) -> DataFrame:
+    """How many of the vectors with the query's label are among its ten nearest."""
+    vectors = table(spark, sf, "embeddings")
+    return retrieval.recall_at_k(retrieval.nearest(vectors, vectors.where("vec_id % 100 = 0")), vectors)
+
+
 _ALL = [
     p1_found, p1_totals, page_scan, page_blob_join, missing_blobs, extracted_records, case_assembly, stratified_tribunal,
     stratified_year, stratified_tribunal_year, proportional_sample, yearly_inventory, source_inventory, content_presence,
@@ -406,6 +457,7 @@ _ALL = [
     freshness, record_search, record_names, file_names, inventory_slugs, sentence_truncation, discovery_anchor, top_terms,
     document_keywords, phrase_counts, statute_references, document_chunks, marked_records, quality_gates,
     language_by_signs, record_checks, manifest, canonical_cases, content_warnings, document_topics, record_documents, compact_markers,
-    vector_neighbours, vector_precision,
+    vector_neighbours, vector_precision, vector_recall, page_bases, link_ids, export_names, language_checks, hash_check,
+    extraction_choice, record_previews,
 ]
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 from casemill.functions.text import SPACE
-from casemill.functions.wordlists import ARTIFACTS, ENGLISH_SIGNS, FRENCH_SIGNS, LEXICON, STATUTE_PATTERNS, STOP_WORDS, SURNAMES
+from casemill.functions.wordlists import (
+    ARTIFACTS, COVER_ENDS, ENGLISH_SIGNS, ENGLISH_SIGNS_LONG, FRENCH_SIGNS, FRENCH_SIGNS_LONG, FRONT_MATTER, HEADINGS, LEXICON,
+    START_PATTERNS, STATUTE_PATTERNS, STOP_WORDS, SURNAMES,
+)
 
 _WS = SPACE
 
@@ -113,6 +116,126 @@ r AS (SELECT query_id, want, vec_id, label, row_number() OVER (PARTITION BY quer
         ORDER BY round(list_cosine_similarity(a::DOUBLE[], embedding::DOUBLE[]), 10) DESC, vec_id) AS rank
       FROM q JOIN embeddings ON vec_id <> query_id QUALIFY rank <= 10)
 """
+
+
+def _two(t: str, french: tuple[str, ...], english: tuple[str, ...]) -> str:
+    f, e = (" + ".join(_count(t, x) for x in signs) for signs in (french, english))
+    return f"CASE WHEN {t} = '' THEN 'en' WHEN ({f}) > 2 * ({e}) THEN 'fr' WHEN ({e}) > 2 * ({f}) THEN 'en' ELSE 'bi' END"
+
+
+def _wide(pattern: str) -> str:
+    """A pattern with classes that know all scripts."""
+    out, inside, k = "", False, 0
+    while k < len(pattern):
+        two = pattern[k : k + 2]
+        if two in (r"\s", r"\d", r"\w"):
+            cls = {r"\s": _WS, r"\d": r"[\p{Nd}]", r"\w": r"[\p{L}\p{N}\p{M}_]"}[two]
+            out += cls[1:-1] if inside else cls
+            k += 2
+            continue
+        if two[0] == "\\":
+            out += two
+            k += 2
+            continue
+        inside = two[0] == "[" or inside and two[0] != "]"
+        out += two[0]
+        k += 1
+    return out.replace("'", "''")
+
+
+def _before(t: str, pattern: str) -> str:
+    return f"CASE WHEN regexp_matches({t}, '{pattern}') THEN length(regexp_extract({t}, '(?s)\\A(.*?)(?-s:{pattern})', 1)) END"
+
+
+def _through(t: str, pattern: str) -> str:
+    return f"CASE WHEN regexp_matches({t}, '{pattern}') THEN length(regexp_extract({t}, '(?s)\\A(.*?(?-s:{pattern}))', 1)) END"
+
+
+_CLEAN = "regexp_replace(regexp_replace(regexp_replace({t}, 'https?://\\S+', '', 'g'), 'www\\.\\S+', '', 'g'), '\\S+@\\S+', '', 'g')"
+_PART = _wide(r"\n\s*\n\s*[A-Z\[]")
+_SENTENCE = "regexp_extract(substr(x, 702, 199), '(?s)^(.*[.!?])', 1)"
+
+
+def _anchors(rows: str) -> str:
+    """CTEs that end in anchors (k, anchor); ``rows`` selects k and t."""
+    starts = ", ".join(_before("t", _wide(p)) + " + 1" for p in START_PATTERNS)
+    heading, cover = _wide(r"(?i)\n\s*(?:" + "|".join(HEADINGS) + r")\s*\n"), _wide("(?i)(?:" + "|".join(COVER_ENDS) + ")")
+    front = _wide("(?i)(?:" + "|".join(FRONT_MATTER) + ")")
+    return rf"""a0 AS ({rows}),
+a1 AS (SELECT k, t, {_through("t", cover)} AS cover FROM a0),
+a2 AS (SELECT k, t, cover, substr(t, cover + 1) AS rest FROM a1),
+a3 AS (SELECT k, substr(t, coalesce({starts}, {_through("t", heading)}, cover + {_before("rest", _PART)} + 2, 0) + 1) AS suffix FROM a2),
+a4 AS (SELECT k, suffix, list_filter(list_transform(string_split_regex(suffix, '{_wide(chr(92) + "n" + chr(92) + "s*" + chr(92) + "n")}'), lambda p: {_strip("p")}), lambda p: p <> '') AS ps FROM a3),
+a5 AS (SELECT k, suffix, unnest(ps) AS p, unnest(range(len(ps))) AS i FROM a4),
+a6 AS (SELECT *, list_filter(string_split_regex(p, '{_WS}+'), lambda w: w <> '') AS ws FROM a5),
+a7 AS (SELECT k, string_agg(p, ' ' ORDER BY i) AS body FROM a6 WHERE NOT (regexp_full_match(p, '{front}') OR (length(p) < 200 AND 2 * len(list_filter(ws,
+        lambda w: (upper(w) = w AND lower(w) <> w) OR regexp_full_match(w, '[^\p{{L}}]*\p{{Lu}}\p{{Ll}}*(?:[^\p{{L}}]+\p{{Lu}}\p{{Ll}}*)*[^\p{{L}}]*'))) > len(ws))) GROUP BY k),
+a8 AS (SELECT a3.k, {_strip("regexp_replace(coalesce(body, ''), ' +', ' ', 'g')")} AS clean, {_strip("regexp_replace(suffix, ' +', ' ', 'g')")} AS raw FROM a3 LEFT JOIN a7 ON a3.k = a7.k),
+a9 AS (SELECT k, CASE WHEN length(clean) < 100 THEN raw ELSE clean END AS x FROM a8),
+anchors AS (SELECT k, CASE WHEN length(x) <= 900 THEN x ELSE {_strip(f"substr(x, 1, CASE WHEN length({_SENTENCE}) > 0 THEN 701 + length({_SENTENCE}) ELSE 900 END)")} END AS anchor FROM a9)
+"""
+
+
+def _keywords(rows: str) -> str:
+    """CTEs that end in terms (k, keywords); ``rows`` selects k and t."""
+    lexicon = ", ".join(f"('{t.replace(chr(39), chr(39) * 2)}', {w}::DOUBLE, {i})" for i, (t, w) in enumerate(LEXICON.items()))
+    refs = ", ".join("regexp_extract_all(t, '(?i)" + p.replace("'", "''") + "')" for p in STATUTE_PATTERNS)
+    return rf"""k0 AS (SELECT k, {_CLEAN.format(t="t")} AS t FROM ({rows})),
+k1 AS (SELECT k, list_filter(regexp_split_to_array(lower(t), '[^\p{{L}}\p{{N}}_]+'), lambda x: regexp_full_match(x, '[{_LETTERS}][{_LETTERS}0-9]*')) AS w FROM k0),
+k2 AS (SELECT k, unnest(w) AS word, unnest(range(len(w))) AS pos FROM k1),
+k3 AS (SELECT k, word, count(*) AS n, min(pos) AS first FROM k2 WHERE length(word) >= 4 AND word NOT IN ({_list(STOP_WORDS | (SURNAMES - LEXICON.keys()))}) GROUP BY ALL HAVING count(*) >= 2),
+refs AS (SELECT k, list_transform(flatten([{refs}]), lambda x: lower(x)) AS refs FROM k0),
+lexicon(term, weight, i) AS (VALUES {lexicon}),
+scored AS (SELECT k, word AS term, n * coalesce(weight, 1.0::DOUBLE) + CASE WHEN len(list_filter(refs, lambda r: contains(r, word))) > 0 THEN 10 ELSE 0 END AS score, 0 AS kind, first
+           FROM k3 JOIN refs USING (k) LEFT JOIN lexicon ON term = word
+           UNION ALL SELECT k, replace(term, ' ', '-'), ((length(lower(t)) - length(replace(lower(t), term, ''))) // length(term)) * weight, 1, i
+           FROM k0, lexicon WHERE contains(term, ' ') AND contains(lower(t), term)),
+best AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY score DESC, kind, first) AS r FROM scored QUALIFY r <= 7),
+terms AS (SELECT k0.k, coalesce(string_agg(term, ', ' ORDER BY r), 'none') AS keywords FROM k0 LEFT JOIN best ON k0.k = best.k GROUP BY k0.k)
+"""
+
+
+def _field(x: str) -> str:
+    return f"translate(coalesce({x}, ''), '|][', '/)(')"
+
+
+def _marker(n: str) -> str:
+    return (
+        f"('[DOC|MH' || printf('%05d', {n}) || '|' || upper({_field('language')}) || '|' || upper({_field('tribunal')}) || '|R' || tribunal_rank || '|' || "
+        + f"{_field('publication_date')} || '|' || {_field('citation')} || '|' || {_field('file_stem')} || ']')"
+    )
+
+
+_RECORDS = "r AS (SELECT DISTINCT * FROM case_records WHERE length(content) > 0)"
+_BODIES = f"""{_RECORDS},
+c(id, content, p, n) AS (
+  SELECT id, content, 0, 0 FROM r
+  UNION ALL
+  SELECT id, content, p + CASE WHEN b = 0 THEN 1500 ELSE 1400 + b END, n + 1 FROM (
+    SELECT *, length(regexp_replace(substr(content, p + 1401, 100), '{_NOT_SPACE}*$', '')) AS b FROM c) WHERE p + 1500 < length(content)),
+e AS (SELECT id, p, n, coalesce(lead(p) OVER (PARTITION BY id ORDER BY n), length(content)) AS q FROM c),
+bodies AS (SELECT id, string_agg({_marker("n")} || chr(10) || chr(10) || substr(content, p + 1, q - p), chr(10) || chr(10) ORDER BY n) || chr(10) ||
+             any_value({_marker("(SELECT max(n) + 1 FROM e y WHERE y.id = e.id)")}) AS body FROM e JOIN r USING (id) GROUP BY id)
+"""
+_FLAT = _strip("regexp_replace(anchor, '[ \\t\\n\\x0b\\f\\r]+', ' ', 'g')")
+_HEADER = " || chr(10) || ".join(
+    f"'{k}: ' || coalesce(CAST({v} AS VARCHAR), '')"
+    for k, v in {
+        "DOC_CLASS": "'DOC'", "FORMAT_VERSION": "'2.2'", "GENERATED": "'2025-01-01T00:00:00'", "CONTENT_HASH": "substr(sha256(content), 1, 16)",
+        "FILE_STEM": "file_stem", "LANG": "upper(language)", "TRIBUNAL": "upper(tribunal)", "TRIBUNAL_RANK": "tribunal_rank",
+        "DECISION_DATE": "publication_date", "CITATION": "citation", "KEYWORDS": "keywords", "RETRIEVAL_ANCHOR": _FLAT, "PDF_LINK": "pdf_link",
+        "WEB_LINK": "web_link", "BLOB_PATH": "metadata_relpath", "SOURCE_NAME": "source_name", "PAGE_COUNT": "page_count", "CONTENT_LENGTH": "length(content)",
+    }.items()
+)
+_OF_RECORDS = "SELECT id AS k, content AS t FROM r"
+_OF_DOCUMENTS = "SELECT doc_id AS k, text AS t FROM documents WHERE text IS NOT NULL"
+_PRINTABLE = "length(regexp_replace(t, '[\\x00-\\x08\\x0e-\\x1b\\x7f-\\x{84}\\x{86}-\\x{9f}\\p{Cf}\\p{Co}]', '', 'g'))"
+_CASE_KEY = f"""substr(coalesce(nullif(regexp_replace(regexp_replace({_strip("citation")}, '{_WS}+', '-', 'g'), '[^A-Za-z0-9-]', '', 'g'), ''),
+    nullif(CASE WHEN len(string_split(file_stem, '_')) = 2 THEN string_split(file_stem, '_')[2]
+                WHEN len(string_split(file_stem, '_')) > 2 THEN array_to_string(string_split(file_stem, '_')[2:-2], '_') END, ''), id), 1, 50)"""
+_DAY = """CASE WHEN regexp_full_match(trim(replace(replace(publication_date, '-', ''), '/', '')), '[0-9]{8}')
+       THEN trim(replace(replace(publication_date, '-', ''), '/', '')) ELSE '99999999' END"""
+_FOLDER = "CASE WHEN lower(tribunal) IN ('scc', 'fca', 'fc', 'sst', 'unknown') THEN lower(tribunal) ELSE 'unknown' END"
 _REFS = ", ".join("regexp_extract_all(text, '(?i)" + p.replace("'", "''") + "')" for p in STATUTE_PATTERNS)
 
 SQL: dict[str, str] = {
@@ -192,8 +315,46 @@ SQL: dict[str, str] = {
         c AS (SELECT doc_id, word, count(*) AS n, min(pos) AS first FROM t WHERE length(word) >= 4
               AND word NOT IN ({_list(STOP_WORDS | (SURNAMES - LEXICON.keys()))}) GROUP BY ALL)
         SELECT doc_id, word, CAST(n AS INTEGER) AS n, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, first) AS place FROM c WHERE n >= 2 QUALIFY place <= 7""",
-    "phrase_counts": f"""SELECT doc_id, {_count("lower(text)", "regular benefits")} AS regular_benefits, {_count("lower(text)", "medical note")} AS medical_note,
-        {_count("lower(text)", "avis écrit")} AS avis_ecrit FROM documents WHERE text IS NOT NULL""",
+    "discovery_anchor": f"WITH {_anchors(_OF_DOCUMENTS)} SELECT k AS doc_id, anchor FROM anchors",
+    "document_keywords": f"WITH {_keywords(_OF_DOCUMENTS)} SELECT k AS doc_id, keywords FROM terms",
+    "phrase_counts": "SELECT doc_id, phrase, CAST(n AS INTEGER) AS n FROM (" + " UNION ALL ".join(
+        f"SELECT doc_id, '{_q}' AS phrase, {_count('lower(text)', _q)} AS n FROM documents"
+        for _q in (p.replace("'", "''") for p in LEXICON if " " in p)) + ") WHERE n > 0",
+    "page_bases": """SELECT CAST(doc_id AS VARCHAR) AS base, sum(len(string_split(text, chr(10) || chr(10))))::BIGINT AS n_pages FROM documents
+        WHERE text IS NOT NULL GROUP BY 1""",
+    "link_ids": r"""SELECT id, coalesce(nullif(regexp_extract(pdf_link, '/decisions/[a-z]{2}/([0-9]+)/', 1), ''),
+        nullif(regexp_extract(metadata_relpath, '_([0-9]+)(?:_[a-z]{2})?\.pdf$', 1), '')) AS number FROM (SELECT DISTINCT * FROM case_records)""",
+    "export_names": f"""WITH b AS (SELECT DISTINCT id, upper(coalesce(language, 'unknown')) || '_' || tribunal_rank || '-' || {_FOLDER} || '_' || {_DAY} || '_' ||
+          {_slug(_CASE_KEY, 30)} || '_' || coalesce(nullif(regexp_extract(file_stem, '_([0-9]+)_[a-z]{{2}}$', 1), ''), {_slug("right(id, 12)", 12)}) AS base FROM case_records),
+        n AS (SELECT *, row_number() OVER (PARTITION BY base ORDER BY id) AS n FROM b)
+        SELECT id, base || CASE WHEN n > 1 THEN '_v' || n ELSE '' END || '.ecl.txt' AS file_name FROM n""",
+    "language_checks": f"""WITH d AS (SELECT doc_id, lang, {_two("lower(coalesce(text, ''))", FRENCH_SIGNS_LONG, ENGLISH_SIGNS_LONG)} AS found FROM documents)
+        SELECT doc_id, found, found = 'bi' OR coalesce(lower(substr(trim(lang), 1, 2)) = found, false) AS consistent FROM d""",
+    "hash_check": f"""SELECT DISTINCT id, substr(sha256(content), 1, 16) AS content_hash FROM case_records
+        WHERE content IS NOT NULL AND sha256(content) <> sha256({_strip("content")})""",
+    "extraction_choice": """WITH x AS (SELECT *, len(map_values(quality_flags)) > 0 AND len(list_filter(map_values(quality_flags), lambda v: NOT v)) = 0 AS passed,
+          row_number() OVER (PARTITION BY case_id, extraction_method ORDER BY extraction_timestamp DESC, artifact_id DESC) AS n FROM extractions),
+        a AS (SELECT * FROM x WHERE n = 1 AND extraction_method = 'text_layer'), b AS (SELECT * FROM x WHERE n = 1 AND extraction_method = 'ocr')
+        SELECT coalesce(a.case_id, b.case_id) AS case_id, CASE WHEN a.passed OR b.case_id IS NULL THEN a.artifact_id ELSE b.artifact_id END AS artifact_id,
+          CASE WHEN a.passed OR b.case_id IS NULL THEN 'text_layer' ELSE 'ocr' END AS extraction_method,
+          CASE WHEN a.passed OR b.case_id IS NULL THEN a.passed ELSE b.passed END AS passed FROM a FULL JOIN b ON a.case_id = b.case_id""",
+    "marked_records": f"WITH RECURSIVE {_BODIES} SELECT id, body AS document FROM bodies",
+    "record_documents": f"""WITH RECURSIVE {_BODIES}, {_keywords(_OF_RECORDS)}, {_anchors(_OF_RECORDS)},
+        d AS (SELECT id, body, {_HEADER} || chr(10) || chr(10) || body AS document FROM r JOIN bodies USING (id) JOIN terms ON terms.k = id JOIN anchors ON anchors.k = id)
+        SELECT id, length(document) AS n_chars, md5(document) AS digest, CASE WHEN length(body) < 1000 THEN 'short_body' ELSE '' END AS errors FROM d""",
+    "record_previews": f"""WITH {_RECORDS}, {_keywords(_OF_RECORDS)}, {_anchors(_OF_RECORDS)},
+        d AS (SELECT id, {_HEADER} || chr(10) || chr(10) || array_to_string(string_split(content, chr(10))[1:20], chr(10)) || chr(10) || chr(10) ||
+          '[... content continues ...]' AS p FROM r JOIN terms ON terms.k = id JOIN anchors ON anchors.k = id)
+        SELECT id, length(p) AS n_chars, md5(p) AS digest FROM d""",
+    "content_warnings": f"""WITH r AS (SELECT id, coalesce(content, '') AS t, greatest(page_count, 1) AS pages FROM (SELECT DISTINCT * FROM case_records))
+        SELECT id, array_to_string(list_filter([CASE WHEN {_strip("t")} = '' THEN 'CRITICAL: Empty content' END,
+          CASE WHEN length(t) < 100 THEN 'Short content: ' || length(t) || ' chars' END,
+          CASE WHEN NOT (length(t) > 0 AND {_PRINTABLE} >= 0.8::DOUBLE * length(t)) THEN printf('Low readability: %.1f%%', {_PRINTABLE} / greatest(length(t), 1) * 100) END,
+          CASE WHEN length(t) / pages < 200 THEN 'Sparse pages: ' || CAST(floor(length(t) / pages + 0.5) AS BIGINT) || ' chars/page (threshold: 200)' END],
+          lambda x: x IS NOT NULL), '|') AS warnings FROM r""",
+    "vector_recall": _NEAREST + """, z AS (SELECT label, count(*) - 1 AS relevant FROM embeddings GROUP BY 1),
+        h AS (SELECT query_id, want, CAST(count(*) FILTER (label = want) AS BIGINT) AS hits FROM r GROUP BY ALL)
+        SELECT query_id, hits, relevant, CASE WHEN relevant > 0 THEN hits / relevant ELSE 0.0 END AS recall FROM h JOIN z ON want = label""",
     "statute_references": f"""WITH r AS (SELECT doc_id, list_sort(list_distinct(list_transform(flatten([{_REFS}]), lambda x: {_strip("lower(x)")}))) AS refs
         FROM documents WHERE text IS NOT NULL) SELECT doc_id, CAST(len(refs) AS INTEGER) AS n_refs, array_to_string(refs, '|') AS refs FROM r""",
     "document_chunks": _CHUNKS,
@@ -206,14 +367,18 @@ SQL: dict[str, str] = {
         SELECT doc_id, CASE WHEN t = '' THEN 'en' WHEN f > 2 * e THEN 'fr' WHEN e > 2 * f THEN 'en' ELSE 'bi' END AS found FROM c""",
     "record_checks": f"""WITH r AS (SELECT id, {_failing(_CHECKS)} AS f FROM (SELECT DISTINCT * FROM case_records))
         SELECT id, CAST(len(f) AS INTEGER) AS n_failed, array_to_string(f, '|') AS failed FROM r""",
-    "manifest": f"""SELECT id, citation, lower(tribunal) AS court, tribunal_rank, page_count, coalesce(length(content), 0) AS content_length,
-        substr(sha256(coalesce(content, '')), 1, 16) AS content_hash, array_to_string({_failing(_EXCEPTIONS)}, '|') AS exceptions
-        FROM (SELECT DISTINCT * FROM case_records)""",
+    "manifest": f"""WITH r AS (SELECT * REPLACE (coalesce(content, '') AS content) FROM (SELECT DISTINCT * FROM case_records)),
+        {_keywords(_OF_RECORDS)}, {_anchors(_OF_RECORDS)}
+        SELECT id, citation, lower(tribunal) AS court, tribunal_rank, page_count, length(content) AS content_length, substr(sha256(content), 1, 16) AS content_hash,
+          keywords, CASE WHEN length(anchor) > 100 THEN substr(anchor, 1, 100) || '...' ELSE anchor END AS anchor,
+          array_to_string({_failing(_EXCEPTIONS)}, '|') AS exceptions
+        FROM r JOIN terms ON terms.k = id JOIN anchors ON anchors.k = id""",
     "canonical_cases": f"""WITH p AS (SELECT doc_id, {_strip("x")} AS x, n FROM (SELECT doc_id, unnest(string_split(text, chr(10) || chr(10))) AS x,
           unnest(range(len(string_split(text, chr(10) || chr(10))))) AS n FROM documents WHERE text IS NOT NULL)),
         c AS (SELECT CAST(doc_id AS VARCHAR) AS case_id, count(*) AS pages, coalesce(string_agg(CASE WHEN n = 0 THEN '' ELSE '[p.' || n || '] ' END || x,
           chr(10) || chr(10) ORDER BY CASE WHEN n = 0 THEN 999999 ELSE n END) FILTER (x <> ''), '') AS content FROM p GROUP BY doc_id)
-        SELECT case_id, pages, md5(content) AS digest, case_id || '_en_' || substr(sha256(content), 1, 8) AS canonical_id FROM c""",
+        SELECT case_id, pages, md5(content) AS digest, case_id || '_' || {_two("lower(content)", FRENCH_SIGNS_LONG, ENGLISH_SIGNS_LONG)} || '_' ||
+          substr(sha256(content), 1, 8) AS canonical_id FROM c""",
     "compact_markers": f"""WITH r AS (SELECT id, length(tribunal) AS nt, upper(language) AS l, upper(tribunal) AS t, tribunal_rank AS k,
           CASE WHEN regexp_full_match(trim(replace(replace(publication_date, '-', ''), '/', '')), '[0-9]{{8}}')
                THEN trim(replace(replace(publication_date, '-', ''), '/', '')) ELSE '99999999' END AS d,

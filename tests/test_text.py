@@ -73,7 +73,7 @@ def test_keywords_against_brute_force(texts):
     from pyspark.sql import functions as F
 
     df = texts.where("doc_id < 40").unionByName(texts.sparkSession.createDataFrame([(-9, extra)], "doc_id bigint, text string"))
-    for r in keywords.keywords(df).join(df, "doc_id").where(F.col("text") != "").collect():
+    for r in df.where("text <> ''").select("text", keywords.keywords_of(F.col("text")).alias("keywords")).collect():
         t = re.sub(r"\S+@\S+", "", re.sub(r"www\.\S+", "", re.sub(r"https?://\S+", "", r.text)))
         refs = {m.lower().strip() for p in W.STATUTE_PATTERNS for m in re.findall(p, t, re.I)}
         letters = "a-zàâäæçèéêëïîôœùûüÿ"
@@ -102,3 +102,13 @@ def test_names(spark):
         T.compact_date(F.col("d")).alias("d"), T.slug(F.col("n")).alias("g"), T.slug(F.lit(None).cast("string")).alias("g2"),
     ).first()
     assert tuple(r) == (10, "x", "scc_2007-SCC-22_9_en", "en", "2007-SCC-22", "b_c", "20240105", "t-co.", "unknown")
+
+
+def test_export_names_and_link_ids(spark):
+    rows = [("en", "SCC", 1, "2007-05-01", "2007 SCC 22", "scc_2007-SCC-22_34996_en", "abcdefghijklmnop"), (None, "board", 5, None, None, "x", "id Ü/9")]
+    df = spark.createDataFrame(rows, "l string, t string, k int, d string, c string, s string, i string")
+    got = [r.n for r in df.select(T.export_name(*(F.col(x) for x in "ltkdcsi")).alias("n")).collect()]
+    assert got == ["EN_1-scc_20070501_2007-scc-22_34996", "UNKNOWN_5-unknown_99999999_id-9_id-9"]
+    links = [("https://x/decisions/en/12345/1/document.do", "a_9.pdf"), (None, "case_12345_en.pdf"), ("https://x/1", "b/2001_0042.pdf"), (None, None)]
+    df = spark.createDataFrame(links, "l string, p string")
+    assert [r.n for r in df.select(T.link_id(df.l, df.p).alias("n")).collect()] == ["12345", "12345", "0042", None]
