@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casemill.llm import alignment, language, leaks, repeated_lines, scans, sentences, target_sample, tokens
-from casemill.llm.records import distinct_records, row_digest, site_of
-from casemill.sources.tables import spread, table
+from casemill.llm.records import distinct_records, site_of
+from casemill.sources.tables import row_digest, spread, table
 
 
 def _line_tables(rows: DataFrame, delta: Column, deltas: list[str]) -> repeated_lines.LineTables:
@@ -26,18 +26,16 @@ def _line_tables(rows: DataFrame, delta: Column, deltas: list[str]) -> repeated_
     return tables
 
 
-#: Records come in by the decade of their date; those without a readable one come first.
-_DECADE = F.when(F.col("publication_date").rlike(r"^(19|20)\d\d"), F.substring("publication_date", 1, 3)).otherwise("none")
-
-
-def _decades(rows: DataFrame) -> list[str]:
-    found = [r["d"] for r in rows.select(_DECADE.alias("d")).distinct().collect()]
-    return sorted(found, key=lambda d: (d != "none", d))
+def _by_decade(rows: DataFrame) -> repeated_lines.LineTables:
+    """Records come in by the decade of their date; those without a readable one come first."""
+    decade = F.when(F.col("publication_date").rlike(r"^(19|20)\d\d"), F.substring("publication_date", 1, 3)).otherwise("none")
+    found = [r["d"] for r in rows.select(decade.alias("d")).distinct().collect()]
+    return _line_tables(rows, decade, sorted(found, key=lambda d: (d != "none", d)))
 
 
 def _counted(spark: SparkSession, sf: str) -> DataFrame:
     """Distinct rows with their number of tokens: counted first, so that digests are shuffled in the place of texts."""
-    rows = spread(table(spark, sf, "case_records"))
+    rows = spread(table(spark, sf, "case_records"), waves=3)
     clean = {c: F.lower(F.trim(c)) for c in ("source_name", "language", "tribunal")}
     keyed = rows.select("id", *(v.alias(c) for c, v in clean.items()), "content", *row_digest(rows))
     return tokens.token_counts(keyed).distinct().drop("_row_a", "_row_b")
@@ -56,13 +54,13 @@ def p2_tokens(spark: SparkSession, sf: str) -> DataFrame:
 def p3_found(spark: SparkSession, sf: str) -> DataFrame:
     """Lines repeated excessively on their site: the records come in by decade, each a delta to the state."""
     rows = table(spark, sf, "case_records")
-    return _line_tables(rows, _DECADE, _decades(rows)).found().select("id", "line_no")
+    return _by_decade(rows).found().select("id", "line_no")
 
 
 def p3_clean(spark: SparkSession, sf: str) -> DataFrame:
     """Each record without its site's repeated lines."""
     rows = table(spark, sf, "case_records")
-    clean = repeated_lines.without_lines(rows, _line_tables(rows, _DECADE, _decades(rows)).found())
+    clean = repeated_lines.without_lines(rows, _by_decade(rows).found())
     return clean.select("id", site_of(F.col("source_name"), F.col("tribunal")).alias("site"), "content")
 
 
@@ -119,7 +117,7 @@ def p6_text(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _languages(spark: SparkSession, sf: str) -> DataFrame:
-    rows = spread(table(spark, sf, "case_records").select("id", "language", "content"))
+    rows = spread(table(spark, sf, "case_records").select("id", "language", "content"), waves=3)
     labelled = rows.select(F.col("content").alias("text"), F.col("language").alias("label")).unionByName(
         table(spark, sf, "documents").select("text", F.col("lang").alias("label"))
     )

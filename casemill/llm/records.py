@@ -21,14 +21,6 @@ def distinct_records(case_records: DataFrame, *columns: str) -> DataFrame:
     return rows.select(*columns) if columns else rows
 
 
-def row_digest(rows: DataFrame) -> list[Column]:
-    """_row_a and _row_b: a 128-bit digest of a whole row, which tells rows apart in the place of their texts."""
-    columns = [F.to_json(c) if kind.startswith("map") else F.col(c) for c, kind in rows.dtypes]
-    # a hash passes NULLs over, so which columns are NULL is part of it
-    columns.append(F.concat(*(F.isnull(c).cast("int").cast("string") for c in rows.columns)))
-    return [F.xxhash64(*columns).alias("_row_a"), F.xxhash64(F.lit(1), *columns).alias("_row_b")]
-
-
 def site_of(source_name: Column, tribunal: Column) -> Column:
     """source_name, trimmed and in lower case, or tribunal where it is NULL."""
     return F.coalesce(F.lower(F.regexp_replace(source_name, r"(?U)^\s+|\s+\z", "")), F.lower(tribunal))

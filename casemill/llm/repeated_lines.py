@@ -15,8 +15,8 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casemill.llm.records import row_digest
 from casemill.session import ensure_checkpoint_dir
+from casemill.sources.tables import row_digest
 
 MIN_LETTERS, MIN_RECORDS, MIN_SHARE = 25, 3, 0.03
 #: The most lines that are sent to every worker; more are joined by salted keys, as the lines looked for are the hottest keys there are.

@@ -77,7 +77,7 @@ def test_repeated_and_missing_keys_keep_their_rows(spark):
 
 
 def test_row_digests_tell_where_nulls_stand(spark):
-    from casemill.llm.records import row_digest
+    from casemill.sources.tables import row_digest
 
     rows = spark.createDataFrame([("a", "x", None), ("a", None, "x"), ("a", "x", None)], "id string, b string, c string")
     assert rows.select(*row_digest(rows)).distinct().count() == 2
