@@ -8,7 +8,7 @@ from operator import add
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from casemill.functions.text import count_of, strip
+from casemill.functions.text import count_of, once, strip
 from casemill.functions.wordlists import ARTIFACTS, ENGLISH_SIGNS, FRENCH_SIGNS
 
 #: Control, format and private characters other than white space.
@@ -33,7 +33,10 @@ def two_languages(lower: Column, french_signs: tuple[str, ...] = FRENCH_SIGNS, e
     """en, fr or bi by counts of small words of a text in lower case; en for an empty text."""
     t = F.coalesce(lower, F.lit(""))
     french, english = (reduce(add, (count_of(t, s) for s in signs)) for signs in (french_signs, english_signs))
-    return F.when(t == "", "en").when(french > 2 * english, "fr").when(english > 2 * french, "en").otherwise("bi")
+    return once(
+        F.struct(french.alias("f"), english.alias("e"), (t == "").alias("empty")),
+        lambda n: F.when(n["empty"], "en").when(n["f"] > 2 * n["e"], "fr").when(n["e"] > 2 * n["f"], "en").otherwise("bi"),
+    )
 
 
 def language_consistent(found: Column, label: Column) -> Column:

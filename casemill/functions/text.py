@@ -5,6 +5,8 @@ White space is Unicode's throughout, offsets and lengths count code points.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -19,6 +21,11 @@ def strip(c: Column) -> Column:
     return F.regexp_replace(c, rf"\A{SPACE}+|{SPACE}+\z", "")
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is dear to compute and used more than once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 # identifiers
 
 
@@ -173,23 +180,25 @@ def marker(tag: str, counter: Column, language: Column, tribunal: Column, rank:
 _HEADING = rf"(?i)\n\s*(?:{'|'.join(HEADINGS)})\s*\n"
 _COVER_END = rf"(?i)(?:{'|'.join(COVER_ENDS)})"
 _FRONT_PARAGRAPH = rf"(?iU)\A(?:{'|'.join(FRONT_MATTER)})\z"
-_PARAGRAPH_START = r"(?U)\n\s*\n\s*[A-Z\[]"
+_PARAGRAPH_START = r"\n\s*\n\s*[A-Z\[]"
 
 
-def _around(text: Column, pattern: str) -> tuple[Column, Column]:
-    """Characters before the first match of a pattern that is never empty, and from the start to its end; NULL without a match."""
-    parts = F.split(text, "(?U)" + pattern, 2)
-    return F.nullif(F.length(F.get(parts, F.lit(0))), F.length(text)), F.length(text) - F.length(F.get(parts, F.lit(1)))
+def _length_to(text: Column, pattern: str, end: bool = False) -> Column:
+    """Characters up to the first match's start (or end); NULL without a match."""
+    around = rf"(?s)\A(.*?)(?-s:(?U){pattern})" if not end else rf"(?s)\A(.*?(?-s:(?U){pattern}))"
+    return F.when(text.rlike("(?U)" + pattern), F.length(F.regexp_extract(text, around, 1)))
 
 
 def substantive_start(text: Column) -> Column:
     """Where the reasons begin: a first numbered paragraph, else after a heading, else after the cover's last mark, else 0."""
-    rest = F.get(F.split(text, "(?U)" + _COVER_END, 2), F.lit(1))
-    before = F.nullif(F.length(F.get(F.split(rest, _PARAGRAPH_START, 2), F.lit(0))), F.length(rest))
+    def after_cover(cover: Column) -> Column:
+        rest = F.substring(text, cover + 1, F.length(text))
+        return F.when(cover.isNotNull(), cover + _length_to(rest, _PARAGRAPH_START) + 2)
+
     return F.coalesce(
-        *(_around(text, p)[0] + 1 for p in START_PATTERNS),
-        _around(text, _HEADING)[1],
-        F.length(text) - F.length(rest) + before + 2,
+        *(_length_to(text, p) + 1 for p in START_PATTERNS),
+        _length_to(text, _HEADING, end=True),
+        once(_length_to(text, _COVER_END, end=True), after_cover),
         F.lit(0),
     )
 
@@ -203,7 +212,7 @@ def without_front_matter(text: Column) -> Column:
             words,
             lambda w: ((F.upper(w) == w) & (F.lower(w) != w)) | w.rlike(r"\A[^\p{L}]*\p{Lu}\p{Ll}*(?:[^\p{L}]+\p{Lu}\p{Ll}*)*[^\p{L}]*\z"),
         )
-        return p.rlike(_FRONT_PARAGRAPH) | ((F.length(p) < 200) & (F.size(capital) * 2 > F.size(words)))
+        return F.when(F.length(p) < 200, F.size(capital) * 2 > F.size(words)).otherwise(False) | p.rlike(_FRONT_PARAGRAPH)
 
     paragraphs = F.transform(F.split(text, "(?U)\\n\\s*\\n"), strip)
     return F.array_join(F.filter(paragraphs, lambda p: (p != "") & ~is_front(p)), " ")
@@ -211,7 +220,9 @@ def without_front_matter(text: Column) -> Column:
 
 def anchor(text: Column, most: int = 900, least: int = 100) -> Column:
     """A clean opening of at most ``most`` characters, for discovery; the raw suffix where less than ``least`` is left."""
+    def clean(suffix: Column) -> Column:
+        kept = strip(F.regexp_replace(without_front_matter(suffix), " +", " "))
+        return once(kept, lambda c: F.when(F.length(c) < least, strip(F.regexp_replace(suffix, " +", " "))).otherwise(c))
+
     suffix = F.substring(text, substantive_start(text) + 1, F.length(text))
-    clean = strip(F.regexp_replace(without_front_matter(suffix), " +", " "))
-    raw = strip(F.regexp_replace(suffix, " +", " "))
-    return truncate_on_sentence(F.when(F.length(clean) < least, raw).otherwise(clean), most)
+    return once(once(suffix, clean), lambda c: truncate_on_sentence(c, most))

@@ -5,23 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from casemill.functions.text import chunk_cuts, marker
+from casemill.functions.text import chunk_cuts, marker, once
 
 
 def chunk_table(documents: DataFrame, key: str, text: str, every: int = 1500, back: int = 100) -> DataFrame:
     """(key, counter, start, end, chunk): consecutive chunks that together are the text; NULL and empty texts have none."""
-    ends = documents.select(key, text, chunk_cuts(F.col(text), every, back).alias("cuts")).where(F.col("cuts").isNotNull())
-    return ends.select(
-        key,
-        text,
-        F.posexplode(F.arrays_zip(F.concat(F.array(F.lit(0)), "cuts").alias("a"), F.concat("cuts", F.array(F.length(text))).alias("b"))).alias("counter", "c"),
-    ).select(
-        key,
-        "counter",
-        F.col("c.a").alias("start"),
-        F.col("c.b").alias("end"),
-        F.substring(F.col(text), F.col("c.a") + 1, F.col("c.b") - F.col("c.a")).alias("chunk"),
-    )
+    whole = F.col(text)
+
+    def cut(bounds: Column) -> Column:
+        def part(a: Column, i: Column) -> Column:
+            end = F.element_at(bounds, i + 2)
+            return F.struct(i.alias("counter"), a.alias("start"), end.alias("end"), F.substring(whole, a + 1, end - a).alias("chunk"))
+
+        return F.transform(F.slice(bounds, 1, F.size(bounds) - 1), part)
+
+    ends = F.concat(F.array(F.lit(0)), chunk_cuts(whole, every, back), F.array(F.length(whole)))
+    return documents.where(F.length(text) > 0).select(key, F.inline(once(ends, cut)))
 
 
 def marked_text(tag: str = "DOC", every: int = 1500, back: int = 100) -> Column:
@@ -40,7 +39,7 @@ def marked_text(tag: str = "DOC", every: int = 1500, back: int = 100) -> Column:
         parts = F.transform(starts, lambda a, i: F.concat(head(i), F.lit("\n\n"), F.substring(content, a + 1, F.element_at(bounds, i + 2) - a)))
         return F.concat(F.array_join(parts, "\n\n"), F.lit("\n"), head(F.size(starts)))
 
-    return F.element_at(F.transform(F.array(ends), assemble), 1)
+    return once(ends, assemble)
 
 
 def marked_documents(cases: DataFrame, tag: str = "DOC", every: int = 1500, back: int = 100) -> DataFrame:

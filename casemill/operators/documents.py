@@ -61,7 +61,7 @@ def manifest_columns(min_content: int = 1000) -> list[Column]:
     """The columns of a manifest of case records, with their keywords and a short anchor."""
     c = F.col
     text = F.coalesce(c("content"), F.lit(""))
-    short = F.element_at(F.transform(F.array(T.anchor(text)), short_anchor), 1)
+    short = T.once(T.anchor(text), short_anchor)
     return [
         c("id"), c("citation"), F.lower("tribunal").alias("court"), c("tribunal_rank"), c("page_count"), F.length(text).alias("content_length"),
         T.content_hash(text).alias("content_hash"), keywords_of(text).alias("keywords"), short.alias("anchor"),
@@ -77,19 +77,26 @@ def preview(generated: str, lines: int = 30, version: str = "2.2") -> Column:
 
 def format_errors(document: Column, tag: str = "DOC", least: int = 1000) -> Column:
     """What is wrong with a document: header fields, length, and the order and place of its markers."""
-    at = F.locate("\n\n", document)
-    head, body = F.substring(document, F.lit(1), at - 1), F.substring(document, at + 2, F.length(document))
-    numbers = F.transform(F.regexp_extract_all(body, F.lit(rf"\[{tag}\|MH(\d{{5}})\|"), F.lit(1)), lambda x: x.cast("int"))
-    tail = F.length(F.regexp_extract(body, rf"(?s)\[{tag}\|MH\d{{5}}\|[^\]]+\]((?:(?!\[{tag}\|MH).)*)\z", 1))
-    checks = {
-        "no_header": at == 0,
-        **{f"no_{f.rstrip(':').lower()}": ~F.contains(F.concat(F.lit("\n"), head), F.lit("\n" + f)) for f in REQUIRED},
-        "short_body": F.length(body) < least,
-        "no_first_marker": ~F.startswith(body, F.lit(f"[{tag}|MH00000|")),
-        "marker_order": (F.size(numbers) > 0) & (numbers != F.sequence(F.lit(0), F.greatest(F.size(numbers), F.lit(1)) - 1)),
-        "late_text": (F.size(numbers) == 0) | (tail > 200),
-    }
-    return F.array_compact(F.array(*(F.when(bad, name) for name, bad in checks.items())))
+    def found(parts: Column) -> Column:
+        head, body, numbers, last = (parts[x] for x in ("head", "body", "numbers", "last"))
+        checks = {
+            "no_header": head.isNull(),
+            **{f"no_{f.rstrip(':').lower()}": ~F.coalesce(F.contains(head, F.lit("\n" + f)), F.lit(False)) for f in REQUIRED},
+            "short_body": F.length(body) < least,
+            "no_first_marker": ~F.startswith(body, F.lit(f"[{tag}|MH00000|")),
+            "marker_order": (F.size(numbers) > 0) & (numbers != F.sequence(F.lit(0), F.greatest(F.size(numbers), F.lit(1)) - 1)),
+            "late_text": (F.size(numbers) == 0) | (F.length(last) - F.locate("]", last) > 200),
+        }
+        return F.array_compact(F.array(*(F.when(bad, name) for name, bad in checks.items())))
+
+    def parts(document: Column) -> Column:
+        at = F.locate("\n\n", document)
+        body = F.when(at > 0, F.substring(document, at + 2, F.length(document))).otherwise(document)
+        numbers = F.transform(F.regexp_extract_all(body, F.lit(rf"\[{tag}\|MH(\d{{5}})\|"), F.lit(1)), lambda x: x.cast("int"))
+        head = F.when(at > 0, F.concat(F.lit("\n"), F.substring(document, F.lit(1), at - 1)))
+        return F.struct(head.alias("head"), body.alias("body"), numbers.alias("numbers"), F.substring_index(body, f"[{tag}|MH", -1).alias("last"))
+
+    return T.once(T.once(document, parts), found)
 
 
 def compact_marker(tag: str, counter: Column, most: int = 160) -> Column:
@@ -146,7 +153,7 @@ def topic_of(lower: Column) -> Column:
     some = lower.rlike("(?U)" + every)
     scores = [(t, reduce(add, (F.regexp_count(lower, F.lit("(?U)" + p)) for p in patterns))) for t, patterns in TOPIC_PATTERNS.items()]
     ranked = F.array(*(F.struct(n.alias("n"), F.lit(-k).alias("k"), F.lit(t).alias("topic")) for k, (t, n) in enumerate(scores)))
-    best = F.element_at(F.transform(F.array(F.array_max(ranked)), lambda b: F.when(b["n"] > 0, b["topic"]).otherwise(DEFAULT_TOPIC)), 1)
+    best = T.once(F.array_max(ranked), lambda b: F.when(b["n"] > 0, b["topic"]).otherwise(DEFAULT_TOPIC))
     return F.when(some, best).otherwise(DEFAULT_TOPIC)
 
 

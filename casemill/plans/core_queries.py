@@ -336,7 +336,7 @@ def document_chunks(spark: SparkSession, sf: str) -> DataFrame:
 
 def marked_records(spark: SparkSession, sf: str) -> DataFrame:
     """Records with their markers."""
-    rows = spread(_records(spark, sf).where(F.length("content") > 0))
+    rows = _records(spark, sf).where(F.length("content") > 0)
     return distinct_rows(rows, F.col("id"), chunks.marked_text().alias("document"))
 
 
@@ -367,7 +367,7 @@ def record_checks(spark: SparkSession, sf: str) -> DataFrame:
 
 def manifest(spark: SparkSession, sf: str) -> DataFrame:
     """One manifest row for each record."""
-    return distinct_rows(spread(_records(spark, sf)), *documents.manifest_columns())
+    return distinct_rows(_records(spark, sf), *documents.manifest_columns())
 
 
 def hash_check(spark: SparkSession, sf: str) -> DataFrame:
@@ -385,7 +385,7 @@ def extraction_choice(spark: SparkSession, sf: str) -> DataFrame:
 
 def record_previews(spark: SparkSession, sf: str) -> DataFrame:
     """Header and first lines of each record."""
-    rows = spread(_records(spark, sf).where(F.length("content") > 0))
+    rows = _records(spark, sf).where(F.length("content") > 0)
     made = distinct_rows(rows, F.col("id"), documents.preview("2025-01-01T00:00:00", 20).alias("p"))
     return made.select("id", F.length("p").alias("n_chars"), F.md5("p").alias("digest"))
 
@@ -398,9 +398,9 @@ def _pages(spark: SparkSession, sf: str) -> DataFrame:
 
 def canonical_cases(spark: SparkSession, sf: str) -> DataFrame:
     """Paragraphs of documents as numbered pages of canonical texts; page 0 comes last, without a number."""
-    made = documents.canonical_texts(_pages(spark, sf))
+    made = documents.canonical_texts(_pages(spark, sf)).withColumn("lower", F.lower("content"))
     c = F.col
-    lang = quality.two_languages(F.lower("content"), FRENCH_SIGNS_LONG, ENGLISH_SIGNS_LONG)
+    lang = quality.two_languages(c("lower"), FRENCH_SIGNS_LONG, ENGLISH_SIGNS_LONG)
     return made.select("case_id", "pages", F.md5("content").alias("digest"), documents.canonical_id(c("case_id"), lang, c("content")).alias("canonical_id"))
 
 

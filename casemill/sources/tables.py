@@ -30,6 +30,7 @@ def row_digest(rows: DataFrame) -> list[Column]:
 
 def distinct_rows(rows: DataFrame, *made: Column) -> DataFrame:
     """``made`` for each distinct row of ``rows``: computed first, so that only it and a digest of the row are shuffled."""
+    rows = spread(rows)
     return rows.select(*made, *row_digest(rows)).dropDuplicates(["_row_a", "_row_b"]).drop("_row_a", "_row_b")
 
 
