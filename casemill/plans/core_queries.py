@@ -11,6 +11,7 @@ from casemill.functions import quality
 from casemill.functions import text as T
 from casemill.functions.wordlists import ENGLISH_SIGNS_LONG, FRENCH_SIGNS_LONG, LEXICON
 from casemill.operators import cases, chunks, documents, keywords, retrieval, sampling, snapshots
+from casemill.plans import corpus
 from casemill.sources.tables import distinct_rows, spread, table
 
 SEED = "casemill"
@@ -449,6 +450,35 @@ def vector_recall(spark: SparkSession, sf: str) -> DataFrame:
     return retrieval.recall_at_k(retrieval.nearest(vectors, vectors.where("vec_id % 100 = 0")), vectors)
 
 
+def last_delivery_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows and cases of the last delivery of each scope, looked up by its id."""
+    inventory = table(spark, sf, "case_inventory")
+    last = snapshots.delivery_order(table(spark, sf, "snapshots"), inventory).where("seq = last_seq").select("snapshot_id")
+    found = inventory.join(F.broadcast(last), "snapshot_id", "left_semi")
+    return found.groupBy("snapshot_id").agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct(snapshots.clean_key(F.col("case_id"))).alias("n_cases"))
+
+
+def validated_search(spark: SparkSession, sf: str) -> DataFrame:
+    """The twenty newest records of one court whose content passes all gates."""
+    made = quality.gates(F.col("content"), F.col("page_count"))
+    rows = _records(spark, sf).where((F.lower("tribunal") == "sst") & (made["score"] == 1.0)).select("id", "publication_date").distinct()
+    return rows.orderBy(F.desc_nulls_last("publication_date"), "id").limit(20)
+
+
+def review_list(spark: SparkSession, sf: str) -> DataFrame:
+    """English records whose content fails a gate, with their score."""
+    made = quality.gates(F.col("content"), F.col("page_count"))
+    rows = _records(spark, sf).where((F.lower(F.substring(F.trim("language"), 1, 2)) == "en") & (made["score"] < 1.0))
+    return rows.select("id", made["score"].alias("score")).distinct()
+
+
+def run_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    """The metrics of a run over all records: cases by language, bodies, and lengths."""
+    rows = _records(spark, sf).select("tribunal", "language", F.length("content").alias("content_length"))
+    made = corpus.metrics(rows)
+    return made.select("total_cases", "english_cases", "french_cases", "content_statistics.*", F.size("tribunal_distribution").alias("n_bodies"))
+
+
 _ALL = [
     p1_found, p1_totals, page_scan, page_blob_join, missing_blobs, extracted_records, case_assembly, stratified_tribunal,
     stratified_year, stratified_tribunal_year, proportional_sample, yearly_inventory, source_inventory, content_presence,
@@ -458,6 +488,6 @@ _ALL = [
     document_keywords, phrase_counts, statute_references, document_chunks, marked_records, quality_gates,
     language_by_signs, record_checks, manifest, canonical_cases, content_warnings, document_topics, record_documents, compact_markers,
     vector_neighbours, vector_precision, vector_recall, page_bases, link_ids, export_names, language_checks, hash_check,
-    extraction_choice, record_previews,
+    extraction_choice, record_previews, last_delivery_rows, validated_search, review_list, run_metrics,
 ]
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}

@@ -236,6 +236,13 @@ _CASE_KEY = f"""substr(coalesce(nullif(regexp_replace(regexp_replace({_strip("ci
 _DAY = """CASE WHEN regexp_full_match(trim(replace(replace(publication_date, '-', ''), '/', '')), '[0-9]{8}')
        THEN trim(replace(replace(publication_date, '-', ''), '/', '')) ELSE '99999999' END"""
 _FOLDER = "CASE WHEN lower(tribunal) IN ('scc', 'fca', 'fc', 'sst', 'unknown') THEN lower(tribunal) ELSE 'unknown' END"
+_T = "coalesce(content, '')"
+_GATES = [
+    f"{_strip(_T)} <> ''", f"length({_T}) >= 100", f"(length({_T}) > 0 AND {_PRINTABLE.replace('(t,', f'({_T},')} >= 0.8::DOUBLE * length({_T}))",
+    f"length({_T}) / greatest(page_count, 1) >= 200",
+]
+_PASSES = " AND ".join(_GATES)
+_SCORE = " + ".join(f"({g})::INT" for g in _GATES)
 _REFS = ", ".join("regexp_extract_all(text, '(?i)" + p.replace("'", "''") + "')" for p in STATUTE_PATTERNS)
 
 SQL: dict[str, str] = {
@@ -352,6 +359,16 @@ SQL: dict[str, str] = {
           CASE WHEN NOT (length(t) > 0 AND {_PRINTABLE} >= 0.8::DOUBLE * length(t)) THEN printf('Low readability: %.1f%%', {_PRINTABLE} / greatest(length(t), 1) * 100) END,
           CASE WHEN length(t) / pages < 200 THEN 'Sparse pages: ' || CAST(floor(length(t) / pages + 0.5) AS BIGINT) || ' chars/page (threshold: 200)' END],
           lambda x: x IS NOT NULL), '|') AS warnings FROM r""",
+    "last_delivery_rows": _CHANGES + """SELECT snapshot_id, count(*) AS n_rows, count(DISTINCT case_id) AS n_cases FROM k
+        WHERE snapshot_id IN (SELECT snapshot_id FROM o QUALIFY seq = max(seq) OVER (PARTITION BY scope_id)) GROUP BY 1""",
+    "validated_search": f"""SELECT DISTINCT id, publication_date FROM case_records WHERE lower(tribunal) = 'sst' AND {_PASSES}
+        ORDER BY publication_date DESC NULLS LAST, id LIMIT 20""",
+    "review_list": f"""SELECT DISTINCT id, ({_SCORE}) / 4.0::DOUBLE AS score FROM case_records
+        WHERE lower(substr(trim(language), 1, 2)) = 'en' AND NOT ({_PASSES})""",
+    "run_metrics": """SELECT count(*) AS total_cases, count(*) FILTER (lower(substr(language, 1, 2)) = 'en') AS english_cases,
+        count(*) FILTER (lower(substr(language, 1, 2)) = 'fr') AS french_cases, coalesce(min(length(content)), 0) AS min_length,
+        coalesce(max(length(content)), 0) AS max_length, CAST(coalesce(sum(length(content)) // count(content), 0) AS BIGINT) AS avg_length,
+        CAST(count(DISTINCT tribunal) AS INTEGER) AS n_bodies FROM case_records""",
     "vector_recall": _NEAREST + """, z AS (SELECT label, count(*) - 1 AS relevant FROM embeddings GROUP BY 1),
         h AS (SELECT query_id, want, CAST(count(*) FILTER (label = want) AS BIGINT) AS hits FROM r GROUP BY ALL)
         SELECT query_id, hits, relevant, CASE WHEN relevant > 0 THEN hits / relevant ELSE 0.0 END AS recall FROM h JOIN z ON want = label""",
