@@ -209,7 +209,7 @@ class _Side(NamedTuple):
     lines: list[np.ndarray]
     weight: np.ndarray
     full: np.ndarray
-    links: list[np.ndarray]
+    links: list[list[int]]
     dense: np.ndarray | None  # the links as a matrix, where both sides have few words
 
 
@@ -242,7 +242,7 @@ def _sides(one: list[list[str]], two: list[list[str]], lex: Lexicon) -> tuple[_S
         if pairs:
             dense[tuple(np.array(pairs).T)] = 1
     return tuple(
-        _Side(lines, w, np.array([max(w[x].sum(), 1e-6) for x in lines], np.float32), [np.array(x, np.int64) for x in links], d)
+        _Side(lines, w, np.array([max(w[x].sum(), 1e-6) for x in lines], np.float32), links, d)
         for lines, w, links, d in ((ia, wa, to_b, dense), (ib, wb, to_a, None if dense is None else dense.T))
     )
 
@@ -261,8 +261,14 @@ def _reach(lines: list[np.ndarray], incidence: np.ndarray, side: _Side, size: in
     return _incidence([_linked(x, side.links) for x in lines], size)
 
 
-def _linked(words: np.ndarray, links: list[np.ndarray]) -> np.ndarray:
-    return np.concatenate([links[x] for x in words]) if len(words) else np.zeros(0, np.int64)
+def _linked(words: np.ndarray, links: list[list[int]]) -> np.ndarray:
+    return np.array([y for x in words.tolist() for y in links[x]], np.int64)
+
+
+def _uncovered(words: np.ndarray, other: np.ndarray, links: list[list[int]]) -> np.ndarray:
+    """The words that go with none of the other side's."""
+    covered = {y for x in other.tolist() for y in links[x]}
+    return np.array([x for x in words.tolist() if x not in covered], np.int64)
 
 
 def _scores(one: _Side, two: _Side) -> tuple[np.ndarray, ...]:
@@ -444,7 +450,7 @@ def _spans(one: _Side, two: _Side, rows: np.ndarray, columns: np.ndarray, score:
     out = []
     for k in best[part[best] < 0.85].tolist():
         i, j = int(rows[k]), int(columns[k])
-        rest = np.setdiff1d(two.lines[j], _linked(one.lines[i], one.links))
+        rest = _uncovered(two.lines[j], one.lines[i], one.links)
         reach = np.zeros(len(one.weight), bool)
         reach[_linked(rest, two.links)] = True
         for x in (i - 1, i + 1):
@@ -465,7 +471,7 @@ def _surplus(
     found = []
     for s in range(0, len(spare), BLOCK):
         own = spare[s : s + BLOCK]
-        rest = [np.setdiff1d(two.lines[j], _linked(one.lines[i], one.links)) for i, j in own]
+        rest = [_uncovered(two.lines[j], one.lines[i], one.links) for i, j in own]
         reach = _incidence([_linked(x, two.links) for x in rest], len(one.weight))
         for k in range(0, len(alone), BLOCK):
             lines = alone[k : k + BLOCK]
