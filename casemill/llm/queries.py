@@ -26,11 +26,10 @@ def _line_tables(rows: DataFrame, delta: Column, deltas: list[str]) -> repeated_
     return tables
 
 
-def _by_decade(rows: DataFrame) -> repeated_lines.LineTables:
-    """Records come in by the decade of their date; those without a readable one come first."""
-    decade = F.when(F.col("publication_date").rlike(r"^(19|20)\d\d"), F.substring("publication_date", 1, 3)).otherwise("none")
-    found = [r["d"] for r in rows.select(decade.alias("d")).distinct().collect()]
-    return _line_tables(rows, decade, sorted(found, key=lambda d: (d != "none", d)))
+def _by_period(rows: DataFrame) -> repeated_lines.LineTables:
+    """Records come in by the century of their date; those without a readable one come first."""
+    century = F.when(F.col("publication_date").rlike(r"^(19|20)\d\d"), F.substring("publication_date", 1, 2)).otherwise("none")
+    return _line_tables(rows, century, ["none", "19", "20"])
 
 
 def _counted(spark: SparkSession, sf: str) -> DataFrame:
@@ -52,15 +51,15 @@ def p2_tokens(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p3_found(spark: SparkSession, sf: str) -> DataFrame:
-    """Lines repeated excessively on their site: the records come in by decade, each a delta to the state."""
+    """Lines repeated excessively on their site: the records come in by period, each a delta to the state."""
     rows = table(spark, sf, "case_records")
-    return _by_decade(rows).found().select("id", "line_no")
+    return _by_period(rows).found().select("id", "line_no")
 
 
 def p3_clean(spark: SparkSession, sf: str) -> DataFrame:
     """Each record without its site's repeated lines."""
     rows = table(spark, sf, "case_records")
-    clean = repeated_lines.without_lines(rows, _by_decade(rows).found())
+    clean = repeated_lines.without_lines(rows, _by_period(rows).found())
     return clean.select("id", site_of(F.col("source_name"), F.col("tribunal")).alias("site"), "content")
 
 

@@ -149,6 +149,7 @@ class LineTables:
 
     def __init__(self, spark: SparkSession, folder: str, versions: int = 0):
         self.spark, self.folder, self.versions = spark, folder, versions
+        self._schemas: dict = {}
 
     @classmethod
     def new(cls, spark: SparkSession) -> LineTables:
@@ -159,18 +160,25 @@ class LineTables:
     def _write(self, name: str, rows: DataFrame) -> DataFrame:
         path = f"{self.folder}/{name}/{self.versions + 1}"
         rows.write.mode("overwrite").parquet(path)
-        return self.spark.read.schema(rows.schema).parquet(path)
+        self._schemas[name] = rows.schema
+        return self._read(name, self.versions + 1)
+
+    def _read(self, name: str, version: int) -> DataFrame:
+        reader = self.spark.read
+        if name in self._schemas:
+            reader = reader.schema(self._schemas[name])
+        return reader.parquet(f"{self.folder}/{name}/{version}")
 
     def _all(self, name: str) -> DataFrame | None:
         """All versions of a table so far, with the version."""
         out = None
         for n in range(1, self.versions + 1):
-            own = self.spark.read.parquet(f"{self.folder}/{name}/{n}").withColumn("version", F.lit(n))
+            own = self._read(name, n).withColumn("version", F.lit(n))
             out = own if out is None else out.unionByName(own)
         return out
 
     def _last(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}/{self.versions}")
+        return self._read(name, self.versions)
 
     def add(self, keyed: DataFrame, min_records: int = MIN_RECORDS, min_share: float = MIN_SHARE) -> None:
         """Merges a delta of keyed records. Records that came before, whole rows alike, don't count again."""
