@@ -116,12 +116,12 @@ def p6_text(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _languages(spark: SparkSession, sf: str) -> DataFrame:
-    rows = spread(table(spark, sf, "case_records").select("id", "language", "content"), waves=3)
+    rows = table(spark, sf, "case_records").select("id", "language", "content")
     labelled = rows.select(F.col("content").alias("text"), F.col("language").alias("label")).unionByName(
         table(spark, sf, "documents").select("text", F.col("lang").alias("label"))
     )
     model = language.train(language.training_sample(labelled))
-    return language.record_languages(rows, model, label="language")
+    return language.record_languages(spread(rows, waves=3), model, label="language")
 
 
 def p7_found(spark: SparkSession, sf: str) -> DataFrame:
